@@ -28,10 +28,10 @@ def hex_to_bigint(text: Column) -> Column:
     its maximum, which is above every symbol address, so the as-of lookup
     resolves them exactly as an unbounded integer would.
     """
-    s = F.regexp_replace(F.trim(text), r"^\+?(0[xX])?", "")
-    digits = F.regexp_replace(s, r"^0+(?=.)", "")
-    too_big = (F.length(digits) > 16) | ((F.length(digits) == 16) & (F.lower(F.substring(digits, 1, 1)) > F.lit("7")))
-    return (F.when(~F.coalesce(s.rlike(r"^[0-9a-fA-F]+$"), F.lit(False)), F.lit(None).cast("bigint"))
+    digits = F.regexp_extract(text, r"^\s*\+?(?:0[xX])?0*([0-9a-fA-F]+)\s*$", 1)
+    n = F.length(digits)
+    too_big = (n > 16) | ((n == 16) & (F.lower(digits) > F.lit("7fffffffffffffff")))
+    return (F.when(n == 0, F.lit(None).cast("bigint"))
              .when(too_big, F.lit(LONG_MAX))
              .otherwise(F.conv(digits, 16, 10).cast("bigint")))
 

@@ -85,10 +85,12 @@ def matches(kind: str, name: Column, pattern: str) -> Column:
 
 
 def first_rule(name: Column, rules) -> Column:
-    """Category of the first rule matching one function name, else null."""
-    out = F.lit(None).cast("string")
-    for kind, pattern, category in reversed(rules):
-        out = F.when(matches(kind, name, pattern), F.lit(category)).otherwise(out)
+    """Category of the first rule matching one function name, else null
+    (one flat CASE, evaluated top to bottom)."""
+    out = None
+    for kind, pattern, category in rules:
+        cond = matches(kind, name, pattern)
+        out = F.when(cond, F.lit(category)) if out is None else out.when(cond, F.lit(category))
     return out
 
 
@@ -100,10 +102,11 @@ def component_flags(name: Column) -> Column:
 
 def component_of(flags: Column) -> Column:
     """M6: first component whose flag is set, else ``unknown_component``."""
-    out = F.lit(UNKNOWN_COMPONENT)
-    for i in reversed(range(len(COMPONENT_RULES))):
-        out = F.when(F.coalesce(flags[i], F.lit(False)), F.lit(COMPONENT_RULES[i][0])).otherwise(out)
-    return out
+    out = None
+    for i, (title, _) in enumerate(COMPONENT_RULES):
+        cond = F.coalesce(flags[i], F.lit(False))
+        out = F.when(cond, F.lit(title)) if out is None else out.when(cond, F.lit(title))
+    return out.otherwise(F.lit(UNKNOWN_COMPONENT))
 
 
 # ---- SQL renderings (for the DuckDB oracle) ----

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from hangscope.config import HangConfig
 from hangscope.functions.frames import build_date
 from hangscope.operators.hangs import rate_hangs
+from hangscope.session import materialize
 from hangscope.operators.symbolicate import distinct_stacks, symbolicate_stacks
 
 KEYS = ["runnable", "thread", "build_date", "pending_input", "platform"]
@@ -64,7 +65,7 @@ def hang_rates(pings: DataFrame, hangs: DataFrame, symbols: DataFrame, cfg: Hang
     platform, hang_ms, hang_count, usage_ms, usage_h, ms_per_hour,
     count_per_hour.
     """
-    raw = hang_sums_raw(hangs, cfg)
+    raw = materialize(hang_sums_raw(hangs, cfg))
     if stack_dict is None:
         stack_dict = symbolicate_stacks(distinct_stacks(raw), symbols, cfg)
     return hang_rates_from(hang_sums(raw, stack_dict), usage_hours_by_date(pings))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hangscope.config import UNCATEGORIZED, HangConfig
+from hangscope.session import materialize
 from hangscope.functions.frames import hex_to_bigint, stack_id, symbolic_frame
 from hangscope.functions.rules import (CATEGORY_RULES_1, CATEGORY_RULES_2, COMPONENT_RULES, component_flags,
                                        component_of, first_rule)
@@ -114,7 +115,7 @@ def frame_dictionary(frames: DataFrame, symbols: DataFrame, cfg: HangConfig) ->
 
 
 def distinct_stacks(df: DataFrame) -> DataFrame:
-    """Distinct (sid, stack) pairs (hash aggregation on the array key)."""
+    """Distinct (sid, stack) pairs (hash aggregation; the array is a key)."""
     return df.select("sid", "stack").distinct()
 
 
@@ -125,13 +126,14 @@ def symbolicate_stacks(stacks: DataFrame, symbols: DataFrame, cfg: HangConfig) -
     component``.  A stack with no frames has no row (inner semantics).
     """
     exploded = stacks.select("sid", F.posexplode("stack").alias("pos", "f")).select("sid", "pos", "f.*")
-    fdict = frame_dictionary(exploded.select(*FRAME_KEY).distinct(), symbols, cfg).select(
+    fkeys = materialize(exploded.select(*FRAME_KEY).distinct())
+    fdict = frame_dictionary(fkeys, symbols, cfg).select(
         *[F.col(c).alias("k_" + c) for c in FRAME_KEY], "func", "lib", "cat1", "cat2", "comp")
     joined = exploded.join(fdict, [exploded[c].eqNullSafe(fdict["k_" + c]) for c in FRAME_KEY], "inner").select(
         "sid", "pos", "func", "lib", "cat1", "cat2", "comp")
     pos_if = lambda c: F.when(F.col(c).isNotNull(), F.col("pos"))
     agg = joined.groupBy("sid").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "func", "lib"))).alias("frames"),
+        F.sort_array(F.collect_list(F.struct("pos", "func", "lib"))).alias("frames"),
         F.max_by("cat1", pos_if("cat1")).alias("cat1"),
         F.max_by("cat2", pos_if("cat2")).alias("cat2"),
         *[F.bool_or(F.col("comp")[i]).alias(f"c{i}") for i in range(len(COMPONENT_RULES))],

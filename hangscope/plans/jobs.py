@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hangscope.config import HangConfig
 from hangscope.operators.hangs import hangs_of
+from hangscope.session import materialize
 from hangscope.sources import derived
 from hangscope.sources.pings import hang_pings
 from hangscope.sources.symbols import parse_symbol_lines, symbol_precedence
@@ -32,7 +33,7 @@ class Inputs:
 
 def symbols_from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed, rejects = parse_symbol_lines(lines)
-    return symbol_precedence(parsed), rejects
+    return materialize(symbol_precedence(parsed)), rejects
 
 
 def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig) -> Inputs:

@@ -13,6 +13,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -41,3 +42,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    Used for small intermediates read by several branches of a plan (distinct
+    stacks, frame and symbol dictionaries): without it each branch, pruning
+    different columns, would rerun the scan and exchanges above it.  The
+    folder is the cluster's ``spark.checkpoint.dir``, so a lost executor does
+    not lose the data.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

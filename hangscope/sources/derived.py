@@ -71,7 +71,7 @@ def _frame_of(li: Column) -> Column:
 def stacks_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw stack per order: line items in (linenumber, partkey, suppkey, price, qty) order."""
     li = table(spark, sf_dir, "lineitem")
-    items = F.array_sort(F.collect_list(F.struct(
+    items = F.sort_array(F.collect_list(F.struct(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")))
     return (li.groupBy(F.col("l_orderkey").alias("ping_id"))
               .agg(items.alias("items"))
@@ -98,7 +98,12 @@ def module_list() -> Column:
 
 def raw_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested hang pings (schema ``schemas.PING``) derived from orders/lineitem."""
-    p = hang_columns(ping_columns(spark, sf_dir)).join(stacks_by_order(spark, sf_dir), "ping_id", "left")
+    # orders arrive as one file per table here; a ping store is many files.
+    # Hash-partitioning by ping id gives the scan-level parallelism of such a
+    # store and co-partitions pings with the per-order stacks for the join.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = hang_columns(ping_columns(spark, sf_dir)).repartition(n, "ping_id").join(
+        stacks_by_order(spark, sf_dir), "ping_id", "left")
     ann_keys = F.filter(F.array(
         F.when(F.col("pending_input"), F.lit("PendingInput")),
         F.when(F.col("cpu_high"), F.lit("ExternalCPUHigh")),
@@ -131,9 +136,8 @@ def symbol_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["js::RunScript(JSContext*)", "mozilla::dom::Node", "nsRefreshDriver::Tick",
              "mozilla::places::History", "NS_ProcessNextEvent", "js::frontend::Parser",
              "mozilla::PresShell::DoReflow(bool)", "a/modules/PlacesUtils.jsm"]
-    sym = F.lit("base::WaitableEvent::Wait()")
-    for i in reversed(range(len(names))):
-        sym = F.when(k % 9 == i, F.lit(names[i])).otherwise(sym)
+    names.append("base::WaitableEvent::Wait()")
+    sym = F.element_at(F.array(*[F.lit(n) for n in names]), (k % 9 + 1).cast("int"))
     return (p.where((k < 240) & (k % 12 < 8) & (F.floor(k / 12).cast("int") % 3 != 0))
              .select(_module_name(k % 12).alias("debug_name"),
                      F.concat(F.lit("ID"), (k % 12).cast("string")).alias("breakpad_id"),

@@ -24,30 +24,26 @@ def parse_symbol_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     200 characters.  A line with too few fields or an address that is not hex
     goes to ``rejects`` with its reason instead of failing the job.
     """
-    raw = F.col("line")
-    t = F.regexp_replace(raw, _TRAILING_BLANKS, "")
-    is_public, is_func = raw.startswith("PUBLIC "), raw.startswith("FUNC ")
-    has_m = F.split_part(t, F.lit(" "), F.lit(2)) == "m"
-    pats = {
-        (True, False): r"(?s)^PUBLIC ([^ ]*) [^ ]* (.*)$",
-        (True, True): r"(?s)^PUBLIC m ([^ ]*) [^ ]* (.*)$",
-        (False, False): r"(?s)^FUNC ([^ ]*) [^ ]* [^ ]* (.*)$",
-        (False, True): r"(?s)^FUNC m ([^ ]*) [^ ]* [^ ]* (.*)$",
-    }
-
-    def pick(group: int) -> Column:
-        out = F.lit(None).cast("string")
-        for (pub, m), pat in pats.items():
-            cond = (is_public if pub else is_func) & (has_m if m else ~has_m)
-            out = F.when(cond & t.rlike(pat), F.regexp_extract(t, pat, group)).otherwise(out)
-        return out
-
-    addr_text, name = pick(1), pick(2)
-    address = hex_to_bigint(addr_text)
-    parsed = (lines.where(is_public | is_func)
+    is_public, is_func = F.col("line").startswith("PUBLIC "), F.col("line").startswith("FUNC ")
+    # one pattern per kind; an optional "m " second field shifts the others.
+    # (When the "m" reading fails the plain reading takes "m" as the address,
+    # which is not hex, so both readings reject the same lines.)
+    pub = r"(?s)^PUBLIC (?:m )?([^ ]*) [^ ]* (.*)$"
+    fun = r"(?s)^FUNC (?:m )?([^ ]*) [^ ]* [^ ]* (.*)$"
+    t = F.col("t")
+    pieces = (lines.where(is_public | is_func)
                    .select("debug_name", "breakpad_id", "line_no", "line",
                            F.when(is_public, "PUBLIC").otherwise("FUNC").alias("kind"),
-                           addr_text.alias("addr_text"), address.alias("address"), name.alias("name")))
+                           F.regexp_replace("line", _TRAILING_BLANKS, "").alias("t"))
+                   .select("debug_name", "breakpad_id", "line_no", "line", "kind",
+                           F.when(F.col("kind") == "PUBLIC", t.rlike(pub)).otherwise(t.rlike(fun)).alias("ok"),
+                           F.when(F.col("kind") == "PUBLIC", F.regexp_extract(t, pub, 1))
+                            .otherwise(F.regexp_extract(t, fun, 1)).alias("addr_text"),
+                           F.when(F.col("kind") == "PUBLIC", F.regexp_extract(t, pub, 2))
+                            .otherwise(F.regexp_extract(t, fun, 2)).alias("name")))
+    parsed = pieces.select("debug_name", "breakpad_id", "line_no", "line", "kind",
+                           F.when(F.col("ok"), F.col("name")).alias("name"),
+                           F.when(F.col("ok"), hex_to_bigint(F.col("addr_text"))).alias("address"))
     ok = F.col("name").isNotNull() & F.col("address").isNotNull() & (F.col("address") != LONG_MAX)
     symbols = parsed.where(ok).select("debug_name", "breakpad_id", "kind", "address",
                                       truncate_symbol(F.col("name")).alias("symbol"), "line_no")
