@@ -12,3 +12,75 @@ select stack, runnable, thread, h2.build_date, pending_input, platform,
 from h2 join st on st.ping_id=h2.ping_id join u on u.build_date=h2.build_date
 where duration>=128 and duration<16000 and not cpu_high
 group by 1,2,3,4,5,6""")
+
+ORACLE["hang_sums"] = with_views("""
+select stack, runnable, thread, h2.build_date, pending_input, platform,
+  sum(duration) hang_ms, count(*) hang_count
+from h2 join st on st.ping_id=h2.ping_id
+where duration>=128 and duration<16000 and not cpu_high
+group by 1,2,3,4,5,6""")
+
+_HB = {
+    "hb": """select h2.ping_id, h2.thread, h2.build_date,
+  case when duration >= 128 then least(7, cast(floor(log2(duration)) as int) - 7) end bucket from h2""",
+    "lab": """select hb.*, split_part(s.category, '.', 1) category, s.component
+  from hb join stlab s on s.ping_id = hb.ping_id""",
+    "lab2": """select ping_id, thread, build_date, bucket, category, component from lab
+  union all select ping_id, thread, build_date, bucket, category, 'All Hangs' from lab""",
+}
+_BUCKET_SUMS = ", ".join(f"sum(case when bucket={i} then 1 else 0 end) h{i}" for i in range(8))
+_BUCKET_RATES = ", ".join(f"sum(case when bucket={i} then 1 else 0 end)/max(u.usage_h) h{i}" for i in range(8))
+
+ORACLE["duration_histogram"] = with_views(
+    f"select component, thread, category, build_date, {_BUCKET_SUMS} from lab group by 1,2,3,4", _HB)
+ORACLE["histogram_all_hangs"] = with_views(
+    f"select component, thread, category, build_date, {_BUCKET_SUMS} from lab2 group by 1,2,3,4", _HB)
+ORACLE["histogram_rates"] = with_views(
+    f"""select component, thread, category, lab2.build_date, {_BUCKET_RATES}
+ from lab2 join u on u.build_date = lab2.build_date group by 1,2,3,4""", _HB)
+
+# ---- stack pruning ----
+_PRUNE = {
+    # hangs that count towards rates and have a stack
+    "rh": """select h2.ping_id, h2.thread, h2.build_date, h2.duration, h2.runnable, h2.pending_input, h2.platform
+  from h2 where duration>=128 and duration<16000 and not cpu_high and ping_id in (select ping_id from st)""",
+    # every prefix of every stack: node text and the lib of its last frame
+    "pf": """select a.ping_id, a.pos, string_agg(b.func||'@'||b.lib, '>' order by b.pos) node,
+  max(case when b.pos=a.pos then b.lib end) lib
+  from fs a join fs b on a.ping_id=b.ping_id and b.pos<=a.pos group by 1,2""",
+    "nt": """select rh.thread, rh.build_date, pf.node, sum(rh.duration) v from rh join pf on pf.ping_id=rh.ping_id group by 1,2,3""",
+    "rt": """select thread, build_date, sum(duration) root from rh group by 1,2""",
+    "nd": """select rh.thread, rh.build_date, pf.node, sum(rh.duration)/max(u.usage_h) r
+  from rh join pf on pf.ping_id=rh.ping_id join u on u.build_date=rh.build_date group by 1,2,3""",
+    "nt2": """select a.thread, a.build_date, a.node, sum(b.r) v from nd a join nd b
+  on a.thread=b.thread and a.node=b.node and b.build_date<=a.build_date group by 1,2,3""",
+    "rd": """select rh.thread, rh.build_date, sum(rh.duration)/max(u.usage_h) r from rh join u on u.build_date=rh.build_date group by 1,2""",
+    "rt2": """select a.thread, a.build_date, sum(b.r) root from rd a join rd b on a.thread=b.thread and b.build_date<=a.build_date group by 1,2""",
+}
+
+
+def _prune_sql(nt: str, rt: str) -> dict[str, str]:
+    return {
+        "pr": f"""select rh.ping_id, rh.thread, pf.pos, n.v,
+  coalesce(lag(n.v) over (partition by rh.ping_id, rh.thread order by pf.pos), r.root) parent
+  from rh join pf on pf.ping_id=rh.ping_id
+  join {nt} n on n.thread=rh.thread and n.build_date=rh.build_date and n.node=pf.node
+  join {rt} r on r.thread=rh.thread and r.build_date=rh.build_date""",
+        "cut": """select ping_id, thread, min(case when not (v::double/parent::double > 0.01) then pos end) cut
+  from pr group by 1,2""",
+        "pruned": """select c.ping_id, c.thread,
+  case when c.cut is null then st.stack when c.cut = 0 then '(other)@'||p1.lib
+       else p0.node||'>(other)@'||p1.lib end stack
+  from cut c join st on st.ping_id=c.ping_id
+  left join pf p1 on p1.ping_id=c.ping_id and p1.pos=c.cut
+  left join pf p0 on p0.ping_id=c.ping_id and p0.pos=c.cut-1""",
+    }
+
+
+_SAMPLES = """select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform,
+  sum(duration)/max(u.usage_h) sample_ms, count(*)/max(u.usage_h) sample_count
+from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread join u on u.build_date=rh.build_date
+group by 1,2,3,4,5,6"""
+
+ORACLE["prune_stacks_daily"] = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["prune_stacks_cumulative"] = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt2", "rt2")})
