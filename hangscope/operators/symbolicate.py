@@ -88,7 +88,10 @@ def symbol_asof(frames: DataFrame, symbols: DataFrame, bits: int = 16) -> DataFr
     found = (near.join(carry, MOD + ["b"], "left")
                  .select(*MOD, "offset", F.coalesce("near", "carry").alias("symbol")))
     not_hex = f.where(F.col("v").isNull()).select(*MOD, "offset", F.lit(None).cast("string").alias("symbol"))
-    return found.unionByName(not_hex)
+    # a module without a name or id has no symbol file
+    no_file = frames.where(F.col("breakpad_id").isNull() | F.col("debug_name").isNull()).select(
+        *MOD, "offset", F.lit(None).cast("string").alias("symbol"))
+    return found.unionByName(not_hex).unionByName(no_file)
 
 
 def frame_dictionary(frames: DataFrame, symbols: DataFrame, cfg: HangConfig) -> DataFrame:

@@ -84,3 +84,90 @@ group by 1,2,3,4,5,6"""
 
 ORACLE["prune_stacks_daily"] = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt", "rt")})
 ORACLE["prune_stacks_cumulative"] = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt2", "rt2")})
+
+# ---- single operators ----
+from hangscope.functions.rules import CATEGORY_RULES_1 as _R1, CATEGORY_RULES_2 as _R2, sql_first_rule  # noqa: E402
+
+_HANGS = "(select ping_id from vping where ping_id in (select ping_id from frame))"
+
+ORACLE["scan_hang_pings"] = with_views("""select ping_id, substr(build_id,1,8) build_date from ping
+ where substr(build_id,1,8) between '19940101' and '19961231'""")
+ORACLE["scan_cutover_union"] = with_views("""select case when substr(build_id,1,8) <= '20180315' then 'OTHER' else 'bhr' end doc_type,
+ count(*) n_pings from ping group by 1""")
+ORACLE["sample_pings"] = with_views("""select ping_id from ping
+ where ('0x'||substr(md5(cast(ping_id as varchar)),1,8))::bigint % 10000 < 5000""")
+ORACLE["project_properties"] = with_views("""select ping_id, os_name, os_version, arch, build_id, since_ms,
+ 10 n_modules, 1 n_hangs from ping""")
+ORACLE["parse_symbol_records"] = with_views("""select debug_name, breakpad_id, 'FUNC' kind, address,
+ case when address%64=0 then 'shadowed by PUBLIC' else symbol end symbol from sym
+ union all select debug_name, breakpad_id, 'PUBLIC', address, symbol from sym where address%64=0""")
+ORACLE["symbol_precedence"] = with_views("select debug_name, breakpad_id, address, symbol from sym")
+ORACLE["truncate_symbol"] = with_views("select debug_name, address, length(symbol) symbol_length from sym")
+ORACLE["symbol_path"] = with_views("""select debug_name, breakpad_id,
+ case when breakpad_id is not null then debug_name||'/'||breakpad_id||'/'||regexp_replace(debug_name, '\\.pdb$', '')||'.sym' end path
+ from module""")
+ORACLE["valid_pings"] = with_views("select ping_id, build_id from ping where os_name is not null")
+ORACLE["build_date"] = with_views("select ping_id, build_date from vping")
+ORACLE["platform"] = with_views("select ping_id, platform from vping")
+ORACLE["explode_hangs"] = with_views("""select h.ping_id, 0 hang_idx, h.duration, h.thread, h.runnable,
+ coalesce(n.n, 0) n_frames from h left join (select ping_id, count(*) n from frame group by 1) n on n.ping_id=h.ping_id""")
+ORACLE["stack_length_filter"] = with_views("""select ping_id, count(*) n_frames from frame
+ where ping_id in (select ping_id from vping) group by 1 having count(*) between 1 and 299""")
+ORACLE["frame_shape_filter"] = with_views("""select ping_id, row_number() over (partition by ping_id order by pos) - 1 pos,
+ case when label is not null then 'label' else 'native' end kind, label, module_index, "offset"
+ from (select f.*, l.l_quantity from frame f join (select l_orderkey, row_number() over (partition by l_orderkey
+   order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_quantity)-1 pos, l_quantity from lineitem) l
+   on l.l_orderkey=f.ping_id and l.pos=f.pos) x
+ where label is not null or l_quantity <= 45""")
+ORACLE["decode_frames"] = with_views("""select f.ping_id, f.pos, f.label is not null pseudo,
+ case when f.label is null then m.debug_name end debug_name, case when f.label is null then m.breakpad_id end breakpad_id,
+ coalesce(f."offset", f.label) "offset"
+ from frame f left join module m on m.module_index=f.module_index where f.ping_id in (select ping_id from vping)""")
+ORACLE["module_index_lookup"] = with_views("""select f.ping_id, f.pos, f.module_index, m.debug_name, m.breakpad_id
+ from frame f left join module m on m.module_index=f.module_index
+ where f.label is null and f.ping_id in (select ping_id from vping)""")
+ORACLE["force_paint_duplicate"] = with_views(f"select ping_id, thread from h2 where ping_id in {_HANGS}")
+ORACLE["duration_bounds"] = with_views(f"""select ping_id, thread, duration from h2 where ping_id in {_HANGS}
+ and duration >= 128 and duration < 16000""")
+ORACLE["exclude_cpu_high"] = with_views(f"select ping_id, thread from h2 where ping_id in {_HANGS} and not cpu_high")
+ORACLE["pending_input"] = with_views(f"select ping_id, thread, pending_input from h2 where ping_id in {_HANGS}")
+ORACLE["process_type"] = with_views(f"""select distinct thread,
+ case when thread in ('Gecko_Child', 'Gecko_Child_ForcePaint') then 'tab' else 'default' end process_type
+ from h2 where ping_id in {_HANGS}""")
+_DF = """select distinct f.label is not null pseudo, case when f.label is null then m.debug_name end debug_name,
+ case when f.label is null then m.breakpad_id end breakpad_id, coalesce(f."offset", f.label) "offset"
+ from frame f left join module m on m.module_index=f.module_index where f.ping_id in (select ping_id from vping)"""
+ORACLE["distinct_frames"] = with_views(_DF)
+ORACLE["offsets_by_module"] = with_views(f"""select debug_name, breakpad_id, count(distinct "offset") n_offsets,
+ min(('0x'||"offset")::bigint) min_offset, max(('0x'||"offset")::bigint) max_offset
+ from ({_DF}) d where not pseudo and debug_name is not null group by 1,2""")
+ORACLE["usage_hours_by_date"] = with_views("select build_date, usage_ms, usage_h from u")
+ORACLE["symbol_asof_join"] = with_views(f"""select d.debug_name, d.breakpad_id, d."offset",
+ max_by(s.symbol, s.address) symbol
+ from ({_DF}) d left join sym s on s.debug_name=d.debug_name and s.breakpad_id=d.breakpad_id
+   and s.address <= ('0x'||d."offset")::bigint
+ where not d.pseudo and d.debug_name is not null group by 1,2,3""")
+ORACLE["symbolicate_special"] = with_views("""select distinct f.label is not null pseudo,
+ case when f.label is null then m.debug_name end debug_name, coalesce(f."offset", f.label) "offset", fs.func, fs.lib
+ from frame f join fs on fs.ping_id=f.ping_id and fs.pos=f.pos left join module m on m.module_index=f.module_index
+ where f.ping_id in (select ping_id from vping)""")
+ORACLE["hex_offset"] = with_views(f"""select distinct "offset", ('0x'||"offset")::bigint value from ({_DF}) d
+ where not pseudo""")
+ORACLE["frame_symbol_left_join"] = with_views("select ping_id, pos, func, lib from fs where ping_id in (select ping_id from vping)")
+ORACLE["reassemble_stacks"] = with_views("select ping_id, stack from st where ping_id in (select ping_id from vping)")
+ORACLE["categorize_stack"] = with_views("select ping_id, category from stlab where ping_id in (select ping_id from vping)")
+ORACLE["category_root"] = with_views("""select ping_id, split_part(category, '.', 1) category_root from stlab
+ where ping_id in (select ping_id from vping)""")
+ORACLE["tracking_component"] = with_views("select ping_id, component from stlab where ping_id in (select ping_id from vping)")
+ORACLE["match_kinds"] = with_views(f"""select func, {sql_first_rule('func', _R1)} rule_set_1,
+ {sql_first_rule('func', _R2)} rule_set_2 from (select distinct func from fs where ping_id in (select ping_id from vping)) t""")
+ORACLE["duration_bucket"] = with_views("""select ping_id, duration,
+ case when duration >= 128 then least(7, cast(floor(log2(duration)) as int) - 7) end bucket from h""")
+ORACLE["usage_hours_join"] = with_views("""select thread, h2.build_date, sum(duration) hang_ms, sum(duration)/max(usage_h) ms_per_hour
+ from h2 join st on st.ping_id=h2.ping_id join u on u.build_date=h2.build_date
+ where duration>=128 and duration<16000 and not cpu_high group by 1,2""")
+ORACLE["positive_ms"] = with_views("""select stack, runnable, thread, h2.build_date, pending_input, platform,
+  sum(duration)/max(usage_h) ms_per_hour
+from h2 join st on st.ping_id=h2.ping_id join u on u.build_date=h2.build_date
+where duration>=128 and duration<16000 and not cpu_high
+group by 1,2,3,4,5,6 having sum(duration) > 0""")
