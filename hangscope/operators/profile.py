@@ -1,11 +1,214 @@
-"""Per-thread profile tables."""
+"""Per-thread profile tables (T3-T11, M5, P15) and their packing.
+
+The original kept interning tables in driver memory and assigned indexes in
+insertion order.  Here each table is a long DataFrame keyed by thread with a
+dense index assigned in sorted order (only referential integrity matters):
+
+* ``dense_index`` splits each thread into hash sub-buckets, numbers rows
+  inside a sub-bucket with ``row_number`` and adds the sub-bucket's offset
+  (a running sum over at most ``n_sub`` counts per thread), so no single task
+  numbers a whole hot thread;
+* stack-table rows are ordered by depth first, so a prefix always has a
+  smaller index than its children and the root is index 0.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hangscope.config import ROOT_FRAME, HangConfig
+from hangscope.functions.rules import CATEGORY_RULES_1, CATEGORY_RULES_2, first_rule
+from hangscope.operators.stacktree import prefix_ids
+
+ROOT_ID = F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"))
+
 
 def process_type(thread: Column) -> Column:
     """Content-process threads are ``tab``, all others ``default``."""
     return F.when(thread.isin("Gecko_Child", "Gecko_Child_ForcePaint"), F.lit("tab")).otherwise(F.lit("default"))
+
+
+def dense_index(df: DataFrame, part: list[str], order: list[str], n_sub: int = 16, group: str | None = None,
+                name: str = "idx") -> DataFrame:
+    """Add ``name`` = 0..n-1 within each ``part`` group, ordered by
+    (``group``, sub-bucket, ``order``).  Rows must be distinct on part+order."""
+    sub = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(n_sub)).cast("int")
+    g = [F.col(group)] if group else []
+    d = df.withColumn("_sub", sub)
+    keys = part + ([group] if group else []) + ["_sub"]
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    d = d.withColumn("_rn", rn)
+    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*part).orderBy(*(g + [F.col("_sub")])).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    return d.join(offsets, keys).withColumn(name, (F.col("_off") + F.col("_rn")).cast("long")).drop(
+        "_sub", "_rn", "_off")
+
+
+def stack_category(stack: Column) -> Column:
+    """M5: category of a (pruned) stack: from the leaf towards the root, the
+    first frame that matches rule set 1 anywhere, else rule set 2; null when
+    nothing matches (the root is never tested)."""
+    def last_hit(rules):
+        hits = F.filter(F.transform(stack, lambda f: first_rule(f["func"], rules)), lambda c: c.isNotNull())
+        return F.try_element_at(hits, F.lit(-1))
+    return F.coalesce(last_hit(CATEGORY_RULES_1), last_hit(CATEGORY_RULES_2))
+
+
+@dataclass
+class ProfileTables:
+    strings: DataFrame   # thread, idx, string
+    libs: DataFrame      # thread, idx, name, debugName, debugPath, offset, path, arch
+    funcs: DataFrame     # thread, idx, func, lib, name_idx, lib_idx
+    stacks: DataFrame    # thread, idx, node, depth, prefix_idx, func_idx (+ func, lib, parent)
+    samples: DataFrame   # thread, idx, pssid, stack_idx, runnable, runnable_idx, userInteracting, platform, platform_idx, category, category_idx
+    dates: DataFrame     # thread, date, sample_idx, sample_ms, sample_count
+
+
+def _nodes(pruned_rows: DataFrame) -> DataFrame:
+    """Distinct prefix nodes of the pruned stacks, per thread (T6 rows)."""
+    st = pruned_rows.select("thread", "pssid", "pruned").distinct().withColumn("ids", prefix_ids(F.col("pruned")))
+    z = st.select("thread", "ids", F.posexplode(F.arrays_zip("pruned", "ids")).alias("depth", "z"))
+    parent = F.when(F.col("depth") == 0, ROOT_ID).otherwise(F.element_at("ids", F.col("depth")))
+    nodes = z.select("thread", "depth", F.col("z.pruned.func").alias("func"), F.col("z.pruned.lib").alias("lib"),
+                     F.col("z.ids").alias("node"), parent.alias("parent")).dropDuplicates(["thread", "node"])
+    roots = pruned_rows.select("thread").distinct().select(
+        "thread", F.lit(-1).alias("depth"), F.lit(ROOT_FRAME).alias("func"), F.lit(None).cast("string").alias("lib"),
+        ROOT_ID.alias("node"), F.lit(None).cast("struct<h1:bigint,h2:bigint>").alias("parent"))
+    return nodes.unionByName(roots)
+
+
+def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) -> ProfileTables:
+    """T3-T8 from pruned rate rows (all of them: the stack table) and the
+    sample table by date (after P13/P14)."""
+    n_sub = cfg.index_sub_buckets
+    nodes = _nodes(pruned_rows)
+
+    skeys = samples.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct() \
+                   .withColumn("category", stack_category(F.col("pruned")))
+
+    libs = dense_index(nodes.where(F.col("lib").isNotNull()).select("thread", "lib").distinct(),
+                       ["thread"], ["lib"], n_sub)
+    libs = libs.select("thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"),
+                       F.col("lib").alias("debugName"), F.col("lib").alias("debugPath"),
+                       F.lit(0).alias("offset"), F.lit("").alias("path"), F.lit("").alias("arch"))
+
+    strings = (nodes.select("thread", F.col("func").alias("string"))
+               .unionByName(skeys.select("thread", F.col("runnable").alias("string")))
+               .unionByName(skeys.select("thread", F.col("platform").alias("string")))
+               .unionByName(skeys.where(F.col("category").isNotNull()).select("thread", F.col("category").alias("string")))
+               .distinct())
+    strings = dense_index(strings, ["thread"], ["string"], n_sub)
+    s_idx = strings.select("thread", "string", F.col("idx").alias("sidx"))
+
+    funcs = dense_index(nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"], n_sub)
+    funcs = (funcs.join(s_idx.withColumnRenamed("string", "func").withColumnRenamed("sidx", "name_idx"), ["thread", "func"])
+                  .join(libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx")),
+                        ["thread", "lib"], "left"))
+
+    stacks = dense_index(nodes, ["thread"], ["node"], n_sub, group="depth")
+    par = stacks.select("thread", F.col("node").alias("parent"), F.col("idx").alias("prefix_idx"))
+    fidx = funcs.select("thread", "func", "lib", F.col("idx").alias("func_idx"))
+    stacks = (stacks.join(par, ["thread", "parent"], "left")
+                    .join(fidx, [stacks["thread"] == fidx["thread"], stacks["func"] == fidx["func"],
+                                 stacks["lib"].eqNullSafe(fidx["lib"])], "left")
+                    .select(stacks["thread"], "idx", "node", "depth", "prefix_idx", "func_idx",
+                            stacks["func"], stacks["lib"], "parent"))
+
+    leaf = stacks.select("thread", F.col("node").alias("leaf"), F.col("idx").alias("stack_idx"))
+    sm = dense_index(skeys, ["thread"], ["pssid", "runnable", "pending_input", "platform"], n_sub)
+    sm = (sm.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
+            .join(leaf, ["thread", "leaf"])
+            .join(s_idx.withColumnRenamed("string", "runnable").withColumnRenamed("sidx", "runnable_idx"),
+                  ["thread", "runnable"])
+            .join(s_idx.withColumnRenamed("string", "platform").withColumnRenamed("sidx", "platform_idx"),
+                  ["thread", "platform"])
+            .join(s_idx.withColumnRenamed("string", "category").withColumnRenamed("sidx", "category_idx"),
+                  ["thread", "category"], "left")
+            .select("thread", "idx", "pssid", "pruned", "stack_idx", "runnable", "runnable_idx",
+                    F.col("pending_input").alias("userInteracting"), "platform", "platform_idx",
+                    "category", "category_idx"))
+
+    dates = (samples.join(sm.select("thread", "pssid", "runnable", F.col("userInteracting").alias("pending_input"),
+                                    "platform", F.col("idx").alias("sample_idx")),
+                          ["thread", "pssid", "runnable", "pending_input", "platform"])
+                    .select("thread", F.col("build_date").alias("date"), "sample_idx", "sample_ms", "sample_count"))
+    return ProfileTables(strings.select("thread", "idx", "string"), libs, funcs, stacks, sm, dates)
+
+
+def reconstruct_paths(stacks: DataFrame, max_depth: int = 300) -> DataFrame:
+    """Stack index -> list of (func, lib) from the root, by following
+    prefix indexes.  Pointer jumping: each round prepends the path of the
+    current ancestor and jumps to the ancestor's ancestor, so depth d takes
+    about log2(d) rounds (at most 9 for the 299-frame limit); each round is
+    checkpointed so the plan does not grow.  Reads only the stack table, so it
+    works on tables read back from files."""
+    from hangscope.session import materialize
+    done = F.col("anc").isNull() | (F.col("anc") == 0)
+    cur = materialize(stacks.select(
+        "thread", "idx",
+        F.when(F.col("idx") == 0, F.array().cast("array<struct<func:string,lib:string>>"))
+         .otherwise(F.array(F.struct(F.col("func"), F.col("lib")))).alias("path"),
+        F.col("prefix_idx").alias("anc")))
+    reach = 1
+    while reach < max_depth and cur.where(~done).limit(1).count() > 0:
+        a = cur.select("thread", F.col("idx").alias("anc"), F.col("path").alias("apath"), F.col("anc").alias("aanc"))
+        cur = materialize(cur.join(a, ["thread", "anc"], "left").select(
+            "thread", "idx",
+            F.when(done, F.col("path")).otherwise(F.concat("apath", "path")).alias("path"),
+            F.when(done, F.col("anc")).otherwise(F.col("aanc")).alias("anc")))
+        reach *= 2
+    return cur.select("thread", "idx", "path")
+
+
+def _sorted(col_struct: Column) -> Column:
+    return F.sort_array(F.collect_list(col_struct))
+
+
+def pack_profile(t: ProfileTables, usage: DataFrame, run_id: str, minimal: bool = False) -> DataFrame:
+    """One JSON document per thread in the profile's struct-of-arrays
+    shape (libs, funcTable, stackTable, sampleTable, stringArray, dates).  With
+    ``minimal`` the dates carry counts only.  Per-thread size is bounded by
+    pruning (every kept node holds more than the threshold of its parent)."""
+    libs = t.libs.groupBy("thread").agg(_sorted(F.struct("idx", "name", "offset", "path", "debugName", "debugPath", "arch"))
+                                        .alias("l")).select("thread", F.transform("l", lambda x: x.dropFields("idx")).alias("libs"))
+    funcs = t.funcs.groupBy("thread").agg(_sorted(F.struct("idx", "name_idx", "lib_idx")).alias("f")).select(
+        "thread", F.struct(F.col("f.name_idx").alias("name"), F.col("f.lib_idx").alias("lib"),
+                           F.size("f").alias("length")).alias("funcTable"))
+    stacks = t.stacks.groupBy("thread").agg(_sorted(F.struct("idx", "prefix_idx", "func_idx")).alias("s")).select(
+        "thread", F.struct(F.col("s.prefix_idx").alias("prefix"), F.col("s.func_idx").alias("func"),
+                           F.size("s").alias("length")).alias("stackTable"))
+    samples = t.samples.groupBy("thread").agg(_sorted(F.struct("idx", "stack_idx", "runnable_idx", "userInteracting",
+                                                                "platform_idx", "category_idx")).alias("s")).select(
+        "thread", F.struct(F.col("s.stack_idx").alias("stack"), F.col("s.runnable_idx").alias("runnable"),
+                           F.col("s.userInteracting").alias("userInteracting"), F.col("s.platform_idx").alias("platform"),
+                           F.col("s.category_idx").alias("category"), F.size("s").alias("length")).alias("sampleTable"))
+    strings = t.strings.groupBy("thread").agg(_sorted(F.struct("idx", "string")).alias("s")).select(
+        "thread", F.col("s.string").alias("stringArray"))
+    per_date = t.dates.groupBy("thread", "date").agg(
+        F.map_from_entries(F.collect_list(F.struct("sample_idx", "sample_ms"))).alias("ms"),
+        F.map_from_entries(F.collect_list(F.struct("sample_idx", "sample_count"))).alias("cnt"),
+        F.max("sample_idx").alias("top"))
+    rng = F.sequence(F.lit(0).cast("long"), F.col("top"))
+    fields = [F.col("date")]
+    if not minimal:
+        fields.append(F.transform(rng, lambda i: F.col("ms")[i]).alias("sampleHangMs"))
+    fields.append(F.transform(rng, lambda i: F.col("cnt")[i]).alias("sampleHangCount"))
+    dates = per_date.groupBy("thread").agg(_sorted(F.struct(*fields)).alias("dates"))
+    threads = (libs.join(funcs, "thread").join(stacks, "thread").join(samples, "thread", "left")
+                   .join(strings, "thread").join(dates, "thread", "left"))
+    return threads.select(
+        F.col("thread").alias("name"),
+        F.to_json(F.struct(F.col("thread").alias("name"), process_type(F.col("thread")).alias("processType"),
+                           "libs", "funcTable", "stackTable", "sampleTable", "stringArray", "dates")).alias("profile"),
+        F.lit(run_id).alias("uuid"))
+
+
+def usage_hours_json(usage: DataFrame) -> DataFrame:
+    """``usageHoursByDate`` of the profile as one JSON map (one row per date
+    range; dates are bounded by the window)."""
+    return usage.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("build_date", "usage_h"))))
+                     .alias("usageHoursByDate"))

@@ -171,3 +171,56 @@ ORACLE["positive_ms"] = with_views("""select stack, runnable, thread, h2.build_d
 from h2 join st on st.ping_id=h2.ping_id join u on u.build_date=h2.build_date
 where duration>=128 and duration<16000 and not cpu_high
 group by 1,2,3,4,5,6 having sum(duration) > 0""")
+
+# ---- profile tables (cumulative pruning) ----
+_PROF = {**_PRUNE, **_prune_sql("nt2", "rt2"),
+    "cutk": """select c.ping_id, c.thread, c.cut from cut c""",
+    "pnodes": """select c.thread, pf.node, fs.func, fs.lib, coalesce(p0.node, '') prefix
+  from cutk c join pf on pf.ping_id=c.ping_id and (c.cut is null or pf.pos < c.cut)
+  join fs on fs.ping_id=pf.ping_id and fs.pos=pf.pos
+  left join pf p0 on p0.ping_id=pf.ping_id and p0.pos=pf.pos-1
+  union
+  select c.thread, case when c.cut = 0 then '(other)@'||p1.lib else p0.node||'>(other)@'||p1.lib end,
+    '(other)', p1.lib, coalesce(p0.node, '')
+  from cutk c join pf p1 on p1.ping_id=c.ping_id and p1.pos=c.cut
+  left join pf p0 on p0.ping_id=c.ping_id and p0.pos=c.cut-1""",
+    "pcat": """select c.ping_id, c.thread, coalesce(max_by(f.cat1, case when f.cat1 is not null then f.pos end),
+    max_by(f.cat2, case when f.cat2 is not null then f.pos end)) category
+  from cutk c left join fcat f on f.ping_id=c.ping_id and (c.cut is null or f.pos < c.cut) group by 1,2""",
+    "psamp": """select rh.thread, rh.build_date, p.stack, rh.runnable, rh.pending_input, rh.platform, pc.category,
+    rh.duration, rh.ping_id
+  from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread
+  join pcat pc on pc.ping_id=rh.ping_id and pc.thread=rh.thread""",
+}
+ORACLE["string_table"] = with_views("""select thread, func string from pnodes
+ union select distinct thread, '(root)' from rh
+ union select thread, runnable from psamp union select thread, platform from psamp
+ union select thread, category from psamp where category is not null""", _PROF)
+ORACLE["lib_table"] = with_views("""select distinct thread, regexp_replace(lib, '\\.pdb$', '') name, lib "debugName"
+ from pnodes where lib is not null""", _PROF)
+ORACLE["func_table"] = with_views("""select distinct thread, func, lib from pnodes
+ union select distinct thread, '(root)', null from rh""", _PROF)
+ORACLE["stack_table"] = with_views("select distinct thread, func, lib, prefix from pnodes", _PROF)
+ORACLE["reconstruct_stacks"] = with_views("""select distinct thread, node stack from pnodes
+ union select distinct thread, '' from rh""", _PROF)
+ORACLE["sample_table"] = with_views("""select distinct thread, stack, runnable, pending_input "userInteracting",
+ platform, category from psamp""", _PROF)
+ORACLE["sample_category"] = with_views("select distinct thread, stack, category from psamp", _PROF)
+ORACLE["dates_table"] = with_views("""select thread, psamp.build_date date, stack, runnable, pending_input "userInteracting",
+ platform, sum(duration)/max(u.usage_h) sample_ms, count(*)/max(u.usage_h) sample_count
+ from psamp join u on u.build_date=psamp.build_date group by 1,2,3,4,5,6""", _PROF)
+ORACLE["minimal_profile"] = with_views("""select thread, date, stack, sample_count from (
+ select thread, psamp.build_date date, stack, runnable, pending_input, platform, count(*)/max(u.usage_h) sample_count
+ from psamp join u on u.build_date=psamp.build_date
+ where not (thread = 'Gecko_Child' and not pending_input) group by 1,2,3,4,5,6) t""", _PROF)
+ORACLE["pack_profile"] = with_views("""select t.thread "name", case when t.thread in ('Gecko_Child','Gecko_Child_ForcePaint')
+ then 'tab' else 'default' end process_type,
+ (select count(distinct lib) from pnodes p where p.thread=t.thread) n_libs,
+ (select count(*) from (select distinct func, lib from pnodes p where p.thread=t.thread)) + 1 n_funcs,
+ (select count(distinct node) from pnodes p where p.thread=t.thread) + 1 n_stacks,
+ (select count(*) from (select distinct stack, runnable, pending_input, platform from psamp p where p.thread=t.thread)) n_samples,
+ (select count(*) from (select func s from pnodes p where p.thread=t.thread union select '(root)'
+   union select runnable from psamp p where p.thread=t.thread union select platform from psamp p where p.thread=t.thread
+   union select category from psamp p where p.thread=t.thread and category is not null)) n_strings,
+ (select count(distinct build_date) from psamp p where p.thread=t.thread) n_dates
+ from (select distinct thread from rh) t""", _PROF)

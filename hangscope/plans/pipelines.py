@@ -38,3 +38,10 @@ def pruned(i: Inputs, cfg: HangConfig, cumulative: bool = False) -> DataFrame:
 
 def samples(i: Inputs, cfg: HangConfig, cumulative: bool = False) -> DataFrame:
     return ST.sample_table_by_date(pruned(i, cfg, cumulative), cfg)
+
+
+def profile_tables(i: Inputs, cfg: HangConfig, cumulative: bool = True):
+    """T3-T8 for the window (cumulative pruning, as the windowed job)."""
+    from hangscope.operators.profile import build_tables
+    pr = materialize(pruned(i, cfg, cumulative))
+    return build_tables(pr, ST.sample_table_by_date(pr, cfg), cfg)
