@@ -23,7 +23,9 @@ from hangscope.config import ROOT_FRAME, HangConfig
 from hangscope.functions.rules import CATEGORY_RULES_1, CATEGORY_RULES_2, first_rule
 from hangscope.operators.stacktree import prefix_ids
 
-ROOT_ID = F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"))
+def root_id() -> Column:
+    """Id of the root node (the seed of ``stacktree.prefix_ids``)."""
+    return F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"))
 
 
 def process_type(thread: Column) -> Column:
@@ -72,12 +74,12 @@ def _nodes(pruned_rows: DataFrame) -> DataFrame:
     """Distinct prefix nodes of the pruned stacks, per thread (T6 rows)."""
     st = pruned_rows.select("thread", "pssid", "pruned").distinct().withColumn("ids", prefix_ids(F.col("pruned")))
     z = st.select("thread", "ids", F.posexplode(F.arrays_zip("pruned", "ids")).alias("depth", "z"))
-    parent = F.when(F.col("depth") == 0, ROOT_ID).otherwise(F.element_at("ids", F.col("depth")))
+    parent = F.when(F.col("depth") == 0, root_id()).otherwise(F.element_at("ids", F.col("depth")))
     nodes = z.select("thread", "depth", F.col("z.pruned.func").alias("func"), F.col("z.pruned.lib").alias("lib"),
                      F.col("z.ids").alias("node"), parent.alias("parent")).dropDuplicates(["thread", "node"])
     roots = pruned_rows.select("thread").distinct().select(
         "thread", F.lit(-1).alias("depth"), F.lit(ROOT_FRAME).alias("func"), F.lit(None).cast("string").alias("lib"),
-        ROOT_ID.alias("node"), F.lit(None).cast("struct<h1:bigint,h2:bigint>").alias("parent"))
+        root_id().alias("node"), F.lit(None).cast("struct<h1:bigint,h2:bigint>").alias("parent"))
     return nodes.unionByName(roots)
 
 
