@@ -86,15 +86,17 @@ def _nodes(pruned_rows: DataFrame) -> DataFrame:
 def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) -> ProfileTables:
     """T3-T8 from pruned rate rows (all of them: the stack table) and the
     sample table by date (after P13/P14)."""
+    from hangscope.session import materialize
     n_sub = cfg.index_sub_buckets
-    nodes = _nodes(pruned_rows)
+    # every table below is read by several joins; each is computed once
+    nodes = materialize(_nodes(pruned_rows))
 
-    skeys = samples.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct() \
-                   .withColumn("category", stack_category(F.col("pruned")))
+    skeys = materialize(samples.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct()
+                        .withColumn("category", stack_category(F.col("pruned"))))
 
     libs = dense_index(nodes.where(F.col("lib").isNotNull()).select("thread", "lib").distinct(),
                        ["thread"], ["lib"], n_sub)
-    libs = libs.select("thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"),
+    libs = materialize(libs).select("thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"),
                        F.col("lib").alias("debugName"), F.col("lib").alias("debugPath"),
                        F.lit(0).alias("offset"), F.lit("").alias("path"), F.lit("").alias("arch"))
 
@@ -103,18 +105,19 @@ def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) ->
                .unionByName(skeys.select("thread", F.col("platform").alias("string")))
                .unionByName(skeys.where(F.col("category").isNotNull()).select("thread", F.col("category").alias("string")))
                .distinct())
-    strings = dense_index(strings, ["thread"], ["string"], n_sub)
+    strings = materialize(dense_index(strings, ["thread"], ["string"], n_sub))
     s_idx = strings.select("thread", "string", F.col("idx").alias("sidx"))
 
     funcs = dense_index(nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"], n_sub)
-    funcs = (funcs.join(s_idx.withColumnRenamed("string", "func").withColumnRenamed("sidx", "name_idx"), ["thread", "func"])
-                  .join(libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx")),
-                        ["thread", "lib"], "left"))
+    funcs = materialize(
+        funcs.join(s_idx.withColumnRenamed("string", "func").withColumnRenamed("sidx", "name_idx"), ["thread", "func"])
+             .join(libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx")),
+                   ["thread", "lib"], "left"))
 
-    stacks = dense_index(nodes, ["thread"], ["node"], n_sub, group="depth")
+    stacks = materialize(dense_index(nodes, ["thread"], ["node"], n_sub, group="depth"))
     par = stacks.select("thread", F.col("node").alias("parent"), F.col("idx").alias("prefix_idx"))
     fidx = funcs.select("thread", "func", "lib", F.col("idx").alias("func_idx"))
-    stacks = (stacks.join(par, ["thread", "parent"], "left")
+    stacks = materialize(stacks.join(par, ["thread", "parent"], "left")
                     .join(fidx, [stacks["thread"] == fidx["thread"], stacks["func"] == fidx["func"],
                                  stacks["lib"].eqNullSafe(fidx["lib"])], "left")
                     .select(stacks["thread"], "idx", "node", "depth", "prefix_idx", "func_idx",
@@ -122,7 +125,7 @@ def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) ->
 
     leaf = stacks.select("thread", F.col("node").alias("leaf"), F.col("idx").alias("stack_idx"))
     sm = dense_index(skeys, ["thread"], ["pssid", "runnable", "pending_input", "platform"], n_sub)
-    sm = (sm.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
+    sm = materialize(sm.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
             .join(leaf, ["thread", "leaf"])
             .join(s_idx.withColumnRenamed("string", "runnable").withColumnRenamed("sidx", "runnable_idx"),
                   ["thread", "runnable"])

@@ -36,8 +36,11 @@ def symbols_from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(symbol_precedence(parsed)), rejects
 
 
-def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig) -> Inputs:
-    pings = hang_pings(raw_pings, cfg)
+def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, scanned: bool = False) -> Inputs:
+    """``scanned``: the pings come from a source adapter that already applied
+    its own scan (the crash source), so only S4 and P1 remain."""
+    from hangscope.sources.pings import project_properties, valid_pings
+    pings = valid_pings(project_properties(raw_pings, cfg)) if scanned else hang_pings(raw_pings, cfg)
     symbols, rejects = symbols_from_lines(symbol_lines)
     return Inputs(pings, hangs_of(pings), symbols, rejects)
 

@@ -224,3 +224,28 @@ ORACLE["pack_profile"] = with_views("""select t.thread "name", case when t.threa
    union select category from psamp p where p.thread=t.thread and category is not null)) n_strings,
  (select count(distinct build_date) from psamp p where p.thread=t.thread) n_dates
  from (select distinct thread from rh) t""", _PROF)
+
+# ---- crash source ----
+_CRASH = {
+    "cframe": """select f.ping_id, f.pos, f.module_index,
+  case when f.module_index < 10 then (f.module_index + 1) * 1048576 else 0 end base,
+  ('0x'||f."offset")::bigint v from frame f where f.label is null""",
+    "cpos": """select ping_id, row_number() over (partition by ping_id order by pos desc) - 1 cpos, pos, module_index,
+  '0x'||lower(hex(v)) "offset" from cframe""",
+    "cst": """select c.ping_id, string_agg(fs.func||'@'||fs.lib, '>' order by c.cpos) stack
+  from cpos c join fs on fs.ping_id=c.ping_id and fs.pos=c.pos group by 1""",
+    "cu": """select build_date, count(*)*86400/3600000.0e0 usage_h from vping group by 1""",
+}
+ORACLE["scan_crash_pings"] = with_views("""select ping_id, substr(build_id,1,8) "submissionDate",
+ case o_orderpriority when '2-HIGH' then 'Gecko_Child' when '3-MEDIUM' then 'Compositor' else 'Gecko' end process_type
+ from ping""")
+ORACLE["crash_frame_rebase"] = with_views("""select ping_id, cpos pos, module_index, "offset" from cpos
+ where ping_id in (select ping_id from vping)""", _CRASH)
+ORACLE["crash_to_hang"] = with_views("""select v.ping_id, h.thread, 1::bigint duration, 'dummy_runnable' runnable,
+ h.thread process, coalesce(n.n, 0) n_frames
+ from vping v join hang h on h.ping_id=v.ping_id join (select distinct l_orderkey from lineitem) o on o.l_orderkey=v.ping_id
+ left join (select ping_id, count(*) n from cframe group by 1) n on n.ping_id=v.ping_id""", _CRASH)
+ORACLE["crash_hang_rates"] = with_views("""select cst.stack, 'dummy_runnable' runnable, h.thread, v.build_date, false pending_input,
+ v.platform, count(*)/max(cu.usage_h) ms_per_hour, count(*)/max(cu.usage_h) count_per_hour
+ from vping v join hang h on h.ping_id=v.ping_id join cst on cst.ping_id=v.ping_id join cu on cu.build_date=v.build_date
+ group by 1,2,3,4,5,6""", _CRASH)

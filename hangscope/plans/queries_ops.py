@@ -292,3 +292,42 @@ def q_positive(spark: SparkSession, sf: str) -> DataFrame:
     r = positive_ms(PL.rates(derived_inputs(spark, sf, DEFAULT), DEFAULT))
     return r.select(stack_text(F.col("sym_stack")).alias("stack"), "runnable", "thread", "build_date",
                     "pending_input", "platform", "ms_per_hour")
+
+
+# ---- crash source (S5-S7) ----
+
+def _crash_hang_pings(spark, sf, cfg):
+    from hangscope.sources.crashes import crash_to_hang, scan_crash_pings
+    return crash_to_hang(scan_crash_pings(derived.raw_crash_pings(spark, sf), cfg))
+
+
+@query("scan_crash_pings")
+def q_scan_crash(spark: SparkSession, sf: str) -> DataFrame:
+    from hangscope.sources.crashes import scan_crash_pings
+    return scan_crash_pings(derived.raw_crash_pings(spark, sf), DEFAULT).select(
+        "ping_id", "submissionDate", F.col("payload.processType").alias("process_type"))
+
+
+@query("crash_frame_rebase")
+def q_crash_frames(spark: SparkSession, sf: str) -> DataFrame:
+    h = H.explode_hangs(hang_pings(_crash_hang_pings(spark, sf, DEFAULT), DEFAULT))
+    return h.select("ping_id", F.posexplode("raw_stack").alias("pos", "f")).select(
+        "ping_id", "pos", "f.module_index", "f.offset")
+
+
+@query("crash_to_hang")
+def q_crash_to_hang(spark: SparkSession, sf: str) -> DataFrame:
+    p = hang_pings(_crash_hang_pings(spark, sf, DEFAULT), DEFAULT)
+    return H.explode_hangs(p).select("ping_id", "thread", "duration", "runnable", "process",
+                                     F.size("raw_stack").alias("n_frames"))
+
+
+@query("crash_hang_rates")
+def q_crash_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """The rate job on crash pings (lower bound 0 so crash hangs count)."""
+    from hangscope.plans.jobs import prepare
+    cfg = DEFAULT.with_(hang_lower_bound=0, use_crashes=True)
+    i = prepare(_crash_hang_pings(spark, sf, cfg), derived.symbol_lines(spark, sf), cfg, scanned=True)
+    r = PL.rates(i, cfg)
+    return r.select(stack_text(F.col("sym_stack")).alias("stack"), "runnable", "thread", "build_date",
+                    "pending_input", "platform", "ms_per_hour", "count_per_hour")

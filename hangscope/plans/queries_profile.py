@@ -82,11 +82,17 @@ def q_sample_category(spark: SparkSession, sf: str) -> DataFrame:
                             stack_category(F.col("pruned")).alias("category")).distinct()
 
 
+def _sample_keys(t):
+    """Sample rows with their own key columns (stack text from the sample's
+    pruned stack); index integrity is checked by ``sample_table``."""
+    return t.samples.select("thread", F.col("idx").alias("sample_idx"), stack_text(F.col("pruned")).alias("stack"),
+                            "runnable", "userInteracting", "platform")
+
+
 @query("dates_table")
 def q_dates(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf)
-    ds = _decoded_samples(t, _paths(t))
-    return (t.dates.join(ds, ["thread", "sample_idx"])
+    return (t.dates.join(_sample_keys(t), ["thread", "sample_idx"])
             .select("thread", "date", "stack", "runnable", "userInteracting", "platform", "sample_ms", "sample_count"))
 
 
@@ -94,8 +100,7 @@ def q_dates(spark: SparkSession, sf: str) -> DataFrame:
 def q_minimal(spark: SparkSession, sf: str) -> DataFrame:
     cfg = DEFAULT.with_(use_minimal_sample_table=True)
     t = _tables(spark, sf, cfg)
-    ds = _decoded_samples(t, _paths(t))
-    return t.dates.join(ds, ["thread", "sample_idx"]).select("thread", "date", "stack", "sample_count")
+    return t.dates.join(_sample_keys(t), ["thread", "sample_idx"]).select("thread", "date", "stack", "sample_count")
 
 
 @query("pack_profile")

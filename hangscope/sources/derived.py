@@ -157,3 +157,43 @@ def symbol_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "debug_name", "breakpad_id", (a * 2 + 1).alias("line_no"),
         F.concat(F.lit("PUBLIC "), F.lower(F.hex(a)), F.lit(" 0 "), F.col("symbol")).alias("line"))
     return func.unionByName(public)
+
+
+def raw_crash_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crash pings: one per order, the crashing thread's frames from its line
+    items (label line items carry no module index and get dropped), modules
+    0..9 loaded at base ``(r + 1) * 0x100000``; processType follows the
+    thread rule; submitted on the build date."""
+    p = hang_columns(ping_columns(spark, sf_dir))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = table(spark, sf_dir, "lineitem")
+    items = F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")))
+
+    def frame(x):
+        native = x["l_suppkey"] % 10 != 0
+        idx = (x["l_partkey"] % 12).cast("int")
+        off = (x["l_partkey"] % 240) * 16 + x["l_linenumber"]
+        base = F.when(idx < 10, (idx + 1) * 0x100000).otherwise(F.lit(0))
+        return F.struct(F.concat(F.lit("0x"), F.lower(F.hex(off + base))).alias("ip"),
+                        F.when(native, idx).alias("module_index"))
+
+    frames = (li.groupBy(F.col("l_orderkey").alias("ping_id")).agg(items.alias("items"))
+                .select("ping_id", F.transform("items", frame).alias("frames")))
+    mods = []
+    for r in range(10):
+        mods.append(F.struct(F.lit(f"0x{(r + 1) * 0x100000:x}").alias("base_addr"),
+                             F.lit(f"lib{r}" + (".pdb" if r % 2 == 0 else ".so")).alias("debug_file"),
+                             (F.lit(None).cast("string") if r == 9 else F.lit(f"ID{r}")).alias("debug_id")))
+    j = p.repartition(n, "ping_id").join(frames, "ping_id", "left")
+    threads = F.when(F.col("frames").isNotNull(), F.array(F.struct(F.col("frames").alias("frames"))))
+    return j.select(
+        "ping_id", F.lit("crash").alias("doc_type"), F.lit("nightly").alias("channel"),
+        F.substring("build_id", 1, 8).alias("submissionDate"),
+        F.struct(F.struct(F.struct(F.col("os_name").alias("name"), F.col("os_version").alias("version"))
+                          .alias("os")).alias("system")).alias("environment"),
+        F.struct(F.col("arch").alias("architecture"), F.col("build_id").alias("buildId")).alias("application"),
+        F.struct(F.col("thread").alias("processType"),
+                 F.struct(F.struct(F.when(threads.isNotNull(), F.lit(0)).alias("crashing_thread")).alias("crash_info"),
+                          threads.alias("threads"), F.array(*mods).alias("modules")).alias("stackTraces"))
+        .alias("payload"))
