@@ -125,7 +125,9 @@ def sample_table_by_date(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
     if cfg.use_minimal_sample_table:
         p = p.where(~((F.col("thread") == "Gecko_Child") & ~F.col("pending_input")))
     if cfg.post_sample_size < 1.0:
-        key = F.to_json(F.struct("thread", "build_date", "ssid", "runnable", "pending_input", "platform"))
+        from hangscope.functions.frames import stack_text
+        key = F.concat_ws("|", "thread", "build_date", stack_text(F.col("sym_stack")), "runnable",
+                          F.col("pending_input").cast("string"), "platform")
         p = p.where(sample_keep(key, cfg.post_sample_size))
     g = (p.groupBy("thread", "build_date", "pssid", "pruned", "runnable", "pending_input", "platform")
           .agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"),

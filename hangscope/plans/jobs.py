@@ -48,3 +48,19 @@ def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, scan
 def derived_inputs(spark: SparkSession, sf_dir: str, cfg: HangConfig) -> Inputs:
     """Inputs derived from the given tables (see ``sources.derived``)."""
     return prepare(derived.raw_pings(spark, sf_dir), derived.symbol_lines(spark, sf_dir), cfg)
+
+
+def finalize_daily(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame:
+    """A12 (+S11, P14): read daily sample increments back, prune them again
+    per day (a no-op for output written with the same threshold), apply the
+    post-sample and add up.  Returns sample rows like
+    ``stacktree.sample_table_by_date``."""
+    from pyspark.sql import functions as F
+    from hangscope.functions.frames import stack_id
+    from hangscope.operators import stacktree as ST
+    from hangscope.sources.profiles import read_daily
+    d = read_daily(spark, path, cfg.start_date, cfg.end_date)
+    rows = d.select("thread", "build_date", F.col("pruned").alias("sym_stack"), "runnable", "pending_input",
+                    "platform", "hang_ms", "hang_count", "usage_h",
+                    F.col("sample_ms").alias("ms_per_hour")).withColumn("ssid", stack_id(F.col("sym_stack")))
+    return ST.sample_table_by_date(ST.prune(materialize(rows), cfg, cumulative=False), cfg)

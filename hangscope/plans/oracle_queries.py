@@ -249,3 +249,29 @@ ORACLE["crash_hang_rates"] = with_views("""select cst.stack, 'dummy_runnable' ru
  v.platform, count(*)/max(cu.usage_h) ms_per_hour, count(*)/max(cu.usage_h) count_per_hour
  from vping v join hang h on h.ping_id=v.ping_id join cst on cst.ping_id=v.ping_id join cu on cu.build_date=v.build_date
  group by 1,2,3,4,5,6""", _CRASH)
+
+# ---- sinks, increments, merges ----
+_DAILY = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["finalize_profiles"] = _DAILY
+ORACLE["post_sample"] = with_views("""select * from (""" + _SAMPLES + """) s
+ where ('0x'||substr(md5(concat_ws('|', thread, build_date, stack, runnable, cast(pending_input as varchar), platform)),1,8))::bigint
+   % 10000 < 5000""", {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["write_profile"] = with_views("""select t.thread "name",
+ (select count(*) from (select distinct func, lib from pnodes p where p.thread=t.thread)) + 1 n_funcs,
+ (select count(distinct node) from pnodes p where p.thread=t.thread) + 1 n_stacks,
+ (select count(*) from (select distinct stack, runnable, pending_input, platform from psamp p where p.thread=t.thread)) n_samples
+ from (select distinct thread from rh) t""", _PROF)
+ORACLE["write_split"] = with_views("""select thread, 'stringArray' section, count(*) "rows" from (
+   select thread, func s from pnodes union select distinct thread, '(root)' from rh
+   union select thread, runnable from psamp union select thread, platform from psamp
+   union select thread, category from psamp where category is not null) x group by 1
+ union all select thread, 'libs', count(distinct lib) from pnodes where lib is not null group by 1
+ union all select thread, 'funcTable', count(*) + 1 from (select distinct thread, func, lib from pnodes) x group by 1
+ union all select thread, 'stackTable', count(distinct node) + 1 from pnodes group by 1
+ union all select thread, 'sampleTable', count(*) from (select distinct thread, stack, runnable, pending_input, platform from psamp) x group by 1
+ union all select thread, 'dates', count(*) from (select distinct thread, build_date, stack, runnable, pending_input, platform from psamp) x group by 1""", _PROF)
+ORACLE["merge_histograms"] = with_views(f"""select component, thread, category, lab2.build_date, {_BUCKET_RATES}
+ from lab2 join u on u.build_date = lab2.build_date group by 1,2,3,4""", _HB)
+ORACLE["merge_usage_hours"] = with_views("""select build_date, sum(usage_h) usage_h from (
+ select build_date, usage_h from u where build_date <= '19951231'
+ union all select build_date, usage_h from u where build_date >= '19950101') x group by 1""")

@@ -117,3 +117,77 @@ def q_pack(spark: SparkSession, sf: str) -> DataFrame:
                       j("$.sampleTable.length").alias("n_samples"),
                       F.json_array_length(F.get_json_object("profile", "$.stringArray")).cast("long").alias("n_strings"),
                       F.json_array_length(F.get_json_object("profile", "$.dates")).cast("long").alias("n_dates"))
+
+
+# ---- sinks, increments, merges (S11-S13, A9, A12, J6, P14) ----
+
+@query("finalize_profiles")
+def q_finalize(spark: SparkSession, sf: str) -> DataFrame:
+    """Incremental write (daily pruned samples, one partition per build date)
+    then finalize: read back, re-prune per day, add up."""
+    from hangscope.plans.jobs import finalize_daily
+    from hangscope.sources.profiles import scratch_path, write_daily
+    i = derived_inputs(spark, sf, DEFAULT)
+    path = scratch_path(spark, "daily")
+    write_daily(PL.samples(i, DEFAULT, cumulative=False), path)
+    s = finalize_daily(spark, path, DEFAULT)
+    return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "sample_ms", "sample_count")
+
+
+@query("post_sample")
+def q_post_sample(spark: SparkSession, sf: str) -> DataFrame:
+    from hangscope.plans.jobs import finalize_daily
+    from hangscope.sources.profiles import scratch_path, write_daily
+    i = derived_inputs(spark, sf, DEFAULT)
+    path = scratch_path(spark, "daily")
+    write_daily(PL.samples(i, DEFAULT, cumulative=False), path)
+    s = finalize_daily(spark, path, DEFAULT.with_(post_sample_size=0.5))
+    return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "sample_ms", "sample_count")
+
+
+@query("write_profile")
+def q_write_profile(spark: SparkSession, sf: str) -> DataFrame:
+    from hangscope.operators.profile import pack_profile, usage_hours_json
+    from hangscope.operators.rates import usage_hours_by_date
+    from hangscope.sources.profiles import read_profile, scratch_path, write_profile
+    i = derived_inputs(spark, sf, DEFAULT)
+    t = PL.profile_tables(i, DEFAULT)
+    usage = usage_hours_by_date(i.pings)
+    path = scratch_path(spark, "profile")
+    write_profile(pack_profile(t, usage, DEFAULT.run_id), usage_hours_json(usage), path, DEFAULT.run_id)
+    doc = read_profile(spark, path)
+    j = lambda p: F.get_json_object("profile", p).cast("long")
+    return doc.select("name", j("$.funcTable.length").alias("n_funcs"), j("$.stackTable.length").alias("n_stacks"),
+                      j("$.sampleTable.length").alias("n_samples"))
+
+
+@query("write_split")
+def q_write_split(spark: SparkSession, sf: str) -> DataFrame:
+    from hangscope.sources.profiles import scratch_path, write_split
+    t = PL.profile_tables(derived_inputs(spark, sf, DEFAULT), DEFAULT)
+    return write_split(t, scratch_path(spark, "split"))
+
+
+def _window_inputs(spark, sf, start, end):
+    return derived_inputs(spark, sf, DEFAULT.with_(start_date=start, end_date=end))
+
+
+@query("merge_histograms")
+def q_merge_hist(spark: SparkSession, sf: str) -> DataFrame:
+    """An earlier result (build dates up to 1995-12) merged with a new one
+    (from 1995-01): new keys win, earlier-only keys stay."""
+    from hangscope.operators.histograms import merge_histograms
+    old = PL.histogram_rates(_window_inputs(spark, sf, "19000101", "19951231"), DEFAULT)
+    new = PL.histogram_rates(_window_inputs(spark, sf, "19950101", "29991231"), DEFAULT)
+    return merge_histograms(old, new)
+
+
+@query("merge_usage_hours")
+def q_merge_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Usage hours of two windows added per date (overlap counted twice)."""
+    from hangscope.operators.rates import usage_hours_by_date
+    a = usage_hours_by_date(_window_inputs(spark, sf, "19000101", "19951231").pings)
+    b = usage_hours_by_date(_window_inputs(spark, sf, "19950101", "29991231").pings)
+    return a.unionByName(b).groupBy("build_date").agg(F.sum("usage_h").alias("usage_h"))
