@@ -275,3 +275,18 @@ ORACLE["merge_histograms"] = with_views(f"""select component, thread, category,
 ORACLE["merge_usage_hours"] = with_views("""select build_date, sum(usage_h) usage_h from (
  select build_date, usage_h from u where build_date <= '19951231'
  union all select build_date, usage_h from u where build_date >= '19950101') x group by 1""")
+
+ORACLE["stack_node_totals"] = with_views("""select rh.thread, rh.build_date, pf.node, pf.pos depth, sum(rh.duration) node_ms
+ from rh join pf on pf.ping_id=rh.ping_id group by 1,2,3,4""", _PRUNE)
+ORACLE["sample_table_by_date"] = with_views("""select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform,
+  sum(duration) hang_ms, count(*) hang_count
+from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread group by 1,2,3,4,5,6""",
+    {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["minimal_sample_filter"] = with_views("""select * from (
+ select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform, count(*)/max(u.usage_h) sample_count
+ from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread join u on u.build_date=rh.build_date
+ group by 1,2,3,4,5,6) s where not (thread = 'Gecko_Child' and not pending_input)""",
+    {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["histogram_add"] = with_views(f"""select component, thread, category, build_date, {_BUCKET_SUMS} from (
+ select * from lab2 where build_date <= '19951231' union all select * from lab2 where build_date >= '19950101') x
+ group by 1,2,3,4""", _HB)

@@ -191,3 +191,41 @@ def q_merge_usage(spark: SparkSession, sf: str) -> DataFrame:
     a = usage_hours_by_date(_window_inputs(spark, sf, "19000101", "19951231").pings)
     b = usage_hours_by_date(_window_inputs(spark, sf, "19950101", "29991231").pings)
     return a.unionByName(b).groupBy("build_date").agg(F.sum("usage_h").alias("usage_h"))
+
+
+@query("stack_node_totals")
+def q_node_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """A10: inclusive hang ms of every stack prefix per (thread, build date)."""
+    from hangscope.operators.stacktree import positive_ms
+    r = materialize(PL.rates(derived_inputs(spark, sf, DEFAULT), DEFAULT))
+    w = positive_ms(r).groupBy("thread", "build_date", "sym_stack").agg(F.sum("hang_ms").alias("ms"))
+    ex = w.select("thread", "build_date", "ms", "sym_stack", F.posexplode("sym_stack").alias("depth", "f"))
+    node = stack_text(F.slice("sym_stack", F.lit(1), F.col("depth") + 1))
+    return ex.groupBy("thread", "build_date", node.alias("node"), "depth").agg(F.sum("ms").alias("node_ms"))
+
+
+@query("sample_table_by_date")
+def q_samples_daily(spark: SparkSession, sf: str) -> DataFrame:
+    s = PL.samples(derived_inputs(spark, sf, DEFAULT), DEFAULT, cumulative=False)
+    return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "hang_ms", "hang_count")
+
+
+@query("minimal_sample_filter")
+def q_minimal_filter(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = DEFAULT.with_(use_minimal_sample_table=True)
+    s = PL.samples(derived_inputs(spark, sf, cfg), cfg, cumulative=False)
+    return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "sample_count")
+
+
+@query("histogram_add")
+def q_hist_add(spark: SparkSession, sf: str) -> DataFrame:
+    """Bucket arrays of two windows added element-wise per key."""
+    from hangscope.operators import histograms as HG
+    a = HG.as_array(PL.histogram_counts(_window_inputs(spark, sf, "19000101", "19951231"), DEFAULT))
+    b = HG.as_array(PL.histogram_counts(_window_inputs(spark, sf, "19950101", "29991231"), DEFAULT))
+    zeros = F.array_repeat(F.lit(0).cast("bigint"), 8)
+    j = a.withColumnRenamed("hist", "ha").join(b.withColumnRenamed("hist", "hb"), HG.KEY, "full_outer")
+    s = j.select(*HG.KEY, HG.histogram_add(F.coalesce("ha", zeros), F.coalesce("hb", zeros)).alias("hist"))
+    return s.select(*HG.KEY, *[F.col("hist")[i].alias(f"h{i}") for i in range(8)])
