@@ -290,3 +290,9 @@ ORACLE["minimal_sample_filter"] = with_views("""select * from (
 ORACLE["histogram_add"] = with_views(f"""select component, thread, category, build_date, {_BUCKET_SUMS} from (
  select * from lab2 where build_date <= '19951231' union all select * from lab2 where build_date >= '19950101') x
  group by 1,2,3,4""", _HB)
+ORACLE["read_profile"] = with_views("""select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform,
+  sum(duration) hang_ms, count(*) hang_count
+from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread
+where rh.build_date between '19950101' and '19961231' group by 1,2,3,4,5,6""", {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["module_key"] = with_views("""select debug_name, breakpad_id, debug_name||'\\'||coalesce(breakpad_id, 'None') module_key
+ from module""")

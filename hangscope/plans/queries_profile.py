@@ -13,6 +13,7 @@ from hangscope.plans import pipelines as PL
 from hangscope.plans.jobs import derived_inputs
 from hangscope.plans.queries import query
 from hangscope.session import materialize
+from hangscope.sources import derived
 
 
 def _tables(spark, sf, cfg=DEFAULT):
@@ -229,3 +230,25 @@ def q_hist_add(spark: SparkSession, sf: str) -> DataFrame:
     j = a.withColumnRenamed("hist", "ha").join(b.withColumnRenamed("hist", "hb"), HG.KEY, "full_outer")
     s = j.select(*HG.KEY, HG.histogram_add(F.coalesce("ha", zeros), F.coalesce("hb", zeros)).alias("hist"))
     return s.select(*HG.KEY, *[F.col("hist")[i].alias(f"h{i}") for i in range(8)])
+
+
+@query("read_profile")
+def q_read_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily increments written by build date, read back for a window
+    (only the window's partitions are listed and read)."""
+    from hangscope.sources.profiles import read_daily, scratch_path, write_daily
+    path = scratch_path(spark, "daily")
+    write_daily(PL.samples(derived_inputs(spark, sf, DEFAULT), DEFAULT, cumulative=False), path)
+    d = read_daily(spark, path, "19950101", "19961231")
+    return d.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "hang_ms", "hang_count")
+
+
+@query("module_key")
+def q_module_key(spark: SparkSession, sf: str) -> DataFrame:
+    """M9: the text key ``name\\id`` of a module (``None`` for a missing id);
+    joins use the two columns, this is the printable form only."""
+    from hangscope.sources.pings import hang_pings
+    mods = hang_pings(derived.raw_pings(spark, sf), DEFAULT).select(F.explode("modules").alias("m")).select("m.*").distinct()
+    return mods.select("debug_name", "breakpad_id",
+                       F.concat(F.col("debug_name"), F.lit("\\"), F.coalesce(F.col("breakpad_id"), F.lit("None"))).alias("module_key"))
