@@ -20,6 +20,7 @@ from hangscope.operators.hangs import hangs_of
 from hangscope.session import materialize
 from hangscope.sources import derived
 from hangscope.sources.pings import hang_pings
+from hangscope.sources.profiles import output_name
 from hangscope.sources.symbols import parse_symbol_lines, symbol_precedence
 
 
@@ -50,11 +51,8 @@ def derived_inputs(spark: SparkSession, sf_dir: str, cfg: HangConfig) -> Inputs:
     return prepare(derived.raw_pings(spark, sf_dir), derived.symbol_lines(spark, sf_dir), cfg)
 
 
-def finalize_daily(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame:
-    """A12 (+S11, P14): read daily sample increments back, prune them again
-    per day (a no-op for output written with the same threshold), apply the
-    post-sample and add up.  Returns sample rows like
-    ``stacktree.sample_table_by_date``."""
+def _finalized_pruned(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame:
+    """Daily increments of the window read back and pruned again per day."""
     from pyspark.sql import functions as F
     from hangscope.functions.frames import stack_id
     from hangscope.operators import stacktree as ST
@@ -63,4 +61,112 @@ def finalize_daily(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame
     rows = d.select("thread", "build_date", F.col("pruned").alias("sym_stack"), "runnable", "pending_input",
                     "platform", "hang_ms", "hang_count", "usage_h",
                     F.col("sample_ms").alias("ms_per_hour")).withColumn("ssid", stack_id(F.col("sym_stack")))
-    return ST.sample_table_by_date(ST.prune(materialize(rows), cfg, cumulative=False), cfg)
+    return ST.prune(materialize(rows), cfg, cumulative=False)
+
+
+def finalize_daily(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame:
+    """A12 (+S11, P14): read daily sample increments back, prune them again
+    per day (a no-op for output written with the same threshold), apply the
+    post-sample and add up.  Returns sample rows like
+    ``stacktree.sample_table_by_date``."""
+    from hangscope.operators import stacktree as ST
+    return ST.sample_table_by_date(_finalized_pruned(spark, path, cfg), cfg)
+
+
+# ---- job entry points (the original's four jobs) ----
+
+def _day_before(yyyymmdd: str) -> str:
+    import datetime as _dt
+    return (_dt.datetime.strptime(yyyymmdd, "%Y%m%d").date() - _dt.timedelta(days=1)).strftime("%Y%m%d")
+
+
+def _end_excluded(cfg: HangConfig) -> HangConfig:
+    """The profile jobs' day loops stop before ``end_date``."""
+    return cfg.with_(end_date=_day_before(cfg.end_date)) if cfg.end_date else cfg
+
+
+def inputs_for(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig) -> Inputs:
+    """Hang pings, or crash pings when ``cfg.use_crashes`` (only the source
+    changes; crash jobs should pass ``hang_lower_bound=0``)."""
+    if cfg.use_crashes:
+        from hangscope.sources.crashes import crash_to_hang, scan_crash_pings
+        return prepare(crash_to_hang(scan_crash_pings(raw_pings, cfg)), symbol_lines, cfg, scanned=True)
+    return prepare(raw_pings, symbol_lines, cfg)
+
+
+def _out_path(root: str, cfg: HangConfig) -> str:
+    return f"{root.rstrip('/')}/{output_name(cfg.out_name, cfg, cfg.end_date)}"
+
+
+def _write_tables(tables, usage: DataFrame, cfg: HangConfig, path: str) -> None:
+    """Packed per-thread documents, or split section tables with a
+    manifest when ``cfg.split_threads_in_out_file``."""
+    from hangscope.operators.profile import pack_profile, usage_hours_json
+    from hangscope.sources.profiles import write_profile, write_split
+    if cfg.split_threads_in_out_file:
+        write_split(tables, path).write.mode("overwrite").json(f"{path}/manifest")
+    else:
+        packed = pack_profile(tables, usage, cfg.run_id, minimal=cfg.use_minimal_sample_table)
+        write_profile(packed, usage_hours_json(usage), path, cfg.run_id)
+
+
+def etl_hang_profile(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, out_root: str) -> str:
+    """Job 3.1: the windowed hang profile (start_date up to, not including,
+    end_date; cumulative pruning) written under ``out_root``.  Returns the
+    output path."""
+    from hangscope.operators.rates import usage_hours_by_date
+    from hangscope.plans import pipelines as PL
+    cfg = _end_excluded(cfg)
+    i = inputs_for(raw_pings, symbol_lines, cfg)
+    path = _out_path(out_root, cfg)
+    _write_tables(PL.profile_tables(i, cfg, cumulative=True), usage_hours_by_date(i.pings), cfg, path)
+    return path
+
+
+def etl_tracked_stats(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, path: str) -> None:
+    """Job 3.2: duration histograms per usage hour for the window (end date
+    included) merged into the result stored at ``path`` (J6: new keys win,
+    earlier keys stay).  The store is partitioned by build date and only the
+    dates the window touches are rewritten; the merged rows are checkpointed
+    first, so the overwrite never reads the partitions it replaces."""
+    from pyspark.sql.utils import AnalysisException
+    from hangscope.operators.histograms import merge_histograms
+    from hangscope.plans import pipelines as PL
+    from hangscope.sources.profiles import read_daily, write_daily
+    new = PL.histogram_rates(inputs_for(raw_pings, symbol_lines, cfg), cfg)
+    spark = new.sparkSession
+    try:
+        old = read_daily(spark, path).select(*new.columns)
+    except AnalysisException:        # no earlier result yet
+        old = None
+    if old is not None:
+        new = materialize(merge_histograms(old.join(new.select("build_date").distinct(), "build_date", "left_semi"),
+                                           new))
+    write_daily(new, path)
+
+
+def etl_incremental_write(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, path: str) -> None:
+    """Job 3.3, write half: daily pruned samples of the window (end date
+    excluded), one partition per build date; rewriting a day replaces only
+    that day."""
+    from hangscope.plans import pipelines as PL
+    from hangscope.sources.profiles import write_daily
+    cfg = _end_excluded(cfg)
+    write_daily(PL.samples(inputs_for(raw_pings, symbol_lines, cfg), cfg, cumulative=False), path)
+
+
+def etl_incremental_finalize(spark: SparkSession, cfg: HangConfig, in_path: str, out_root: str) -> str:
+    """Job 3.3, finalize half (A12): the window's daily increments read back,
+    re-pruned per day, added up and written as one profile under
+    ``out_root``.  Returns the output path."""
+    from pyspark.sql import functions as F
+    from hangscope.operators import stacktree as ST
+    from hangscope.operators.profile import build_tables
+    from hangscope.sources.profiles import read_daily
+    cfg = _end_excluded(cfg)
+    pr = materialize(_finalized_pruned(spark, in_path, cfg))
+    usage = (read_daily(spark, in_path, cfg.start_date, cfg.end_date)
+             .groupBy("build_date").agg(F.max("usage_h").alias("usage_h")))
+    path = _out_path(out_root, cfg)
+    _write_tables(build_tables(pr, ST.sample_table_by_date(pr, cfg), cfg), usage, cfg, path)
+    return path
