@@ -42,9 +42,12 @@ def positive_ms(rates: DataFrame) -> DataFrame:
 
 
 def _stack_weights(rates: DataFrame) -> DataFrame:
-    """Per (thread, build date, symbolic stack): hang ms and its rate."""
-    return (rates.groupBy("thread", "build_date", "ssid", "sym_stack")
-                 .agg(F.sum("hang_ms").alias("ms"), F.max("usage_h").alias("usage_h")))
+    """Per (thread, build date, symbolic stack): hang ms and usage hours.
+    Grouped by the stack's content id; the array itself (equal for equal ids)
+    rides along instead of being hashed and compared as a key."""
+    return (rates.groupBy("thread", "build_date", "ssid")
+                 .agg(F.any_value("sym_stack").alias("sym_stack"), F.sum("hang_ms").alias("ms"),
+                      F.max("usage_h").alias("usage_h")))
 
 
 def _exploded_nodes(weights: DataFrame) -> DataFrame:
@@ -52,10 +55,10 @@ def _exploded_nodes(weights: DataFrame) -> DataFrame:
                           F.posexplode(prefix_ids(F.col("sym_stack"))).alias("pos", "node"))
 
 
-def stack_node_totals(rates: DataFrame) -> DataFrame:
+def stack_node_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
     """A10: per (thread, build date, node): inclusive hang ms (``node_ms``),
     node depth, and the thread's total for that date (``root_ms``)."""
-    w = _stack_weights(positive_ms(rates))
+    w = _stack_weights(positive_ms(rates)) if w is None else w
     nodes = (_exploded_nodes(w).groupBy("thread", "build_date", "node")
              .agg(F.sum("ms").alias("node_ms"), F.max("pos").alias("depth")))
     roots = w.groupBy("thread", "build_date").agg(F.sum("ms").alias("root_ms"))
@@ -79,16 +82,17 @@ def pruned_stack(stack, cut):
     return F.when(cut.isNull(), stack).otherwise(F.concat(F.slice(stack, F.lit(1), cut), F.array(other)))
 
 
-def daily_totals(rates: DataFrame) -> DataFrame:
+def daily_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
     """Node totals of each build date alone (integer ms)."""
-    t = stack_node_totals(rates)
+    t = stack_node_totals(rates, w)
     return t.select("thread", "build_date", "node", F.col("node_ms").alias("v"), F.col("root_ms").alias("root"))
 
 
-def cumulative_totals(rates: DataFrame) -> DataFrame:
+def cumulative_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
     """T2 totals: per hour of usage, summed over every build date up to and
-    including each date (the original's single processor fed day by day)."""
-    w = _stack_weights(positive_ms(rates))
+    including each date (the original's single processor fed day by day).
+    ``w``: the stack weights of ``rates`` when the caller already has them."""
+    w = _stack_weights(positive_ms(rates)) if w is None else w
     day_nodes = (_exploded_nodes(w).groupBy("thread", "build_date", "node")
                  .agg(F.sum("ms").alias("node_ms"), F.max("usage_h").alias("usage_h")))
     run_n = Window.partitionBy("thread", "node").orderBy("build_date").rowsBetween(Window.unboundedPreceding, 0)
@@ -103,9 +107,11 @@ def cumulative_totals(rates: DataFrame) -> DataFrame:
 def prune(rates: DataFrame, cfg: HangConfig, cumulative: bool = False) -> DataFrame:
     """T1 (daily totals) or T2 (cumulative totals): rates rows with their
     stack replaced by the pruned stack (``pruned``, ``pssid``)."""
+    from hangscope.session import materialize
     r = positive_ms(rates)
-    w = _stack_weights(r)
-    totals = cumulative_totals(r) if cumulative else daily_totals(r)
+    # read by the node totals, the root totals and the cut search: computed once
+    w = materialize(_stack_weights(r))
+    totals = cumulative_totals(r, w) if cumulative else daily_totals(r, w)
     cuts = _cuts(w, totals, "v", "root", cfg.stack_acceptance_threshold)
     j = r.join(cuts, ["thread", "build_date", "ssid"])
     p = pruned_stack(F.col("sym_stack"), F.col("cut"))
