@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontaminate, warc
 from .common import table
+from .licenses import license_columns, scan_licenses
 from .token_counts import count_tokens
 from .token_store import store_digests
 
@@ -23,6 +25,20 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), END_ID)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_columns(scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
@@ -32,6 +48,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_ids": op1_token_ids,
+    "op2_license_scan": op2_license_scan,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE}
