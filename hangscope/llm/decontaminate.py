@@ -162,8 +162,8 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH cut(s, t) AS (VALUES ('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
-d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), s, t), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents, cut),
-b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''), s, t), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark, cut),
+d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), s, t), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents, cut),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''), s, t), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark, cut),
 bi AS (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
 win AS (SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS phrase FROM bi),
 lens AS (SELECT DISTINCT n FROM win),
