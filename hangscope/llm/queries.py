@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, warc
+from . import decontaminate, ngram_join, warc
 from .common import table
 from .licenses import license_columns, scan_licenses
 from .token_counts import count_tokens
@@ -46,11 +46,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+    return got.select(F.col("doc").alias("doc_id"), "class_id", "n_links")
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_license_scan": op2_license_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
+    "op9_ngram_join": op9_ngram_join,
 }
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE}
