@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, warc
+from . import decontaminate, language_id, ngram_join, warc
 from .common import table
 from .licenses import license_columns, scan_licenses
 from .token_counts import count_tokens
@@ -29,6 +29,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_columns(scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), language_id.train(docs))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select(F.col("doc").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
@@ -54,6 +60,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_license_scan": op2_license_scan,
+    "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
