@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, ngram_join, warc
+from . import ann, decontaminate, language_id, mixing, ngram_join, url_filter, warc
 from .common import table
 from .licenses import license_columns, scan_licenses
 from .token_counts import count_tokens
@@ -29,6 +29,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_columns(scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select(F.col("doc").alias("doc_id"), "n_tokens", *[F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(mixing.DOMAINS)], "rate",
+                        F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -52,18 +58,30 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
     return got.select(F.col("doc").alias("doc_id"), "class_id", "n_links")
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_license_scan": op2_license_scan,
+    "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_token_counts": op7_token_counts,
+    "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
+    "op10_nearest": op10_nearest,
 }
 ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE}
