@@ -319,11 +319,13 @@ class Labeller:
         return out
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text", spans: bool = False, batch_chars: int = 4_000_000) -> DataFrame:
-    """``docs`` without ``text``, with ``lang_pred``, ``score`` and, if asked, ``spans`` (runs of words of one language)."""
+def identify(docs: DataFrame, model: Model | None, text: str = "text", spans: bool = False, keep_text: bool = False,
+             batch_chars: int = 4_000_000) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and, if asked, ``spans`` (runs of words of one language); without ``text`` unless it is to be kept."""
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())] + ([T.StructField("spans", SPANS)] if spans else [])
     names = {f.name for f in added}
     others = [f for f in docs.schema.fields if f.name != text and f.name not in names]
+    held = [docs.schema[text]] if keep_text else []
     kinds = [pa.string(), pa.float64(), pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("last", pa.int64())]))]
 
     def run(batches):
@@ -342,10 +344,10 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", spans: bo
                 size += len(t or "")
             if group:
                 got += labeller.label(group, spans)
-            yield [*b.columns[1:], *(pa.array([g[i] for g in got], kinds[i]) for i in range(len(added)))]
+            yield [*b.columns[1:], *b.columns[:len(held)], *(pa.array([g[i] for g in got], kinds[i]) for i in range(len(added)))]
 
     src = docs.select(F.col(f"`{text}`"), *[F.col(f"`{f.name}`") for f in others])
-    return map_arrow(src, run, T.StructType([*others, *added]))
+    return map_arrow(src, run, T.StructType([*others, *held, *added]))
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG) -> Model | None:
