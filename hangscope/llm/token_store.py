@@ -35,6 +35,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import uuid
 import zlib
 
@@ -54,7 +55,7 @@ BUCKET_KEYS = 8192
 GAMMA = 2.0          # bits per remaining key at each level
 MAX_LEVELS = 64
 READ_IDS = 1 << 20   # ids read at a time
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 
 
 # --- encoding -----------------------------------------------------------------
@@ -62,6 +63,26 @@ CACHE_WORDS = 400_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet's stand-ins: bytes that are not printable Latin-1 become letters from U+0100 up."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+class _Words(dict):
+    """pre-token -> raw ids, asking the library's model for a new one."""
+
+    def __init__(self, model, dtype):
+        self.model, self.code, self.letters = model, "H" if dtype.itemsize == 2 else "I", _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        tokens = self.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.letters))
+        self[word] = ids = struct.pack(f"<{len(tokens)}{self.code}", *[t.id for t in tokens])
+        return ids
+
+
 class Encoder:
     """Whole-text ids from a tokenizers file.
 
@@ -89,7 +110,7 @@ class Encoder:
         self.by_word = (re.match(r"ByteLevel\(add_prefix_space=False, .*use_regex=True", repr(tok.pre_tokenizer)) is not None
                         and tok.normalizer is None)
         self.added = [t.content for t in tok.get_added_tokens_decoder().values()]
-        self.table: dict[str, bytes] = {}
+        self.table = _Words(tok.model, self.dtype)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -100,16 +121,7 @@ class Encoder:
             return b""
         if not self.by_word or not self.PLAIN.fullmatch(text) or any(a in text for a in self.added):
             return self.whole([text])[0]
-        pre, known = self.PRE.findall(text), self.table
-        try:
-            return b"".join([known[w] for w in pre])
-        except KeyError:
-            pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for w in pre if w not in known})
-        known.update(zip(new, self.whole(new)))
-        return b"".join([known[w] for w in pre])
+        return b"".join(map(self.table.__getitem__, self.PRE.findall(text)))
 
 
 def open_encoder(path: str) -> Encoder:
