@@ -19,8 +19,8 @@ written out every ``FOLD`` steps, so expressions stay bounded.
 Edge cases: null, empty and wordless texts have no tokens and the rate 1; a
 label row without document, with a null flag or id is not learned from; a
 domain without labelled documents has posterior 0; with no labels at all,
-posteriors are equal; target weights need not add up to 1; a target that can't be met is approached in least
-squares; repeated rows have equal rates; other columns are ignored.
+posteriors are equal; target weights need not add up to 1; targets
+at or beyond what posteriors allow are approached in least squares for at most ``STEPS`` steps; repeated rows have equal rates; other columns are ignored.
 """
 
 from __future__ import annotations

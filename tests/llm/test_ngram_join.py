@@ -78,8 +78,9 @@ def test_tables(spark, sf_dir):
     assert got(docs) == by_hand(docs.collect())
 
 
-def test_dense_groups_stay_whole(spark):
+def test_dense_groups_stay_whole(spark, monkeypatch):
     """Many more near copies than a bucket holds, and as many texts around one passage: groups as by hand, no other links."""
+    monkeypatch.setattr(J, "SMALL", 24)
     rng = random.Random(9)
     base, passage = prose(rng, 150), prose(rng, 40)
     near = [" ".join(copy(rng, base, rng.randrange(1, 3))) for _ in range(150)]
