@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta, timezone
 
 
 # Fixed values that must equal the original job's for identical results.
@@ -31,12 +32,17 @@ CRASH_RUNNABLE = "dummy_runnable"
 CRASH_USAGE_MS = 86400
 
 
+def days_ago(n: int) -> str:
+    return (datetime.now(timezone.utc).date() - timedelta(days=n)).strftime("%Y%m%d")
+
+
 @dataclass(frozen=True)
 class HangConfig:
-    start_date: str | None = None        # YYYYMMDD, inclusive
-    end_date: str | None = None          # YYYYMMDD, inclusive for scans
+    # the original's window, nine days ago to yesterday; None for both is all dates
+    start_date: str | None = field(default_factory=lambda: days_ago(9))   # YYYYMMDD, inclusive
+    end_date: str | None = field(default_factory=lambda: days_ago(1))     # YYYYMMDD, inclusive for scans
     channel: str = "nightly"
-    sample_size: float = 1.0             # original default 0.5; 1.0 keeps all pings
+    sample_size: float = 0.5             # share of pings read
     hang_lower_bound: int = 128
     hang_upper_bound: int = 16000
     stack_acceptance_threshold: float = 0.01
@@ -63,4 +69,5 @@ class HangConfig:
         return self.hang_profile_out_filename or self.hang_profile_in_filename
 
 
-DEFAULT = HangConfig(run_id="default")
+# every date and every ping: what the registered queries read
+DEFAULT = HangConfig(start_date=None, end_date=None, sample_size=1.0, run_id="default")

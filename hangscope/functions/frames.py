@@ -36,6 +36,14 @@ def hex_to_bigint(text: Column) -> Column:
              .otherwise(F.conv(digits, 16, 10).cast("bigint")))
 
 
+def hex_to_decimal(text: Column) -> Column:
+    """Base-16 text (as for :func:`hex_to_bigint`) to DECIMAL(20,0): exact for
+    every 64-bit address; beyond 64 bits null."""
+    digits = F.regexp_extract(text, r"^\s*\+?(?:0[xX])?0*([0-9a-fA-F]+)\s*$", 1)
+    n = F.length(digits)
+    return F.when((n > 0) & (n <= 16), F.conv(digits, 16, 10).cast("decimal(20,0)"))
+
+
 def decode_frame(frame: Column, modules: Column) -> Column:
     """Raw frame -> (pseudo, debug_name, breakpad_id, offset).
 
@@ -81,9 +89,13 @@ def stack_text(stack: Column) -> Column:
     return F.concat_ws(">", F.transform(stack, lambda f: F.concat(f["func"], F.lit("@"), f["lib"])))
 
 
-def stack_id(stack: Column) -> Column:
-    """128-bit content id of an array column, as a struct of two 64-bit hashes."""
-    return F.struct(F.xxhash64(stack).alias("h1"), F.xxhash64(F.lit("hangscope"), stack).alias("h2"))
+def stack_id(stack: Column, fields: tuple[str, ...] = ("func", "lib")) -> Column:
+    """128-bit content id of an array of structs with these ``fields``, as a
+    struct of two 64-bit hashes.  The hash skips nulls, so each field goes in
+    with a flag that tells whether it is one."""
+    flagged = F.transform(stack, lambda f: F.array(*[
+        F.concat(F.when(f[c].isNull(), "n").otherwise("v"), F.coalesce(f[c].cast("string"), F.lit(""))) for c in fields]))
+    return F.struct(F.xxhash64(flagged).alias("h1"), F.xxhash64(F.lit("hangscope"), flagged).alias("h2"))
 
 
 def duration_bucket(duration: Column) -> Column:
@@ -94,8 +106,8 @@ def duration_bucket(duration: Column) -> Column:
 
 def sample_keep(key: Column, fraction: float) -> Column:
     """Deterministic Bernoulli sample on a key: the first 8 hex digits
-    of md5(key) modulo 10000 below ``fraction * 10000``."""
+    of md5(key), a 32-bit number, below ``fraction * 2^32``."""
     if fraction >= 1.0:
         return F.lit(True)
-    bucket = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % 10000
-    return bucket < F.lit(int(round(fraction * 10000)))
+    bucket = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
+    return bucket < F.lit(int(fraction * (1 << 32)))

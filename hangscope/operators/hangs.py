@@ -79,7 +79,7 @@ def hangs_of(pings: DataFrame) -> DataFrame:
     """
     h = annotate_flags(force_paint_duplicate(decode_frames(frame_shape_filter(stack_length_filter(
         explode_hangs(pings))))))
-    return h.withColumn("sid", stack_id(F.col("stack"))).drop("annotations")
+    return h.withColumn("sid", stack_id(F.col("stack"), ("pseudo", "debug_name", "breakpad_id", "offset"))).drop("annotations")
 
 
 def rate_hangs(hangs: DataFrame, cfg: HangConfig) -> DataFrame:

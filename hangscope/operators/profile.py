@@ -144,13 +144,14 @@ def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) ->
     return ProfileTables(strings.select("thread", "idx", "string"), libs, funcs, stacks, sm, dates)
 
 
-def reconstruct_paths(stacks: DataFrame, max_depth: int = 300) -> DataFrame:
+def reconstruct_paths(stacks: DataFrame) -> DataFrame:
     """Stack index -> list of (func, lib) from the root, by following
     prefix indexes.  Pointer jumping: each round prepends the path of the
     current ancestor and jumps to the ancestor's ancestor, so depth d takes
-    about log2(d) rounds (at most 9 for the 299-frame limit); each round is
-    checkpointed so the plan does not grow.  Reads only the stack table, so it
-    works on tables read back from files."""
+    about log2(d) rounds (9 for 299 frames); each round is checkpointed so the
+    plan does not grow.  Reads only the stack table, so it works on tables read
+    back from files.  Ends when no row is pending; a table whose prefixes form
+    a loop is an error."""
     from hangscope.session import materialize
     done = F.col("anc").isNull() | (F.col("anc") == 0)
     cur = materialize(stacks.select(
@@ -158,14 +159,17 @@ def reconstruct_paths(stacks: DataFrame, max_depth: int = 300) -> DataFrame:
         F.when(F.col("idx") == 0, F.array().cast("array<struct<func:string,lib:string>>"))
          .otherwise(F.array(F.struct(F.col("func"), F.col("lib")))).alias("path"),
         F.col("prefix_idx").alias("anc")))
-    reach = 1
-    while reach < max_depth and cur.where(~done).limit(1).count() > 0:
+    # a path has no more frames than the table has rows, and none has a million
+    rounds, most = 0, min(cur.count().bit_length() + 1, 20)
+    while not cur.where(~done).isEmpty():
+        rounds += 1
+        if rounds > most:
+            raise ValueError("stack table: prefixes form a loop")
         a = cur.select("thread", F.col("idx").alias("anc"), F.col("path").alias("apath"), F.col("anc").alias("aanc"))
         cur = materialize(cur.join(a, ["thread", "anc"], "left").select(
             "thread", "idx",
             F.when(done, F.col("path")).otherwise(F.concat("apath", "path")).alias("path"),
             F.when(done, F.col("anc")).otherwise(F.col("aanc")).alias("anc")))
-        reach *= 2
     return cur.select("thread", "idx", "path")
 
 

@@ -29,6 +29,14 @@ def usage_hours_by_date(pings: DataFrame) -> DataFrame:
                  .withColumn("usage_h", F.col("usage_ms") / F.lit(MS_PER_HOUR)))
 
 
+def merge_usage_hours(*parts: DataFrame) -> DataFrame:
+    """Usage hours added per build date over several inputs."""
+    every = parts[0].select("build_date", "usage_h")
+    for p in parts[1:]:
+        every = every.unionByName(p.select("build_date", "usage_h"))
+    return every.groupBy("build_date").agg(F.sum("usage_h").alias("usage_h"))
+
+
 def per_hour(total, usage_h):
     """J5 division; zero usage hours give null instead of failing."""
     return F.try_divide(total, usage_h)

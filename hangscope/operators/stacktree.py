@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hangscope.config import OTHER_FRAME, HangConfig
-from hangscope.functions.frames import sample_keep, stack_id
+from hangscope.functions.frames import sample_keep, stack_id, stack_text
 
 _NODE = "struct<h1:bigint,h2:bigint>"
 
@@ -118,8 +118,16 @@ def prune(rates: DataFrame, cfg: HangConfig, cumulative: bool = False) -> DataFr
     return j.withColumn("pruned", p).withColumn("pssid", stack_id(F.col("pruned")))
 
 
+def post_sample(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
+    """A deterministic sample of pruned rows, for finalize only; totals
+    for pruning are taken before it, and rows sampled out add no stack nodes."""
+    key = F.concat_ws("|", "thread", "build_date", stack_text(F.col("sym_stack")), "runnable",
+                      F.col("pending_input").cast("string"), "platform")
+    return pruned if cfg.post_sample_size >= 1.0 else pruned.where(sample_keep(key, cfg.post_sample_size))
+
+
 def sample_table_by_date(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
-    """A11 (+P13, P14): per (thread, build date, pruned stack, runnable,
+    """A11 (+P13): per (thread, build date, pruned stack, runnable,
     pending input, platform): summed hang ms / count, then per usage hour.
 
     With ``use_minimal_sample_table`` Gecko_Child samples without pending
@@ -130,11 +138,6 @@ def sample_table_by_date(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
     p = pruned
     if cfg.use_minimal_sample_table:
         p = p.where(~((F.col("thread") == "Gecko_Child") & ~F.col("pending_input")))
-    if cfg.post_sample_size < 1.0:
-        from hangscope.functions.frames import stack_text
-        key = F.concat_ws("|", "thread", "build_date", stack_text(F.col("sym_stack")), "runnable",
-                          F.col("pending_input").cast("string"), "platform")
-        p = p.where(sample_keep(key, cfg.post_sample_size))
     g = (p.groupBy("thread", "build_date", "pssid", "pruned", "runnable", "pending_input", "platform")
           .agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"),
                F.max("usage_h").alias("usage_h")))

@@ -1,4 +1,7 @@
-"""Jobs: the original entry points as lazy DataFrame plans.
+"""Jobs: the original entry points as DataFrame plans.
+
+Plans are declarative, but not one lazy plan: intermediates that several
+branches read are checkpointed eagerly (``session.materialize``).
 
 * :func:`etl_hang_profile`   - windowed hang profile (cumulative pruning)
 * :func:`etl_tracked_stats`  - duration histograms merged into a prior result
@@ -41,7 +44,9 @@ def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, scan
     """``scanned``: the pings come from a source adapter that already applied
     its own scan (the crash source), so only S4 and P1 remain."""
     from hangscope.sources.pings import project_properties, valid_pings
-    pings = valid_pings(project_properties(raw_pings, cfg)) if scanned else hang_pings(raw_pings, cfg)
+    # exclude_modules is a switch of the hang-ping source; crash pings keep their modules
+    pings = (valid_pings(project_properties(raw_pings, cfg.with_(exclude_modules=False))) if scanned
+             else hang_pings(raw_pings, cfg))
     symbols, rejects = symbols_from_lines(symbol_lines)
     return Inputs(pings, hangs_of(pings), symbols, rejects)
 
@@ -70,7 +75,7 @@ def finalize_daily(spark: SparkSession, path: str, cfg: HangConfig) -> DataFrame
     post-sample and add up.  Returns sample rows like
     ``stacktree.sample_table_by_date``."""
     from hangscope.operators import stacktree as ST
-    return ST.sample_table_by_date(_finalized_pruned(spark, path, cfg), cfg)
+    return ST.sample_table_by_date(ST.post_sample(_finalized_pruned(spark, path, cfg), cfg), cfg)
 
 
 # ---- job entry points (the original's four jobs) ----
@@ -86,8 +91,9 @@ def _end_excluded(cfg: HangConfig) -> HangConfig:
 
 
 def inputs_for(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig) -> Inputs:
-    """Hang pings, or crash pings when ``cfg.use_crashes`` (only the source
-    changes; crash jobs should pass ``hang_lower_bound=0``)."""
+    """Hang pings, or crash pings of every day of the window when
+    ``cfg.use_crashes`` (only the source changes; crash jobs should pass
+    ``hang_lower_bound=0``)."""
     if cfg.use_crashes:
         from hangscope.sources.crashes import crash_to_hang, scan_crash_pings
         return prepare(crash_to_hang(scan_crash_pings(raw_pings, cfg)), symbol_lines, cfg, scanned=True)
@@ -129,17 +135,13 @@ def etl_tracked_stats(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangCo
     earlier keys stay).  The store is partitioned by build date and only the
     dates the window touches are rewritten; the merged rows are checkpointed
     first, so the overwrite never reads the partitions it replaces."""
-    from pyspark.sql.utils import AnalysisException
     from hangscope.operators.histograms import merge_histograms
     from hangscope.plans import pipelines as PL
-    from hangscope.sources.profiles import read_daily, write_daily
+    from hangscope.sources.profiles import path_exists, read_daily, write_daily
     new = PL.histogram_rates(inputs_for(raw_pings, symbol_lines, cfg), cfg)
     spark = new.sparkSession
-    try:
+    if path_exists(spark, path):
         old = read_daily(spark, path).select(*new.columns)
-    except AnalysisException:        # no earlier result yet
-        old = None
-    if old is not None:
         new = materialize(merge_histograms(old.join(new.select("build_date").distinct(), "build_date", "left_semi"),
                                            new))
     write_daily(new, path)
@@ -147,26 +149,33 @@ def etl_tracked_stats(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangCo
 
 def etl_incremental_write(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, path: str) -> None:
     """Job 3.3, write half: daily pruned samples of the window (end date
-    excluded), one partition per build date; rewriting a day replaces only
-    that day."""
+    excluded) and the usage hours of its dates, one partition per build date;
+    rewriting a day replaces only that day, and a day of the window without
+    rows leaves none.  Minimal sample rows lack what finalize needs for node
+    totals, so they are refused."""
+    from hangscope.operators.rates import usage_hours_by_date
     from hangscope.plans import pipelines as PL
     from hangscope.sources.profiles import write_daily
+    if cfg.use_minimal_sample_table:
+        raise ValueError("increments need the full sample table: use_minimal_sample_table is for final output")
     cfg = _end_excluded(cfg)
-    write_daily(PL.samples(inputs_for(raw_pings, symbol_lines, cfg), cfg, cumulative=False), path)
+    i = inputs_for(raw_pings, symbol_lines, cfg)
+    write_daily(PL.samples(i, cfg, cumulative=False), f"{path}/samples", cfg.start_date, cfg.end_date)
+    write_daily(usage_hours_by_date(i.pings), f"{path}/usage", cfg.start_date, cfg.end_date)
 
 
 def etl_incremental_finalize(spark: SparkSession, cfg: HangConfig, in_path: str, out_root: str) -> str:
     """Job 3.3, finalize half (A12): the window's daily increments read back,
-    re-pruned per day, added up and written as one profile under
-    ``out_root``.  Returns the output path."""
-    from pyspark.sql import functions as F
+    re-pruned per day, post-sampled, added up and written as one profile under
+    ``out_root``; usage hours are those of every date of the window, also of
+    dates without a surviving sample.  Returns the output path."""
     from hangscope.operators import stacktree as ST
     from hangscope.operators.profile import build_tables
+    from hangscope.operators.rates import merge_usage_hours
     from hangscope.sources.profiles import read_daily
     cfg = _end_excluded(cfg)
-    pr = materialize(_finalized_pruned(spark, in_path, cfg))
-    usage = (read_daily(spark, in_path, cfg.start_date, cfg.end_date)
-             .groupBy("build_date").agg(F.max("usage_h").alias("usage_h")))
+    pr = materialize(ST.post_sample(_finalized_pruned(spark, f"{in_path}/samples", cfg), cfg))
+    usage = merge_usage_hours(read_daily(spark, f"{in_path}/usage", cfg.start_date, cfg.end_date))
     path = _out_path(out_root, cfg)
     _write_tables(build_tables(pr, ST.sample_table_by_date(pr, cfg), cfg), usage, cfg, path)
     return path

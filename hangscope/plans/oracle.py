@@ -31,7 +31,7 @@ from ping""",
  case when l_suppkey%20=0 then 'resource://devtools/x.js'
       when l_suppkey%10=0 then '(content script)' end label,
  case when l_suppkey%10<>0 then cast(l_partkey%12 as int) end module_index,
- case when l_suppkey%10<>0 then lower(hex((l_partkey%240)*16+l_linenumber)) end "offset"
+ case when l_suppkey%10<>0 then lower(hex(l_partkey*16+l_linenumber)) end "offset"
 from lineitem""",
     "module": """select cast(r as int) module_index,
  concat('lib',cast(r as varchar),case when r%2=0 then '.pdb' else '.so' end) debug_name,
@@ -45,7 +45,7 @@ from (select distinct p_partkey%12 r from part where p_partkey%12<10) t""",
   when 4 then 'NS_ProcessNextEvent' when 5 then 'js::frontend::Parser'
   when 6 then 'mozilla::PresShell::DoReflow(bool)' when 7 then 'a/modules/PlacesUtils.jsm'
   else 'base::WaitableEvent::Wait()' end symbol
-from part where p_partkey<240 and p_partkey%12<8 and cast(floor(p_partkey/12) as int)%3<>0""",
+from part where p_partkey%12<8 and cast(floor(p_partkey/12) as int)%3<>0""",
     "symbol_line": """select debug_name, breakpad_id, address*2 line_no,
  concat('FUNC ',case when address%32=0 then 'm ' else '' end,lower(hex(address)),' 10 0 ',
         case when address%64=0 then 'shadowed by PUBLIC' else symbol end) line

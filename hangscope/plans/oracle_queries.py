@@ -95,7 +95,7 @@ ORACLE["scan_hang_pings"] = with_views("""select ping_id, substr(build_id,1,8) b
 ORACLE["scan_cutover_union"] = with_views("""select case when substr(build_id,1,8) <= '20180315' then 'OTHER' else 'bhr' end doc_type,
  count(*) n_pings from ping group by 1""")
 ORACLE["sample_pings"] = with_views("""select ping_id from ping
- where ('0x'||substr(md5(cast(ping_id as varchar)),1,8))::bigint % 10000 < 5000""")
+ where ('0x'||substr(md5(cast(ping_id as varchar)),1,8))::bigint < 2147483648""")
 ORACLE["project_properties"] = with_views("""select ping_id, os_name, os_version, arch, build_id, since_ms,
  10 n_modules, 1 n_hangs from ping""")
 ORACLE["parse_symbol_records"] = with_views("""select debug_name, breakpad_id, 'FUNC' kind, address,
@@ -250,12 +250,23 @@ ORACLE["crash_hang_rates"] = with_views("""select cst.stack, 'dummy_runnable' ru
  from vping v join hang h on h.ping_id=v.ping_id join cst on cst.ping_id=v.ping_id join cu on cu.build_date=v.build_date
  group by 1,2,3,4,5,6""", _CRASH)
 
+ORACLE["crash_window_rates"] = with_views("""select cst.stack, 'dummy_runnable' runnable, h.thread, v.build_date, false pending_input,
+ v.platform, count(*)/max(wu.usage_h) ms_per_hour, count(*)/max(wu.usage_h) count_per_hour
+ from win v join hang h on h.ping_id=v.ping_id join cst on cst.ping_id=v.ping_id join wu on wu.build_date=v.build_date
+ group by 1,2,3,4,5,6""", {**_CRASH,
+    "win": """select * from vping where build_date between '19950101' and '19951130'
+  and ('0x'||substr(md5(cast(ping_id as varchar)),1,8))::bigint < 2147483648""",
+    "wu": "select build_date, count(*)*86400/3600000.0e0 usage_h from win group by 1"})
+ORACLE["crash_rebase_high"] = with_views("""select ping_id, pos, module_index, case when sign_ < 0 then '-0x' else '0x' end
+   ||lower(hex(case when sign_ < 0 then 2*v else v end)) "offset"
+ from (select *, case when module_index % 3 = 2 then -1 else 1 end sign_ from cframe where module_index < 10 and v > 0) x""", _CRASH)
+
 # ---- sinks, increments, merges ----
 _DAILY = with_views(_SAMPLES, {**_PRUNE, **_prune_sql("nt", "rt")})
 ORACLE["finalize_profiles"] = _DAILY
 ORACLE["post_sample"] = with_views("""select * from (""" + _SAMPLES + """) s
  where ('0x'||substr(md5(concat_ws('|', thread, build_date, stack, runnable, cast(pending_input as varchar), platform)),1,8))::bigint
-   % 10000 < 5000""", {**_PRUNE, **_prune_sql("nt", "rt")})
+   < 2147483648""", {**_PRUNE, **_prune_sql("nt", "rt")})
 ORACLE["write_profile"] = with_views("""select t.thread "name",
  (select count(*) from (select distinct func, lib from pnodes p where p.thread=t.thread)) + 1 n_funcs,
  (select count(distinct node) from pnodes p where p.thread=t.thread) + 1 n_stacks,
@@ -276,12 +287,15 @@ ORACLE["merge_usage_hours"] = with_views("""select build_date, sum(usage_h) usag
  select build_date, usage_h from u where build_date <= '19951231'
  union all select build_date, usage_h from u where build_date >= '19950101') x group by 1""")
 
-ORACLE["stack_node_totals"] = with_views("""select rh.thread, rh.build_date, pf.node, pf.pos depth, sum(rh.duration) node_ms
- from rh join pf on pf.ping_id=rh.ping_id group by 1,2,3,4""", _PRUNE)
+ORACLE["stack_node_totals"] = with_views("""select x.thread, x.build_date, x.depth, x.func, x.lib, x.node_ms, t.root_ms from (
+ select rh.thread, rh.build_date, pf.node, pf.pos depth, fs.func, fs.lib, sum(rh.duration) node_ms
+ from rh join pf on pf.ping_id=rh.ping_id join fs on fs.ping_id=pf.ping_id and fs.pos=pf.pos group by 1,2,3,4,5,6) x
+ join (select thread, build_date, sum(duration) root_ms from rh group by 1,2) t on t.thread=x.thread and t.build_date=x.build_date""", _PRUNE)
 ORACLE["sample_table_by_date"] = with_views("""select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform,
   sum(duration) hang_ms, count(*) hang_count
 from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread group by 1,2,3,4,5,6""",
     {**_PRUNE, **_prune_sql("nt", "rt")})
+ORACLE["profile_post_sample_ignored"] = ORACLE["sample_table_by_date"]
 ORACLE["minimal_sample_filter"] = with_views("""select * from (
  select p.stack, rh.thread, rh.build_date, runnable, pending_input, platform, count(*)/max(u.usage_h) sample_count
  from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread join u on u.build_date=rh.build_date

@@ -124,7 +124,7 @@ def _json_frame(li):
     above 45 are written as 3-element lists (malformed)."""
     supp, part, line = li["l_suppkey"], li["l_partkey"], li["l_linenumber"]
     idx = (part % 12).cast("string")
-    off = F.lower(F.hex((part % 240) * 16 + line))
+    off = F.lower(F.hex(part * 16 + line))
     label = F.when(supp % 20 == 0, F.lit("resource://devtools/x.js")).otherwise(F.lit("(content script)"))
     return (F.when(supp % 10 == 0, F.concat(F.lit('"'), label, F.lit('"')))
              .when(li["l_quantity"] > 45, F.concat(F.lit("["), idx, F.lit(',"'), off, F.lit('",0]')))
@@ -322,6 +322,32 @@ def q_crash_to_hang(spark: SparkSession, sf: str) -> DataFrame:
                                      F.size("raw_stack").alias("n_frames"))
 
 
+@query("crash_window_rates")
+def q_crash_window(spark: SparkSession, sf: str) -> DataFrame:
+    """The rate job on crash pings of every day of a window, sampled."""
+    from hangscope.plans.jobs import inputs_for
+    cfg = DEFAULT.with_(hang_lower_bound=0, use_crashes=True, start_date="19950101", end_date="19951130", sample_size=0.5)
+    i = inputs_for(derived.raw_crash_pings(spark, sf), derived.symbol_lines(spark, sf), cfg)
+    r = PL.rates(i, cfg)
+    return r.select(stack_text(F.col("sym_stack")).alias("stack"), "runnable", "thread", "build_date", "pending_input",
+                    "platform", "ms_per_hour", "count_per_hour")
+
+
+@query("crash_rebase_high")
+def q_crash_rebase_high(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 in the upper half of the address space: modules at 0xfffff803...;
+    every third module's ip lies as far below its base."""
+    from hangscope.sources.crashes import rebase_frame
+    fr = derived.frame_rows(spark, sf).where(F.col("label").isNull() & (F.col("module_index") < 10))
+    v = F.conv("offset", 16, 10).cast("bigint")
+    base = F.lit(-8778901028864) + F.col("module_index").cast("bigint") * (1 << 32)      # 0xfffff803... as signed 64 bits
+    ip = base + F.when(F.col("module_index") % 3 == 2, -2 * v).otherwise(v)
+    text = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    frame = F.struct(text(ip).alias("ip"), F.col("module_index"))
+    mods = F.array_repeat(F.struct(text(base).alias("base_addr")), 10)
+    return fr.where(v > 0).select("ping_id", "pos", "module_index", rebase_frame(frame, mods)["offset"].alias("offset"))
+
+
 @query("crash_hang_rates")
 def q_crash_rates(spark: SparkSession, sf: str) -> DataFrame:
     """The rate job on crash pings (lower bound 0 so crash hangs count)."""

@@ -188,21 +188,32 @@ def q_merge_hist(spark: SparkSession, sf: str) -> DataFrame:
 @query("merge_usage_hours")
 def q_merge_usage(spark: SparkSession, sf: str) -> DataFrame:
     """Usage hours of two windows added per date (overlap counted twice)."""
-    from hangscope.operators.rates import usage_hours_by_date
+    from hangscope.operators.rates import merge_usage_hours, usage_hours_by_date
     a = usage_hours_by_date(_window_inputs(spark, sf, "19000101", "19951231").pings)
     b = usage_hours_by_date(_window_inputs(spark, sf, "19950101", "29991231").pings)
-    return a.unionByName(b).groupBy("build_date").agg(F.sum("usage_h").alias("usage_h"))
+    return merge_usage_hours(a, b)
 
 
 @query("stack_node_totals")
 def q_node_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """A10: inclusive hang ms of every stack prefix per (thread, build date)."""
-    from hangscope.operators.stacktree import positive_ms
+    """A10: inclusive hang ms of every stack prefix per (thread, build date),
+    and the thread's total.  A node is shown by its leaf frame and its parent's
+    totals: depth, func, lib of the frame, then the sums."""
+    from hangscope.operators.stacktree import prefix_ids, stack_node_totals
     r = materialize(PL.rates(derived_inputs(spark, sf, DEFAULT), DEFAULT))
-    w = positive_ms(r).groupBy("thread", "build_date", "sym_stack").agg(F.sum("hang_ms").alias("ms"))
-    ex = w.select("thread", "build_date", "ms", "sym_stack", F.posexplode("sym_stack").alias("depth", "f"))
-    node = stack_text(F.slice("sym_stack", F.lit(1), F.col("depth") + 1))
-    return ex.groupBy("thread", "build_date", node.alias("node"), "depth").agg(F.sum("ms").alias("node_ms"))
+    names = (r.select("sym_stack").distinct()
+              .select(F.explode(F.arrays_zip(prefix_ids(F.col("sym_stack")).alias("node"), F.col("sym_stack").alias("f"))).alias("z"))
+              .select("z.node", F.col("z.f.func").alias("func"), F.col("z.f.lib").alias("lib")).distinct())
+    return stack_node_totals(r).join(names, "node").select("thread", "build_date", "depth", "func", "lib", "node_ms", "root_ms")
+
+
+@query("profile_post_sample_ignored")
+def q_post_sample_ignored(spark: SparkSession, sf: str) -> DataFrame:
+    """P14 belongs to finalize: the windowed samples are whole whatever ``post_sample_size`` says."""
+    cfg = DEFAULT.with_(post_sample_size=0.5)
+    s = PL.samples(derived_inputs(spark, sf, cfg), cfg, cumulative=False)
+    return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
+                    "pending_input", "platform", "hang_ms", "hang_count")
 
 
 @query("sample_table_by_date")

@@ -15,21 +15,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hangscope.config import CRASH_RUNNABLE, CRASH_USAGE_MS, HangConfig
-from hangscope.functions.frames import hex_to_bigint
+from hangscope.functions.frames import hex_to_decimal, sample_keep
 from hangscope.schemas import RAW_FRAME
+from hangscope.sources.pings import next_day
 
 
 def python_hex(v: Column) -> Column:
-    """``hex()`` text of a signed integer: ``0x1f`` / ``-0x1f``."""
-    return F.when(v < 0, F.concat(F.lit("-0x"), F.lower(F.hex(-v)))).otherwise(F.concat(F.lit("0x"), F.lower(F.hex(v))))
+    """``hex()`` text of a signed integer of up to 64 bits and a sign (a
+    decimal): ``0x1f`` / ``-0x1f``."""
+    digits = F.lower(F.conv(F.abs(v).cast("string"), 10, 16))
+    return F.concat(F.when(v < 0, "-0x").otherwise("0x"), digits)
 
 
 def scan_crash_pings(raw: DataFrame, cfg: HangConfig) -> DataFrame:
-    """Crash pings of the channel submitted on ``start_date`` (all days
-    when no date is set; the end date is ignored, as in the original)."""
+    """Crash pings of the channel submitted from ``start_date`` to
+    ``end_date`` (that one day when there is no end date, all days when neither
+    is set), then the deterministic ping sample.  The range is a plain
+    predicate on ``submissionDate``, which stores partition by."""
     out = raw.where((F.col("doc_type") == "crash") & (F.col("channel") == cfg.channel))
+    day = F.col("submissionDate")
     if cfg.start_date is not None:
-        out = out.where(F.col("submissionDate").startswith(cfg.start_date))
+        out = out.where(day >= cfg.start_date)
+    if cfg.start_date is not None or cfg.end_date is not None:
+        out = out.where(day < next_day(cfg.end_date or cfg.start_date))
+    if cfg.sample_size < 1.0:
+        out = out.where(sample_keep(F.col("ping_id"), cfg.sample_size))
     return out
 
 
@@ -38,9 +48,9 @@ def rebase_frame(frame: Column, modules: Column) -> Column:
 
     Null when the ip or the module index is missing; no subtraction when the
     index is outside the module list or the module has no base address."""
-    ip = hex_to_bigint(frame["ip"])
+    ip = hex_to_decimal(frame["ip"])
     mod = F.get(modules, frame["module_index"])
-    base = hex_to_bigint(mod["base_addr"])
+    base = hex_to_decimal(mod["base_addr"])
     off = F.when(mod.isNotNull() & base.isNotNull(), ip - base).otherwise(ip)
     ok = frame["ip"].isNotNull() & frame["module_index"].isNotNull()
     return F.when(ok, F.struct(F.lit("native").alias("kind"), F.lit(None).cast("string").alias("label"),

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from hangscope.config import DOC_TYPE_CUTOVER
 
+CRASH_BASE_STEP = 0x100000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -64,7 +66,7 @@ def _frame_of(li: Column) -> Column:
         F.when(native, F.lit("native")).otherwise(F.lit("label")).alias("kind"),
         label.alias("label"),
         F.when(native, (part % 12).cast("int")).alias("module_index"),
-        F.when(native, F.lower(F.hex((part % 240) * 16 + line))).alias("offset"),
+        F.when(native, F.lower(F.hex(part * 16 + line))).alias("offset"),
     )
 
 
@@ -138,7 +140,7 @@ def symbol_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
              "mozilla::PresShell::DoReflow(bool)", "a/modules/PlacesUtils.jsm"]
     names.append("base::WaitableEvent::Wait()")
     sym = F.element_at(F.array(*[F.lit(n) for n in names]), (k % 9 + 1).cast("int"))
-    return (p.where((k < 240) & (k % 12 < 8) & (F.floor(k / 12).cast("int") % 3 != 0))
+    return (p.where((k % 12 < 8) & (F.floor(k / 12).cast("int") % 3 != 0))
              .select(_module_name(k % 12).alias("debug_name"),
                      F.concat(F.lit("ID"), (k % 12).cast("string")).alias("breakpad_id"),
                      (k * 16).alias("address"), sym.alias("symbol")))
@@ -173,8 +175,8 @@ def raw_crash_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def frame(x):
         native = x["l_suppkey"] % 10 != 0
         idx = (x["l_partkey"] % 12).cast("int")
-        off = (x["l_partkey"] % 240) * 16 + x["l_linenumber"]
-        base = F.when(idx < 10, (idx + 1) * 0x100000).otherwise(F.lit(0))
+        off = x["l_partkey"] * 16 + x["l_linenumber"]
+        base = F.when(idx < 10, (idx + 1) * CRASH_BASE_STEP).otherwise(F.lit(0))
         return F.struct(F.concat(F.lit("0x"), F.lower(F.hex(off + base))).alias("ip"),
                         F.when(native, idx).alias("module_index"))
 
@@ -182,7 +184,7 @@ def raw_crash_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .select("ping_id", F.transform("items", frame).alias("frames")))
     mods = []
     for r in range(10):
-        mods.append(F.struct(F.lit(f"0x{(r + 1) * 0x100000:x}").alias("base_addr"),
+        mods.append(F.struct(F.lit(f"0x{(r + 1) * CRASH_BASE_STEP:x}").alias("base_addr"),
                              F.lit(f"lib{r}" + (".pdb" if r % 2 == 0 else ".so")).alias("debug_file"),
                              (F.lit(None).cast("string") if r == 9 else F.lit(f"ID{r}")).alias("debug_id")))
     j = p.repartition(n, "ping_id").join(frames, "ping_id", "left")

@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hangscope.config import DOC_TYPE_CUTOVER, HangConfig
-from hangscope.functions.frames import build_date, sample_keep
+from hangscope.functions.frames import sample_keep
 from hangscope.schemas import RAW_FRAME
 
 
-def _next_day(yyyymmdd: str) -> str:
+def next_day(yyyymmdd: str) -> str:
     import datetime as _dt
     d = _dt.datetime.strptime(yyyymmdd, "%Y%m%d").date() + _dt.timedelta(days=1)
     return d.strftime("%Y%m%d")
@@ -29,23 +29,28 @@ def doc_types_for(start: str | None, end: str | None) -> list[str]:
     the cutover reads both.
     """
     if start is None:
-        return ["OTHER", "bhr"]
+        return ["OTHER", "bhr"] if end is None or end > DOC_TYPE_CUTOVER else ["OTHER"]
     end = end or start
     types = ["OTHER" if start <= DOC_TYPE_CUTOVER else "bhr"]
-    if start <= DOC_TYPE_CUTOVER and end >= _next_day(DOC_TYPE_CUTOVER):
+    if start <= DOC_TYPE_CUTOVER and end >= next_day(DOC_TYPE_CUTOVER):
         types.append("bhr")
     return types
 
 
 def scan_hang_pings(raw: DataFrame, cfg: HangConfig) -> DataFrame:
     """S1+S2+S3: pings of the channel with start <= left(buildId, 8) <= end
-    (``end`` defaults to ``start``; no ``start`` means all dates), from the
-    storage doc types the window needs, then only ``meta.docType == 'bhr'``,
-    then the deterministic ping sample."""
-    bd = build_date(F.col("application.buildId"))
+    (``end`` defaults to ``start``; no ``start`` means all dates up to ``end``),
+    from the storage doc types the window needs, then only
+    ``meta.docType == 'bhr'``, then the deterministic ping sample.
+
+    As a build id starts with its date, the window is a range of build ids; in
+    that form it is pushed into the scan."""
+    build = F.col("application.buildId")
     cond = F.col("doc_type").isin(doc_types_for(cfg.start_date, cfg.end_date)) & (F.col("channel") == cfg.channel)
     if cfg.start_date is not None:
-        cond = cond & (bd >= cfg.start_date) & (bd <= (cfg.end_date or cfg.start_date))
+        cond = cond & (build >= cfg.start_date)
+    if cfg.start_date is not None or cfg.end_date is not None:
+        cond = cond & (build < next_day(cfg.end_date or cfg.start_date))
     out = raw.where(cond).where(F.col("meta.docType") == "bhr")
     if cfg.sample_size < 1.0:
         out = out.where(sample_keep(F.col("ping_id"), cfg.sample_size))

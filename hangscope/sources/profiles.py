@@ -12,10 +12,12 @@ plus object-store upload becomes a path (any Hadoop filesystem).
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hangscope.config import HangConfig
 from hangscope.session import ensure_checkpoint_dir
@@ -31,16 +33,46 @@ def output_name(name: str, cfg: HangConfig, date_suffix: str | None = None) -> s
     return f"{name}-{date_suffix}" if cfg.append_date and date_suffix else name
 
 
-def write_daily(df: DataFrame, path: str) -> None:
-    """S12 (increments): overwrite only the build dates present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def write_daily(df: DataFrame, path: str, start: str | None = None, end: str | None = None) -> None:
+    """S12 (increments): overwrite the build dates present in ``df``, each as
+    few files (rows are dealt by date and a salt first); with a window, remove
+    earlier partitions of its dates that ``df`` has no rows for.  The schema is
+    kept beside the partitions, so a store without rows can be read."""
+    spark = df.sparkSession
+    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != "build_date"]), F.lit(8))
+    (df.repartition("build_date", salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("build_date").parquet(path))
+    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_schema")
+    if start is None and end is None:
+        return
+    root, fs = _hadoop_path(spark, path)
+    days = {f.getPath().getName().removeprefix("build_date="): f.getPath() for f in fs.listStatus(root)
+            if f.getPath().getName().startswith("build_date=")}
+    inside = {d for d in days if (start is None or d >= start) and (end is None or d <= end)}
+    if inside:
+        written = {r[0] for r in df.select("build_date").distinct().collect()}   # a row per date of the window
+        for d in inside - written:
+            fs.delete(days[d], True)
 
 
 def read_daily(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """S11 (increments): read back a build-date range (partition pruning).
     Build dates stay text (partition discovery would type them as numbers)."""
-    df = spark.read.parquet(path).withColumn("build_date", F.col("build_date").cast("string"))
+    reader = spark.read
+    if path_exists(spark, f"{path}/_schema"):
+        kept = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/_schema").first()[0]))
+        reader = reader.schema(T.StructType([f for f in kept.fields if f.name != "build_date"] + [kept["build_date"]]))
+    df = reader.parquet(path).withColumn("build_date", F.col("build_date").cast("string"))
     if start is not None:
         df = df.where(F.col("build_date") >= start)
     if end is not None:

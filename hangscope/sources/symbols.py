@@ -49,7 +49,8 @@ def parse_symbol_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
                                       truncate_symbol(F.col("name")).alias("symbol"), "line_no")
     rejects = parsed.where(~ok).select(
         "debug_name", "breakpad_id", "line_no", "line",
-        F.when(F.col("name").isNull(), "too few fields").otherwise("address is not hex").alias("reason"))
+        F.when(F.col("name").isNull(), "too few fields").when(F.col("address").isNull(), "address is not hex")
+         .otherwise("address past 2^63 - 1").alias("reason"))
     return symbols, rejects
 
 
@@ -83,15 +84,17 @@ def read_symbol_files(spark: SparkSession, root: str) -> DataFrame:
     """Symbol text under ``root/<lib>/<id>/<file>.sym`` -> symbol lines.
 
     Module names are decoded from the directory names written by
-    :func:`symbol_path`.  ``line_no`` increases along each file (files are
-    split into ordered partitions), which is all "last line wins" needs.
+    :func:`symbol_path`: ``_metadata.file_path`` is itself URL-encoded, so the
+    names are decoded twice.  ``line_no`` orders the lines of a file, which is
+    all "last line wins" needs: the start of the line's split in the file,
+    then its place among the rows of the split's task.
     """
     df = spark.read.text(f"{root.rstrip('/')}/*/*/*.sym").select(
-        "value", F.col("_metadata.file_path").alias("path"))
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
     parts = F.split(F.col("path"), "/")
     n = F.size(parts)
     return df.select(
-        F.url_decode(F.element_at(parts, n - 2)).alias("debug_name"),
-        F.url_decode(F.element_at(parts, n - 1)).alias("breakpad_id"),
-        F.monotonically_increasing_id().alias("line_no"),
+        F.url_decode(F.replace(F.url_decode(F.replace(F.element_at(parts, n - 2), F.lit("+"), F.lit("%2B"))), F.lit(" "), F.lit("+"))).alias("debug_name"),
+        F.url_decode(F.replace(F.url_decode(F.replace(F.element_at(parts, n - 1), F.lit("+"), F.lit("%2B"))), F.lit(" "), F.lit("+"))).alias("breakpad_id"),
+        F.struct("at", F.monotonically_increasing_id().alias("row")).alias("line_no"),
         F.col("value").alias("line"))

@@ -70,7 +70,7 @@ def test_incremental_write_then_finalize(spark):
     etl_incremental_write(pings, lines, cfg, daily)
     path = etl_incremental_finalize(spark, cfg, daily, _out(spark))
     docs = _docs(spark, path)
-    samples = finalize_daily(spark, daily, cfg.with_(end_date="19951231"))
+    samples = finalize_daily(spark, daily + "/samples", cfg.with_(end_date="19951231"))
     per_thread = {r.thread: r.n for r in samples.select("thread", "pssid", "runnable", "pending_input", "platform")
                   .distinct().groupBy("thread").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert {k: d["sampleTable"]["length"] for k, d in docs.items()} == per_thread
