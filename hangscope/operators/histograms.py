@@ -27,8 +27,8 @@ def category_root(category):
 
 def bucket_counts_raw(hangs: DataFrame) -> DataFrame:
     """Per raw stack: hang counts by (thread, build date, M4 bucket)."""
-    return (hangs.select("sid", "stack", "thread", "build_date", duration_bucket(F.col("duration")).alias("bucket"))
-                 .groupBy("sid", "stack", "thread", "build_date", "bucket").agg(F.count(F.lit(1)).alias("n")))
+    return (hangs.select("sid", "thread", "build_date", duration_bucket(F.col("duration")).alias("bucket"))
+                 .groupBy("sid", "thread", "build_date", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _pivot(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ dense index assigned in sorted order (only referential integrity matters):
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from hangscope.config import ROOT_FRAME, HangConfig
 from hangscope.functions.rules import CATEGORY_RULES_1, CATEGORY_RULES_2, first_rule
 from hangscope.operators.stacktree import prefix_ids
+from hangscope.session import materialize
 
 def root_id() -> Column:
     """Id of the root node (the seed of ``stacktree.prefix_ids``)."""
@@ -60,16 +61,6 @@ def stack_category(stack: Column) -> Column:
     return F.coalesce(last_hit(CATEGORY_RULES_1), last_hit(CATEGORY_RULES_2))
 
 
-@dataclass
-class ProfileTables:
-    strings: DataFrame   # thread, idx, string
-    libs: DataFrame      # thread, idx, name, debugName, debugPath, offset, path, arch
-    funcs: DataFrame     # thread, idx, func, lib, name_idx, lib_idx
-    stacks: DataFrame    # thread, idx, node, depth, prefix_idx, func_idx (+ func, lib, parent)
-    samples: DataFrame   # thread, idx, pssid, stack_idx, runnable, runnable_idx, userInteracting, platform, platform_idx, category, category_idx
-    dates: DataFrame     # thread, date, sample_idx, sample_ms, sample_count
-
-
 def _nodes(pruned_rows: DataFrame) -> DataFrame:
     """Distinct prefix nodes of the pruned stacks, per thread (T6 rows)."""
     st = pruned_rows.select("thread", "pssid", "pruned").distinct().withColumn("ids", prefix_ids(F.col("pruned")))
@@ -83,65 +74,99 @@ def _nodes(pruned_rows: DataFrame) -> DataFrame:
     return nodes.unionByName(roots)
 
 
+class ProfileTables:
+    """T3-T8 of pruned rate rows and their sample table by date (after P13).
+
+    Sections are computed when first asked for, so a caller that needs one
+    pays for that one; what several sections read is materialized once.
+
+    * strings: thread, idx, string
+    * libs: thread, idx, name, debugName, debugPath, offset, path, arch
+    * funcs: thread, idx, func, lib, name_idx, lib_idx
+    * stacks: thread, idx, node, depth, prefix_idx, func_idx, func, lib, parent
+    * samples: thread, idx, pssid, pruned, stack_idx, runnable, runnable_idx,
+      userInteracting, platform, platform_idx, category, category_idx
+    * dates: thread, date, sample_idx, sample_ms, sample_count
+    """
+
+    def __init__(self, pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig):
+        self._rows, self._by_date, self._n_sub = pruned_rows, samples, cfg.index_sub_buckets
+
+    @cached_property
+    def _nodes(self) -> DataFrame:
+        return materialize(_nodes(self._rows))
+
+    @cached_property
+    def _sample_index(self) -> DataFrame:
+        keys = self._by_date.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct()
+        return materialize(dense_index(keys, ["thread"], ["pssid", "runnable", "pending_input", "platform"], self._n_sub)
+                           .withColumn("category", stack_category(F.col("pruned"))))
+
+    @cached_property
+    def libs(self) -> DataFrame:
+        libs = dense_index(self._nodes.where(F.col("lib").isNotNull()).select("thread", "lib").distinct(),
+                           ["thread"], ["lib"], self._n_sub)
+        return materialize(libs).select(
+            "thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"), F.col("lib").alias("debugName"),
+            F.col("lib").alias("debugPath"), F.lit(0).alias("offset"), F.lit("").alias("path"), F.lit("").alias("arch"))
+
+    @cached_property
+    def strings(self) -> DataFrame:
+        keys = self._sample_index
+        texts = (self._nodes.select("thread", F.col("func").alias("string"))
+                 .unionByName(keys.select("thread", F.col("runnable").alias("string")))
+                 .unionByName(keys.select("thread", F.col("platform").alias("string")))
+                 .unionByName(keys.where(F.col("category").isNotNull()).select("thread", F.col("category").alias("string")))
+                 .distinct())
+        return materialize(dense_index(texts, ["thread"], ["string"], self._n_sub)).select("thread", "idx", "string")
+
+    def _string_idx(self, column: str, idx: str) -> DataFrame:
+        return self.strings.select("thread", F.col("string").alias(column), F.col("idx").alias(idx))
+
+    @cached_property
+    def funcs(self) -> DataFrame:
+        funcs = dense_index(self._nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"], self._n_sub)
+        libs = self.libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx"))
+        return materialize(funcs.join(self._string_idx("func", "name_idx"), ["thread", "func"]).join(libs, ["thread", "lib"], "left"))
+
+    @cached_property
+    def _stack_index(self) -> DataFrame:
+        return materialize(dense_index(self._nodes, ["thread"], ["node"], self._n_sub, group="depth"))
+
+    @cached_property
+    def stacks(self) -> DataFrame:
+        stacks = self._stack_index
+        par = stacks.select("thread", F.col("node").alias("parent"), F.col("idx").alias("prefix_idx"))
+        fidx = self.funcs.select("thread", "func", "lib", F.col("idx").alias("func_idx"))
+        return (stacks.join(par, ["thread", "parent"], "left")
+                .join(fidx, [stacks["thread"] == fidx["thread"], stacks["func"] == fidx["func"],
+                             stacks["lib"].eqNullSafe(fidx["lib"])], "left")
+                .select(stacks["thread"], "idx", "node", "depth", "prefix_idx", "func_idx",
+                        stacks["func"], stacks["lib"], "parent"))
+
+    @cached_property
+    def samples(self) -> DataFrame:
+        leaf = self._stack_index.select("thread", F.col("node").alias("leaf"), F.col("idx").alias("stack_idx"))
+        return (self._sample_index.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
+                .join(leaf, ["thread", "leaf"])
+                .join(self._string_idx("runnable", "runnable_idx"), ["thread", "runnable"])
+                .join(self._string_idx("platform", "platform_idx"), ["thread", "platform"])
+                .join(self._string_idx("category", "category_idx"), ["thread", "category"], "left")
+                .select("thread", "idx", "pssid", "pruned", "stack_idx", "runnable", "runnable_idx",
+                        F.col("pending_input").alias("userInteracting"), "platform", "platform_idx",
+                        "category", "category_idx"))
+
+    @cached_property
+    def dates(self) -> DataFrame:
+        index = self._sample_index.select("thread", "pssid", "runnable", "pending_input", "platform", F.col("idx").alias("sample_idx"))
+        return (self._by_date.join(index, ["thread", "pssid", "runnable", "pending_input", "platform"])
+                .select("thread", F.col("build_date").alias("date"), "sample_idx", "sample_ms", "sample_count"))
+
+
 def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) -> ProfileTables:
     """T3-T8 from pruned rate rows (all of them: the stack table) and the
-    sample table by date (after P13/P14)."""
-    from hangscope.session import materialize
-    n_sub = cfg.index_sub_buckets
-    # every table below is read by several joins; each is computed once
-    nodes = materialize(_nodes(pruned_rows))
-
-    skeys = materialize(samples.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct()
-                        .withColumn("category", stack_category(F.col("pruned"))))
-
-    libs = dense_index(nodes.where(F.col("lib").isNotNull()).select("thread", "lib").distinct(),
-                       ["thread"], ["lib"], n_sub)
-    libs = materialize(libs).select("thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"),
-                       F.col("lib").alias("debugName"), F.col("lib").alias("debugPath"),
-                       F.lit(0).alias("offset"), F.lit("").alias("path"), F.lit("").alias("arch"))
-
-    strings = (nodes.select("thread", F.col("func").alias("string"))
-               .unionByName(skeys.select("thread", F.col("runnable").alias("string")))
-               .unionByName(skeys.select("thread", F.col("platform").alias("string")))
-               .unionByName(skeys.where(F.col("category").isNotNull()).select("thread", F.col("category").alias("string")))
-               .distinct())
-    strings = materialize(dense_index(strings, ["thread"], ["string"], n_sub))
-    s_idx = strings.select("thread", "string", F.col("idx").alias("sidx"))
-
-    funcs = dense_index(nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"], n_sub)
-    funcs = materialize(
-        funcs.join(s_idx.withColumnRenamed("string", "func").withColumnRenamed("sidx", "name_idx"), ["thread", "func"])
-             .join(libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx")),
-                   ["thread", "lib"], "left"))
-
-    stacks = materialize(dense_index(nodes, ["thread"], ["node"], n_sub, group="depth"))
-    par = stacks.select("thread", F.col("node").alias("parent"), F.col("idx").alias("prefix_idx"))
-    fidx = funcs.select("thread", "func", "lib", F.col("idx").alias("func_idx"))
-    stacks = materialize(stacks.join(par, ["thread", "parent"], "left")
-                    .join(fidx, [stacks["thread"] == fidx["thread"], stacks["func"] == fidx["func"],
-                                 stacks["lib"].eqNullSafe(fidx["lib"])], "left")
-                    .select(stacks["thread"], "idx", "node", "depth", "prefix_idx", "func_idx",
-                            stacks["func"], stacks["lib"], "parent"))
-
-    leaf = stacks.select("thread", F.col("node").alias("leaf"), F.col("idx").alias("stack_idx"))
-    sm = dense_index(skeys, ["thread"], ["pssid", "runnable", "pending_input", "platform"], n_sub)
-    sm = materialize(sm.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
-            .join(leaf, ["thread", "leaf"])
-            .join(s_idx.withColumnRenamed("string", "runnable").withColumnRenamed("sidx", "runnable_idx"),
-                  ["thread", "runnable"])
-            .join(s_idx.withColumnRenamed("string", "platform").withColumnRenamed("sidx", "platform_idx"),
-                  ["thread", "platform"])
-            .join(s_idx.withColumnRenamed("string", "category").withColumnRenamed("sidx", "category_idx"),
-                  ["thread", "category"], "left")
-            .select("thread", "idx", "pssid", "pruned", "stack_idx", "runnable", "runnable_idx",
-                    F.col("pending_input").alias("userInteracting"), "platform", "platform_idx",
-                    "category", "category_idx"))
-
-    dates = (samples.join(sm.select("thread", "pssid", "runnable", F.col("userInteracting").alias("pending_input"),
-                                    "platform", F.col("idx").alias("sample_idx")),
-                          ["thread", "pssid", "runnable", "pending_input", "platform"])
-                    .select("thread", F.col("build_date").alias("date"), "sample_idx", "sample_ms", "sample_count"))
-    return ProfileTables(strings.select("thread", "idx", "string"), libs, funcs, stacks, sm, dates)
+    sample table by date (after P13)."""
+    return ProfileTables(pruned_rows, samples, cfg)
 
 
 def reconstruct_paths(stacks: DataFrame) -> DataFrame:
@@ -152,7 +177,6 @@ def reconstruct_paths(stacks: DataFrame) -> DataFrame:
     plan does not grow.  Reads only the stack table, so it works on tables read
     back from files.  Ends when no row is pending; a table whose prefixes form
     a loop is an error."""
-    from hangscope.session import materialize
     done = F.col("anc").isNull() | (F.col("anc") == 0)
     cur = materialize(stacks.select(
         "thread", "idx",

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from hangscope.config import HangConfig
 from hangscope.functions.frames import build_date
 from hangscope.operators.hangs import rate_hangs
-from hangscope.session import materialize
 from hangscope.operators.symbolicate import distinct_stacks, symbolicate_stacks
 
 KEYS = ["runnable", "thread", "build_date", "pending_input", "platform"]
@@ -47,15 +46,15 @@ def hang_sums_raw(hangs: DataFrame, cfg: HangConfig) -> DataFrame:
     build date, pending input, platform) after P9/P10.  Partial aggregation
     happens before the shuffle, so repeated stacks collapse map-side."""
     return (rate_hangs(hangs, cfg)
-            .groupBy("sid", "stack", *KEYS)
+            .groupBy("sid", *KEYS)
             .agg(F.sum("duration").alias("hang_ms"), F.count(F.lit(1)).alias("hang_count")))
 
 
 def hang_sums(raw_sums: DataFrame, stack_dict: DataFrame) -> DataFrame:
     """A4 on symbolic stacks: raw-stack sums re-added per symbolic stack."""
-    j = raw_sums.join(stack_dict.select("sid", "ssid", "sym_stack"), "sid")
-    return (j.groupBy("ssid", "sym_stack", *KEYS)
-             .agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count")))
+    j = raw_sums.join(stack_dict.select("sid", "ssid"), "sid")
+    sums = j.groupBy("ssid", *KEYS).agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"))
+    return sums.join(stack_dict.select("ssid", "sym_stack").dropDuplicates(["ssid"]), "ssid")
 
 
 def hang_rates_from(sums: DataFrame, usage: DataFrame) -> DataFrame:
@@ -73,7 +72,6 @@ def hang_rates(pings: DataFrame, hangs: DataFrame, symbols: DataFrame, cfg: Hang
     platform, hang_ms, hang_count, usage_ms, usage_h, ms_per_hour,
     count_per_hour.
     """
-    raw = materialize(hang_sums_raw(hangs, cfg))
     if stack_dict is None:
-        stack_dict = symbolicate_stacks(distinct_stacks(raw), symbols, cfg)
-    return hang_rates_from(hang_sums(raw, stack_dict), usage_hours_by_date(pings))
+        stack_dict = symbolicate_stacks(distinct_stacks(rate_hangs(hangs, cfg)), symbols, cfg)
+    return hang_rates_from(hang_sums(hang_sums_raw(hangs, cfg), stack_dict), usage_hours_by_date(pings))

@@ -107,10 +107,9 @@ def cumulative_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame
 def prune(rates: DataFrame, cfg: HangConfig, cumulative: bool = False) -> DataFrame:
     """T1 (daily totals) or T2 (cumulative totals): rates rows with their
     stack replaced by the pruned stack (``pruned``, ``pssid``)."""
-    from hangscope.session import materialize
     r = positive_ms(rates)
-    # read by the node totals, the root totals and the cut search: computed once
-    w = materialize(_stack_weights(r))
+    # read by the node totals, the root totals and the cut search, which reuse its exchange
+    w = _stack_weights(r)
     totals = cumulative_totals(r, w) if cumulative else daily_totals(r, w)
     cuts = _cuts(w, totals, "v", "root", cfg.stack_acceptance_threshold)
     j = r.join(cuts, ["thread", "build_date", "ssid"])

@@ -102,10 +102,9 @@ def frame_dictionary(frames: DataFrame, symbols: DataFrame, cfg: HangConfig) ->
     once per distinct frame rather than once per stack position.
     """
     lookup = frames.where(~F.col("pseudo") & F.col("debug_name").isNotNull())
-    resolved = symbol_asof(lookup.select(*MOD, "offset").distinct(), symbols, cfg.symbol_bucket_bits)
-    r = resolved.select(*[F.col(c).alias("r_" + c) for c in MOD + ["offset"]], "symbol")
-    with_sym = (lookup.join(r, [lookup[c].eqNullSafe(r["r_" + c]) for c in MOD + ["offset"]], "left")
-                      .select(*FRAME_KEY, "symbol"))
+    # distinct frames in, one row per frame out
+    resolved = symbol_asof(lookup.select(*MOD, "offset"), symbols, cfg.symbol_bucket_bits)
+    with_sym = resolved.select(F.lit(False).alias("pseudo"), *MOD, "offset", "symbol")
     rest = frames.where(F.col("pseudo") | F.col("debug_name").isNull()).select(
         *FRAME_KEY, F.lit(None).cast("string").alias("symbol"))
     d = with_sym.unionByName(rest)

@@ -37,7 +37,8 @@ class Inputs:
 
 def symbols_from_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed, rejects = parse_symbol_lines(lines)
-    return materialize(symbol_precedence(parsed)), rejects
+    # lazy: the as-of join's semi-join on the modules that occur is pushed below the parse
+    return symbol_precedence(parsed), rejects
 
 
 def prepare(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangConfig, scanned: bool = False) -> Inputs:

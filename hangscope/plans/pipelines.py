@@ -1,6 +1,6 @@
 """Shared plan fragments of the registered queries and jobs.
 
-Each fragment materializes (checkpoints) only what several branches read.
+Each fragment materializes only what several branches read.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from hangscope.config import HangConfig
 from hangscope.operators import histograms as HG
 from hangscope.operators import stacktree as ST
+from hangscope.operators.hangs import rate_hangs
 from hangscope.operators.rates import hang_rates_from, hang_sums, hang_sums_raw, usage_hours_by_date
 from hangscope.operators.symbolicate import distinct_stacks, symbolicate_stacks
 from hangscope.plans.jobs import Inputs
@@ -17,14 +18,13 @@ from hangscope.session import materialize
 
 
 def rates(i: Inputs, cfg: HangConfig) -> DataFrame:
-    raw = materialize(hang_sums_raw(i.hangs, cfg))
-    sd = symbolicate_stacks(distinct_stacks(raw), i.symbols, cfg)
-    return hang_rates_from(hang_sums(raw, sd), usage_hours_by_date(i.pings))
+    sd = symbolicate_stacks(distinct_stacks(rate_hangs(i.hangs, cfg)), i.symbols, cfg)
+    return hang_rates_from(hang_sums(hang_sums_raw(i.hangs, cfg), sd), usage_hours_by_date(i.pings))
 
 
 def histogram_counts(i: Inputs, cfg: HangConfig, all_hangs: bool = True) -> DataFrame:
-    raw = materialize(HG.bucket_counts_raw(i.hangs))
-    sd = symbolicate_stacks(distinct_stacks(raw), i.symbols, cfg)
+    raw = HG.bucket_counts_raw(i.hangs)
+    sd = symbolicate_stacks(distinct_stacks(i.hangs), i.symbols, cfg)
     return HG.histogram_all_hangs(raw, sd) if all_hangs else HG.duration_histogram(raw, sd)
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "hangscope") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -48,13 +52,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+    """Compute ``df`` once, as a Parquet table in the shared checkpoint folder.
 
-    Used for small intermediates read by several branches of a plan (distinct
-    stacks, frame and symbol dictionaries): without it each branch, pruning
-    different columns, would rerun the scan and exchanges above it.  The
-    folder is the cluster's ``spark.checkpoint.dir``, so a lost executor does
-    not lose the data.
+    Used for intermediates read by several branches of a plan (frame
+    dictionary, rates, pruned rows): without it each branch, pruning different
+    columns, would rerun the scan and exchanges above it.  Branches read only
+    the columns they need.  The folder is the cluster's
+    ``spark.checkpoint.dir``, so a lost executor does not lose the data;
+    :func:`clear_materialized` removes the tables of a session.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hangscope-tmp/{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete the tables that :func:`materialize` wrote, once no result needs them."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
