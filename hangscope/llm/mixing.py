@@ -6,7 +6,7 @@ the others form that domain's lexicon, and a linear discriminant over lexicon
 scores and shape (length, repetition, characters per word) turns them into posteriors.  Rates r >= 0, one per
 document, are then fitted so that the expected tokens of each domain,
 sum of r_i * n_i * p_i, meet the targets in least squares (weighted by the
-inverse of the domains' Gram matrix).  The fit is projected gradient from
+inverse of the domains' Gram matrix); no rate exceeds ``MAX_RATE``.  The fit is projected gradient from
 r = 1 with step 1, its Lipschitz bound in the metric of the document lengths,
 so an attainable target is met with the least change of rates.
 
@@ -41,6 +41,7 @@ MIN_DOCS = 5           # labelled documents that must hold a lexicon word
 MIN_LOG_RATIO = 2.0
 FOLD = 20
 STEPS = 200
+MAX_RATE = 4.0         # most copies of a document
 CLOSE = 1e-6           # of the total: largest miss of a target that ends the fit
 FEATURES = ["f_low", "f_toxic", "f_distinct", "f_chars", "f_words"]
 
@@ -138,7 +139,8 @@ def _dot(p: Column, v) -> Column:
     return sum(p[i] * F.lit(float(x)) for i, x in enumerate(v))
 
 
-def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE) -> DataFrame:
+def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE,
+              max_rate: float = MAX_RATE) -> DataFrame:
     """``rate`` for each row of ``docs`` (``n_tokens, times, p``): nonnegative, and the domains' expected tokens in proportion ``targets``."""
     k = len(DOMAINS)
     n, p = (F.col("n_tokens") * F.col("times")).cast("double"), F.col("p")
@@ -156,7 +158,7 @@ def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
         if not history:
             return F.col("rate")
         steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
-        return F.aggregate(steps, F.col("rate"), lambda r, g: F.greatest(F.lit(0.0), r - sum(p[i] * g[i] for i in range(k))))
+        return F.aggregate(steps, F.col("rate"), lambda r, g: F.least(F.lit(float(max_rate)), F.greatest(F.lit(0.0), r - sum(p[i] * g[i] for i in range(k)))))
 
     last = None
     for _ in range(steps):
