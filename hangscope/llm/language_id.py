@@ -189,8 +189,10 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, lang: str, per_lan
     weight = F.create_map(*[F.lit(x) for kv in sorted(counts.items()) for x in kv])
     h = F.xxhash64(F.lit("language sample"), "i", "t")
     spot = F.pmod(F.xxhash64(F.lit("window"), "i", "t"), F.greatest(F.length("t") - WINDOW_CHARS, F.lit(1))).cast("int") + 1
-    order = (F.pmod(h, F.lit(1 << 40)) + 1) * weight[F.col("lang")]
-    taken = rows.select("lang", F.substring("t", spot, F.lit(WINDOW_CHARS + 1)).alias("w"), order.alias("o"), "i").orderBy("o", "i", "w").limit(
+    u = F.pmod(h, F.lit(1 << 40))
+    order = (u + 1) * weight[F.col("lang")]
+    # about twice the rows wanted of each language go on to be ordered
+    taken = rows.filter(u * weight[F.col("lang")] < F.lit(float(2 * per_lang + 100) * (1 << 40))).select("lang", F.substring("t", spot, F.lit(WINDOW_CHARS + 1)).alias("w"), order.alias("o"), "i").orderBy("o", "i", "w").limit(
         per_lang * len(counts))
     return [(r["lang"], r["w"]) for r in taken.collect()]
 
