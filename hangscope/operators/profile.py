@@ -201,11 +201,49 @@ def _sorted(col_struct: Column) -> Column:
     return F.sort_array(F.collect_list(col_struct))
 
 
+def _sample_fields(minimal: bool) -> list[Column]:
+    """Columns of the sample table; the minimal layout names stack, platform and category only."""
+    full = [] if minimal else [F.col("runnable_idx").alias("runnable"), F.col("userInteracting")]
+    return [F.col("stack_idx").alias("stack"), *full, F.col("platform_idx").alias("platform"), F.col("category_idx").alias("category")]
+
+
+def _date_fields(minimal: bool) -> list[Column]:
+    ms = [] if minimal else [F.col("sample_ms").alias("sampleHangMs")]
+    return [*ms, F.col("sample_count").alias("sampleHangCount")]
+
+
+def sections(t: ProfileTables, minimal: bool = False) -> dict[str, DataFrame]:
+    """The profile's sections as long tables: ``thread, idx`` (``date`` too for dates) and the section's fields."""
+    return {
+        "stringArray": t.strings.select("thread", "idx", "string"),
+        "libs": t.libs.select("thread", "idx", "name", "offset", "path", "debugName", "debugPath", "arch"),
+        "funcTable": t.funcs.select("thread", "idx", F.col("name_idx").alias("name"), F.col("lib_idx").alias("lib")),
+        "stackTable": t.stacks.select("thread", "idx", F.col("prefix_idx").alias("prefix"), F.col("func_idx").alias("func")),
+        "sampleTable": t.samples.select("thread", "idx", *_sample_fields(minimal)),
+        "dates": t.dates.select("thread", "date", F.col("sample_idx").alias("idx"), *_date_fields(minimal)),
+    }
+
+
+def pack_chunks(t: ProfileTables, chunk_rows: int, minimal: bool = False) -> DataFrame:
+    """T10/T11 for any size: ``thread, section, date, chunk, rows, entries``, where ``entries`` is a JSON array of at most
+    ``chunk_rows`` entries (with their ``idx``) in index order.  No row or group grows with a thread."""
+    out = None
+    for name, df in sections(t, minimal).items():
+        date = F.col("date") if name == "dates" else F.lit(None).cast("string")
+        fields = [c for c in df.columns if c not in ("thread", "date", "idx")]
+        part = (df.groupBy("thread", date.alias("date"), F.floor(F.col("idx") / chunk_rows).alias("chunk"))
+                  .agg(F.count(F.lit(1)).alias("rows"), F.to_json(_sorted(F.struct("idx", *fields))).alias("entries"))
+                  .select("thread", F.lit(name).alias("section"), "date", "chunk", "rows", "entries"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def pack_profile(t: ProfileTables, usage: DataFrame, run_id: str, minimal: bool = False) -> DataFrame:
     """One JSON document per thread in the profile's struct-of-arrays
     shape (libs, funcTable, stackTable, sampleTable, stringArray, dates).  With
-    ``minimal`` the dates carry counts only.  Per-thread size is bounded by
-    pruning (every kept node holds more than the threshold of its parent)."""
+    ``minimal`` the dates carry counts only and samples their stack, platform
+    and category.  A document is one row that holds the thread's whole profile:
+    for small profiles; :func:`pack_chunks` has no such row."""
     libs = t.libs.groupBy("thread").agg(_sorted(F.struct("idx", "name", "offset", "path", "debugName", "debugPath", "arch"))
                                         .alias("l")).select("thread", F.transform("l", lambda x: x.dropFields("idx")).alias("libs"))
     funcs = t.funcs.groupBy("thread").agg(_sorted(F.struct("idx", "name_idx", "lib_idx")).alias("f")).select(
@@ -214,29 +252,27 @@ def pack_profile(t: ProfileTables, usage: DataFrame, run_id: str, minimal: bool
     stacks = t.stacks.groupBy("thread").agg(_sorted(F.struct("idx", "prefix_idx", "func_idx")).alias("s")).select(
         "thread", F.struct(F.col("s.prefix_idx").alias("prefix"), F.col("s.func_idx").alias("func"),
                            F.size("s").alias("length")).alias("stackTable"))
-    samples = t.samples.groupBy("thread").agg(_sorted(F.struct("idx", "stack_idx", "runnable_idx", "userInteracting",
-                                                                "platform_idx", "category_idx")).alias("s")).select(
-        "thread", F.struct(F.col("s.stack_idx").alias("stack"), F.col("s.runnable_idx").alias("runnable"),
-                           F.col("s.userInteracting").alias("userInteracting"), F.col("s.platform_idx").alias("platform"),
-                           F.col("s.category_idx").alias("category"), F.size("s").alias("length")).alias("sampleTable"))
+    sample_rows = sections(t, minimal)["sampleTable"]
+    names = [c for c in sample_rows.columns if c not in ("thread", "idx")]
+    samples = sample_rows.groupBy("thread").agg(_sorted(F.struct("idx", *names)).alias("s")).select(
+        "thread", F.struct(*[F.col(f"s.{c}").alias(c) for c in names], F.size("s").alias("length")).alias("sampleTable"))
     strings = t.strings.groupBy("thread").agg(_sorted(F.struct("idx", "string")).alias("s")).select(
         "thread", F.col("s.string").alias("stringArray"))
-    per_date = t.dates.groupBy("thread", "date").agg(
-        F.map_from_entries(F.collect_list(F.struct("sample_idx", "sample_ms"))).alias("ms"),
-        F.map_from_entries(F.collect_list(F.struct("sample_idx", "sample_count"))).alias("cnt"),
-        F.max("sample_idx").alias("top"))
-    rng = F.sequence(F.lit(0).cast("long"), F.col("top"))
-    fields = [F.col("date")]
-    if not minimal:
-        fields.append(F.transform(rng, lambda i: F.col("ms")[i]).alias("sampleHangMs"))
-    fields.append(F.transform(rng, lambda i: F.col("cnt")[i]).alias("sampleHangCount"))
-    dates = per_date.groupBy("thread").agg(_sorted(F.struct(*fields)).alias("dates"))
+    # a date's arrays run from sample 0 to its last sample; gaps are null
+    top = t.dates.groupBy("thread", "date").agg(F.max("sample_idx").alias("top"))
+    grid = top.select("thread", "date", F.explode(F.sequence(F.lit(0).cast("long"), F.col("top"))).alias("sample_idx"))
+    values = [c for c in ("sample_ms", "sample_count") if not (minimal and c == "sample_ms")]
+    per_date = (grid.join(t.dates.select("thread", "date", "sample_idx", *values), ["thread", "date", "sample_idx"], "left")
+                .groupBy("thread", "date").agg(_sorted(F.struct("sample_idx", *values)).alias("v")))
+    fields = [F.col("date")] + ([] if minimal else [F.col("v.sample_ms").alias("sampleHangMs")]) + [F.col("v.sample_count").alias("sampleHangCount")]
+    dates = per_date.select("thread", F.struct(*fields).alias("d")).groupBy("thread").agg(_sorted(F.col("d")).alias("dates"))
     threads = (libs.join(funcs, "thread").join(stacks, "thread").join(samples, "thread", "left")
                    .join(strings, "thread").join(dates, "thread", "left"))
     return threads.select(
         F.col("thread").alias("name"),
         F.to_json(F.struct(F.col("thread").alias("name"), process_type(F.col("thread")).alias("processType"),
-                           "libs", "funcTable", "stackTable", "sampleTable", "stringArray", "dates")).alias("profile"),
+                           "libs", "funcTable", "stackTable", "sampleTable", "stringArray", "dates"),
+                  {"ignoreNullFields": "false"}).alias("profile"),
         F.lit(run_id).alias("uuid"))
 
 

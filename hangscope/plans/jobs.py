@@ -106,14 +106,20 @@ def _out_path(root: str, cfg: HangConfig) -> str:
 
 
 def _write_tables(tables, usage: DataFrame, cfg: HangConfig, path: str) -> None:
-    """Packed per-thread documents, or split section tables with a
-    manifest when ``cfg.split_threads_in_out_file``."""
-    from hangscope.operators.profile import pack_profile, usage_hours_json
-    from hangscope.sources.profiles import write_profile, write_split
+    """The profile's sections in chunks; split section tables with a
+    manifest and main file when ``cfg.split_threads_in_out_file``; one document
+    per thread when ``cfg.one_document_per_thread``."""
+    from hangscope.operators.profile import pack_chunks, pack_profile, usage_hours_json
+    from hangscope.sources.profiles import write_chunks, write_profile, write_split, write_split_main
+    minimal = cfg.use_minimal_sample_table
     if cfg.split_threads_in_out_file:
-        write_split(tables, path).write.mode("overwrite").json(f"{path}/manifest")
+        manifest = write_split(tables, path, minimal)
+        manifest.write.mode("overwrite").json(f"{path}/manifest")
+        write_split_main(manifest, usage_hours_json(usage), path, cfg.run_id)
+    elif not cfg.one_document_per_thread:
+        write_chunks(pack_chunks(tables, cfg.profile_chunk_rows, minimal), usage_hours_json(usage), path, cfg.run_id)
     else:
-        packed = pack_profile(tables, usage, cfg.run_id, minimal=cfg.use_minimal_sample_table)
+        packed = pack_profile(tables, usage, cfg.run_id, minimal=minimal)
         write_profile(packed, usage_hours_json(usage), path, cfg.run_id)
 
 

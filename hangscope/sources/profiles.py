@@ -5,9 +5,11 @@ plus object-store upload becomes a path (any Hadoop filesystem).
 
 * daily increments: long tables partitioned by ``build_date`` and written
   with dynamic partition overwrite, so rewriting a day replaces only it;
-* packed profiles: one gzip JSON document per thread (``write_profile``);
+* profiles: chunks of each section (``write_chunks``, the default), or one
+  gzip JSON document per thread (``write_profile``);
 * split profiles: each section as its own table partitioned by ``thread``
-  plus a manifest of what was written (``write_split``).
+  plus a manifest of what was written (``write_split``) and the main file
+  (``write_split_main``).
 """
 
 from __future__ import annotations
@@ -94,20 +96,38 @@ def read_profile(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string, profile string, uuid string").json(f"{path}/threads")
 
 
-def write_split(tables, path: str) -> DataFrame:
+def write_chunks(chunks: DataFrame, usage_json: DataFrame, path: str, run_id: str) -> None:
+    """S12, default form: the profile's sections in chunks (``operators.profile.pack_chunks``), and the meta document."""
+    chunks.write.mode("overwrite").partitionBy("section").option("compression", "gzip").json(f"{path}/chunks")
+    usage_json.withColumn("uuid", F.lit(run_id)).write.mode("overwrite").option("compression", "gzip").json(f"{path}/meta")
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks written by :func:`write_chunks`."""
+    return spark.read.schema("thread string, date string, chunk long, rows long, entries string, section string").json(f"{path}/chunks")
+
+
+def write_split(tables, path: str, minimal: bool = False) -> DataFrame:
     """Each profile section as a table partitioned by thread; returns the
     manifest (thread, section, rows) of what was written."""
+    from hangscope.operators.profile import sections
     spark = tables.strings.sparkSession
-    sections = {"stringArray": tables.strings, "libs": tables.libs,
-                "funcTable": tables.funcs.select("thread", "idx", "name_idx", "lib_idx"),
-                "stackTable": tables.stacks.select("thread", "idx", "prefix_idx", "func_idx"),
-                "sampleTable": tables.samples.select("thread", "idx", "stack_idx", "runnable_idx", "userInteracting",
-                                                     "platform_idx", "category_idx"),
-                "dates": tables.dates}
     manifest = None
-    for name, df in sections.items():
-        df.write.mode("overwrite").partitionBy("thread").parquet(f"{path}/{name}")
+    for name, df in sections(tables, minimal).items():
+        df.repartition("thread", F.floor(F.col("idx") / 1_000_000)).write.mode("overwrite").partitionBy("thread").parquet(f"{path}/{name}")
         m = (spark.read.parquet(f"{path}/{name}").groupBy("thread").agg(F.count(F.lit(1)).alias("rows"))
              .withColumn("section", F.lit(name)))
         manifest = m if manifest is None else manifest.unionByName(m)
     return manifest
+
+
+def write_split_main(manifest: DataFrame, usage_json: DataFrame, path: str, run_id: str) -> None:
+    """The main file of a split profile: usage hours, run id and the split
+    mark in ``main/meta``, and a row per thread in ``main/splitFiles`` with its
+    process type and the sections written for it."""
+    from hangscope.operators.profile import process_type
+    (usage_json.withColumn("uuid", F.lit(run_id)).withColumn("isSplit", F.lit(True))
+     .write.mode("overwrite").json(f"{path}/main/meta"))
+    # at most one entry per section
+    files = manifest.groupBy(F.col("thread").alias("name")).agg(F.sort_array(F.collect_list("section")).alias("files"))
+    files.withColumn("processType", process_type(F.col("name"))).write.mode("overwrite").json(f"{path}/main/splitFiles")

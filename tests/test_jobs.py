@@ -27,7 +27,7 @@ def _docs(spark, path):
 def test_hang_profile_packed_and_split(spark):
     from hangscope.plans.jobs import etl_hang_profile
     pings, lines = _src(spark)
-    cfg = DEFAULT.with_(start_date="19950101", end_date="19960101")
+    cfg = DEFAULT.with_(start_date="19950101", end_date="19960101", one_document_per_thread=True)
     path = etl_hang_profile(pings, lines, cfg, _out(spark))
     docs = _docs(spark, path)
     assert docs and all(d["stackTable"]["length"] > 0 for d in docs.values())
@@ -39,6 +39,40 @@ def test_hang_profile_packed_and_split(spark):
         "stringArray", "libs", "funcTable", "stackTable", "sampleTable", "dates"}
     stacks = {r.thread: r.rows for r in m.where(F.col("section") == "stackTable").collect()}
     assert stacks == {k: d["stackTable"]["length"] for k, d in docs.items()}
+    meta = spark.read.json(f"{split}/main/meta").first()
+    assert meta.isSplit and meta.uuid == cfg.run_id and set(json.loads(meta.usageHoursByDate)) >= {x["date"] for d in docs.values() for x in d["dates"]}
+    files = {r.name: r for r in spark.read.json(f"{split}/main/splitFiles").collect()}
+    assert files.keys() == docs.keys() and all(files[k].processType == d["processType"] and len(files[k].files) == 6 for k, d in docs.items())
+
+
+def test_chunks_hold_the_same_profile(spark):
+    """The default output against the documents: every section entry by entry, with null gaps only in the documents."""
+    from hangscope.plans.jobs import etl_hang_profile
+    from hangscope.sources.profiles import read_chunks
+    pings, lines = _src(spark)
+    cfg = DEFAULT.with_(start_date="19950101", end_date="19960101", profile_chunk_rows=7)
+    for minimal in (False, True):
+        c = cfg.with_(use_minimal_sample_table=minimal)
+        docs = _docs(spark, etl_hang_profile(pings, lines, c.with_(one_document_per_thread=True), _out(spark)))
+        rows = read_chunks(spark, etl_hang_profile(pings, lines, c, _out(spark))).collect()
+        assert all(r.rows == len(json.loads(r.entries)) <= 7 for r in rows)
+        got = {}
+        for r in sorted(rows, key=lambda r: r.chunk):
+            got.setdefault((r.thread, r.section, r.date), []).extend(json.loads(r.entries))
+        for name, d in docs.items():
+            assert [e["string"] for e in got[name, "stringArray", None]] == d["stringArray"]
+            for section in ("funcTable", "stackTable", "sampleTable"):
+                keys = [k for k in d[section] if k != "length"]
+                if section == "sampleTable":
+                    assert keys == (["stack", "platform", "category"] if minimal else ["stack", "runnable", "userInteracting", "platform", "category"])
+                entries = got.get((name, section, None), [])
+                assert d[section]["length"] == len(entries) and [e["idx"] for e in entries] == list(range(len(entries)))
+                assert all([e.get(k) for e in entries] == d[section][k] for k in keys)
+            for x in d["dates"] or ():
+                entries = {e["idx"]: e for e in got[name, "dates", x["date"]]}
+                assert ("sampleHangMs" in x) is not minimal and len(x["sampleHangCount"]) == max(entries) + 1
+                for field in [k for k in x if k != "date"]:
+                    assert x[field] == [entries[i].get(field) if i in entries else None for i in range(len(x[field]))]
 
 
 def test_tracked_stats_merge_into_store(spark):
@@ -65,7 +99,7 @@ def test_tracked_stats_merge_into_store(spark):
 def test_incremental_write_then_finalize(spark):
     from hangscope.plans.jobs import etl_incremental_finalize, etl_incremental_write, finalize_daily
     pings, lines = _src(spark)
-    cfg = DEFAULT.with_(start_date="19950101", end_date="19960101")
+    cfg = DEFAULT.with_(start_date="19950101", end_date="19960101", one_document_per_thread=True)
     daily = _out(spark) + "/daily"
     etl_incremental_write(pings, lines, cfg, daily)
     path = etl_incremental_finalize(spark, cfg, daily, _out(spark))
