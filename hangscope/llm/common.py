@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -84,6 +85,18 @@ def map_arrow(df: DataFrame, fn, schema: T.StructType) -> DataFrame:
     return df.toDF(*(f"i{i}" for i in range(len(df.columns)))).mapInArrow(run, inner).toDF(*schema.names)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Python functions that run meanwhile get at most ``rows`` rows at a time: for rows that hold large values."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def open_shared(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI in the shared folder, usable in any task."""
     return pafs.FileSystem.from_uri(uri)

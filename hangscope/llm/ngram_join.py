@@ -3,30 +3,39 @@
 Documents become sets of word shingles.  In each of several runs a set picks
 about ``FIRST`` of its shingles by a shared hash; sets that pick the same
 shingle meet in a bucket.  A bucket of at most ``SMALL`` sets is compared by
-brute force; a larger one is split again: its sets pick about ``NEXT`` further
-shingles by a hash that depends on the path so far, and so on.  A pair of
-similarity s or more shares a path in a run with a probability that depends
-only on s and the two rates, so ``runs_for`` gives the number of runs that
-reaches the target recall.
-
-Dense buckets.  In a bucket that must be split, every set is first compared
-with one set of it, the pivot.  Sets linked to the pivot carry its tag: two
-sets of one tag are in one group already and are not compared again, and a
-path whose sets all carry one tag ends.  So a group of any number of near
-copies costs a comparison per member and bucket, not a pair per pair.  Buckets
-still large after ``LEVELS`` splits are compared exactly, pair by pair,
-leaving out equal tags.
-
-Every reported link is exact: candidates are first sifted by 128-bin sketches
-(a pair at the threshold is lost with probability below 1e-6), then compared
-on 64-bit shingle sets.  Sets are built again from the texts only for
-candidates.  Documents with equal sets are one class before anything else, so
-exact copies never meet.
+brute force inside its task; a larger one is split again: its sets pick about
+``NEXT`` further shingles by a hash that depends on the path so far, and so
+on.  ``NEXT`` is 1 / similarity, so paths of less similar sets die out.  A pair
+of similarity s or more shares a path in a run with a probability that depends
+only on s and the two rates; ``runs_for`` gives the runs that reach the target
+recall for a pair that only meets in buckets that must be split to the last
+level.  A pair that shares shingles found in at most ``SMALL`` sets is missed
+with a probability below 1e-6.
+
+Dense buckets.  In a bucket that is too large, every set is first compared with
+one set of it, the pivot: the one that shares the most, over all large buckets,
+with others, which in a group of near copies is the text they stem from.  Then
+the sets' groups are worked out from all links so far; sets of one group are
+not compared again, and a bucket whose sets are all of one group ends.  So a
+group of any number of near copies costs a few comparisons per member, not one
+per pair.  Once the pairs of different groups left in large buckets are at most
+``WORK`` times the sets (about the cost of hashing them), or after ``LEVELS``
+splits, they are compared exactly, in blocks.  Until then large buckets are cut
+by set size, since similar sets are of similar size, and split as above.
+
+Every reported link is exact: candidates are first sifted by odd sketches (a
+bit per bin tells whether an odd number of shingles falls into it, so the bits
+in which two sketches differ count the shingles in which their sets do; a pair
+at the threshold is lost with a probability of 3e-5), then compared on 64-bit
+shingle sets.  Sets are built again from the texts only for candidates.
+Documents with equal sets are one class before anything else, so exact copies
+never meet.
 
 Result: a row per document with the id of its group (connected documents, the
 smallest id) and its number of links: documents with an equal set plus those
-of the sets it is linked with.  Links between two sets that carry the same
-pivot's tag are contained in the group and not counted one by one.
+of the sets it is linked with.  In buckets of more than ``SMALL`` sets only links that
+connect sets not yet known to be of one group are looked for; the others are
+contained in the group and not counted one by one.
 
 Edge cases: a text of fewer words than a shingle is one shingle of all its
 words; null, empty and wordless texts have no set, no links and are groups of
@@ -42,19 +51,24 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_BYTES, map_arrow, written
+from .common import WORD_BYTES, arrow_rows, map_arrow, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RECALL = 0.999
-FIRST, NEXT = 3.0, 1.75
-SMALL, LEVELS = 32, 8
-BINS = 128
+RECALL = 0.99
+FIRST, NEXT = 3.0, 1.25
+SMALL, LEVELS = 256, 3
+BLOCK = 2048           # sets of a large bucket compared at a time with as many others
+BITS = 1024            # of a sketch
+WORK = 3000            # pairs per set that may be left to the blocks
+PAIRS = 1 << 17        # sketch pairs compared at a time
 PIECE = 1 << 18        # bytes hashed at a time
+TEXTS = 1000           # texts worked on at a time
+SETS = 64              # sets, or pairs of them, sent to a Python worker at a time
 BROADCAST_ROWS = 200_000
 
 _U = np.uint64
@@ -173,13 +187,12 @@ def runs_for(recall: float, similarity: float, first: float = FIRST, nxt: float
 
 
 def _sketch(s: np.ndarray) -> bytes:
-    """16 bits of the smallest hash in each of BINS bins; 0 marks an empty bin."""
-    out = np.zeros(BINS, np.uint16)
-    h = mix(s ^ _U(0x5BF03635))
-    h.sort()
-    h = h[::-1]  # the smallest is assigned last
-    out[(h % _U(BINS)).astype(np.int64)] = ((mix(h) >> _U(48)).astype(np.uint16)) | 1
-    return out.tobytes()
+    """For each of BITS bins whether an odd number of the hashes falls into it."""
+    return np.packbits(np.bincount((mix(s ^ _U(0x5BF03635)) % _U(BITS)).astype(np.int64), minlength=BITS) & 1 == 1).tobytes()
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def _picks(s: np.ndarray, seed: np.uint64, rate: float) -> np.ndarray:
@@ -197,7 +210,7 @@ def read_sets(docs: DataFrame, doc_id: str, text: str, runs: int) -> DataFrame:
     seeds = [_seed(r) for r in range(runs)]
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             sets = shingle_sets(b.column(2).to_pylist())
             keys = [[int(np.add.reduce(mix(s + _U(k))).astype(np.int64)) if len(s) else 0 for s in sets] for k in (1, 2)]
             nodes = [np.concatenate([_picks(s, seed, FIRST) for seed in seeds]).astype(np.int64) for s in sets]
@@ -218,144 +231,274 @@ def build_sets(docs: DataFrame, doc_id: str, text: str, need: DataFrame) -> Data
     schema = T.StructType([T.StructField("cid", T.LongType()), T.StructField("toks", T.BinaryType())])
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(k, TEXTS) for b in batches for k in range(0, b.num_rows, TEXTS)):
             yield [b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1).to_pylist())], pa.binary())]
 
     return map_arrow(held, run, schema).dropDuplicates(["cid"])
 
 
+def _alike(sa: np.ndarray, sb: np.ndarray, na: np.ndarray, nb: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of sketches and set sizes allow the similarity: bits that differ, against the mean plus four deviations at the threshold."""
+    bits = np.bitwise_count(sa ^ sb).sum(1, dtype=np.int64)
+    d = (na + nb) * ((1 - similarity) / (1 + similarity))     # most shingles that two such sets differ in
+    mean = BITS / 2 * (1 - np.exp(-2 * d / BITS))
+    deviation = np.sqrt(np.maximum(BITS / 4 * (1 - np.exp(-4 * d / BITS)) - d * np.exp(-4 * d / BITS), 0.25))
+    return (bits <= mean + 4 * deviation + 1) & (np.minimum(na, nb) >= similarity * np.maximum(na, nb) - 1e-9)
+
+
+PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+
 def plausible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``a, b`` whose sizes and sketches allow the similarity."""
     one = classes.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = classes.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").filter(f"least(na, nb) >= {similarity} * greatest(na, nb) - 1e-9").select("a", "b", "sa", "sb")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            sa, sb = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, BINS) for i in (2, 3))
-            used = ((sa > 0) | (sb > 0)).sum(1)
-            same = ((sa == sb) & (sa > 0)).sum(1)
-            ok = pa.array(same >= used * (similarity - 2 / np.sqrt(np.maximum(used, 1))))
+            ok = pa.array(_alike(_sketches(b.column(2)), _sketches(b.column(3)), b.column(4).to_numpy(), b.column(5).to_numpy(), similarity))
             yield [b.column(0).filter(ok), b.column(1).filter(ok)]
 
-    return map_arrow(both, run, schema)
+    return map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb", "na", "nb"), run, PAIR)
+
+
+def box_pairs(rows: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Plausible pairs ``node, a, bs`` within buckets (``node, cid, root, n``) of sets of different groups.
+
+    Buckets are bounded by the caller; the pairs compared never leave the
+    task, and a pair is given out only by the first of the buckets it shares."""
+    src = _with_nodes(rows, classes).select(F.explode("nodes").alias("node"), "cid", "root", "n", "sketch", "nodes")
+    return _compare(src.withColumn("home", F.col("node")).withColumn("side", F.col("cid")), similarity)
+
+
+def single(boxed: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of lists of partners."""
+    each = boxed.select("a", F.explode("bs").alias("b"))
+    return each.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _with_nodes(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``cid, root, n, nodes, sketch``: each set once, with all its buckets."""
+    return rows.groupBy("cid", "root", "n").agg(F.collect_list("node").alias("nodes")).join(classes.select("cid", "sketch"), "cid")
+
+
+def _compare(src: DataFrame, similarity: float) -> DataFrame:
+    """``node, a, bs``: pairs of rows of one ``node`` and different ``side`` as lists of partners, given out where their ``home`` is the
+    first of the buckets (``nodes``) that both sets are in."""
+
+    def pairs(node, cid, root, n, home, side, sketch, nodes, whole):
+        """Pairs of the complete buckets, and the number of rows that belong to them."""
+        edge = np.flatnonzero(np.diff(node)) + 1
+        done = len(node) if whole else (int(edge[-1]) if len(edge) else 0)
+        ends = np.concatenate([edge, [len(node)]])
+        partners = (ends[np.searchsorted(ends, np.arange(done), side="right")] - np.arange(done) - 1) if done else np.empty(0, np.int64)
+        out, at = [], 0
+        while at < done:
+            to = min(done, at + max(1, int(np.searchsorted(np.cumsum(partners[at:]), PAIRS, side="right"))))
+            c = partners[at:to]
+            i = np.repeat(np.arange(at, to), c)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(c) - c, c)
+            ok = (root[i] != root[j]) & (side[i] != side[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
+            i, j = i[ok], j[ok]
+            ok = _alike(sketch[i], sketch[j], n[i], n[j], similarity)
+            i, j = i[ok], j[ok]
+            ok = np.array([home[x] == min(nodes[x] & nodes[y]) for x, y in zip(i.tolist(), j.tolist())], bool)
+            i, j = i[ok], j[ok]
+            if len(i):      # i ascends, so a set's partners are neighbours
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(i)) + 1])
+                out.append([pa.array(node[i[cuts]]), pa.array(cid[i[cuts]]),
+                            pa.ListArray.from_arrays(pa.array(np.append(cuts, len(i)).astype(np.int32)), pa.array(cid[j]))])
+            at = to
+        return out, done
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            nodes = np.array([*map(frozenset, b.column(7).to_pylist()), None], object)[:-1]
+            new = [*(b.column(i).to_numpy() for i in range(6)), _sketches(b.column(6)), nodes]
+            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
+            out, done = pairs(*held, False)
+            held = [x[done:] for x in held]
+            yield from out
+        if held is not None and len(held[0]):
+            yield from pairs(*held, True)[0]
+
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("a", T.LongType()), T.StructField("bs", T.ArrayType(T.LongType()))])
+    dealt = src.repartition("node").sortWithinPartitions("node")
+    return map_arrow(dealt.select("node", "cid", "root", "n", "home", "side", "sketch", "nodes"), run, schema)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+    return common >= similarity * (len(x) + len(y) - common) - 1e-9
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs ``a, b`` whose sets have at least the Jaccard similarity."""
     both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("toks").alias("ta")), "a").join(
         sets.select(F.col("cid").alias("b"), F.col("toks").alias("tb")), "b").select("a", "b", "ta", "tb")
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(batches):
         for b in batches:
             ok = []
             for x, y in zip(b.column(2), b.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                ok.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+                ok.append(_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), similarity))
             ok = pa.array(ok, pa.bool_())
             yield [b.column(0).filter(ok), b.column(1).filter(ok)]
 
-    return map_arrow(both, run, schema)
+    return map_arrow(both, run, PAIR)
 
 
 def _children(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """The next level of ``node, cid, tag``: each set's picks below the node."""
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("tag", T.LongType())])
+    """The next level of ``node, cid, n``: each set's picks below each of its nodes.  A set is shuffled once, not once per node."""
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("n", T.LongType())])
+    by_set = rows.groupBy("cid").agg(F.collect_list("node").alias("nodes"))   # a set has at most a few hundred nodes
 
     def run(batches):
         for b in batches:
-            node, cid, tag, toks = (b.column(i) for i in range(4))
-            got = [_picks(np.frombuffer(x.as_buffer(), np.uint64), _U(v & (1 << 64) - 1), NEXT).astype(np.int64) for x, v in zip(toks, node.to_pylist())]
-            at = pa.array(np.repeat(np.arange(b.num_rows), [len(g) for g in got]))
-            yield [pa.array(np.concatenate(got) if got else np.empty(0, np.int64)), cid.take(at), tag.take(at)]
-
-    return map_arrow(rows.join(sets, "cid").select("node", "cid", "tag", "toks"), run, schema)
-
-
-def _ordered(a, b):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
-
-
-def _different(a, b):
-    """Neither set of a pair has told its group by the same pivot."""
-    return a.isNull() | b.isNull() | (a != b)
-
-
-def _small_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of buckets of at most SMALL sets."""
-    boxes = rows.groupBy("node").agg(F.collect_list(F.struct("cid", "tag")).alias("box"))
-    pairs = boxes.select("box", F.posexplode("box").alias("i", "x")).select(
-        "x", F.explode(F.expr("slice(box, i + 2, size(box))")).alias("y"))
-    return pairs.filter(_different(F.col("x.tag"), F.col("y.tag"))).select(*_ordered(F.col("x.cid"), F.col("y.cid")))
-
-
-def _bucket_stats(rows: DataFrame) -> DataFrame:
-    """Buckets that still have something to compare: size and pivot (an untagged set if there is one; the same set in as many buckets as can be)."""
-    pivot = F.coalesce(F.min(F.when(F.col("tag").isNull(), F.col("cid"))), F.min("cid"))
-    return rows.groupBy("node").agg(F.count("*").alias("m"), F.count("tag").alias("tagged"), F.min("tag").alias("lo"), F.max("tag").alias("hi"),
-                                    pivot.alias("pivot")).filter("m > 1 AND (tagged < m OR lo != hi)").select("node", "m", "pivot")
-
-
-def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
-    """Verified links ``a < b`` between classes (``cid, doc, th, n, nodes, sketch``)."""
-    rows = classes.select(F.explode("nodes").alias("node"), "cid", F.lit(None).cast("long").alias("tag"))
-    stats = written(_bucket_stats(rows), "buckets")
-    rows = written(rows.join(stats, "node"), "bucket-rows")
-    small = written(plausible(_small_pairs(rows.filter(F.col("m") <= SMALL)).distinct(), classes, similarity), "pairs")
-    large = rows.filter(F.col("m") > SMALL)
-    need = small.select(F.col("a").alias("cid")).union(small.select("b")).union(large.select("cid")).distinct()
-    need = written(need.join(classes, "cid").select("cid", "doc", "th"), "needed")
-    sets = written(build_sets(docs, doc_id, text, need), "sets")
-    links = [verified(small, sets, similarity)]
+            got, at, size = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for cid, nodes, toks in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                s = np.frombuffer(toks.as_buffer(), np.uint64)
+                got += [_picks(s, _U(v & (1 << 64) - 1), NEXT).astype(np.int64) for v in nodes]
+                picked = sum(map(len, got[len(got) - len(nodes):]))
+                at.append(np.full(picked, cid))
+                size.append(np.full(picked, len(s)))
+            yield [pa.array(np.concatenate(x).astype(np.int64)) for x in (got, at, size)]
+
+    return map_arrow(by_set.join(sets, "cid").select("cid", "nodes", "toks"), run, schema)
+
+
+def _buckets(rows: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
+    """``node, cid, n, root, m`` of the buckets that hold sets of different groups, written."""
+    if roots is not None:
+        rows = rows.join(roots, "cid", "left")
+    rows = rows.select("node", "cid", "n", (F.coalesce("root", "cid") if roots is not None else F.col("cid")).alias("root"))
+    stats = rows.groupBy("node").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
+    return written(rows.join(stats.select("node", "m"), "node"), name)
+
+
+def _pivot_pairs(large: DataFrame) -> DataFrame:
+    """Each set of a large bucket with the bucket's pivot."""
+    shared = large.groupBy("cid").agg((F.sum("m") + F.pmod(F.xxhash64("cid"), F.lit(1024)) / 2048).alias("shared"))
+    pivots = large.join(shared, "cid").groupBy("node").agg(F.max_by("cid", "shared").alias("pivot"))
+    return large.join(pivots, "node").filter("cid != pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
+
+
+def _by_size(rows: DataFrame, similarity: float) -> DataFrame:
+    """Each bucket cut into bands of set size, so wide that similar sets are at most one apart; a set goes to its own band and the next."""
+    band = F.floor(F.log("n") / math.log(1.01 / similarity))
+    cut = lambda b: rows.select(F.xxhash64("node", b).alias("node"), "cid", "n")
+    return cut(band).union(cut(band + 1))
+
+
+def _block_pairs(rows: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """``node, a, bs``: all plausible pairs of different groups in large buckets, block by block (``node`` is a pair of blocks)."""
+    nb = F.ceil(F.col("m") / BLOCK).cast("int")
+    rows = rows.join(_with_nodes(rows, classes).select("cid", "nodes", "sketch"), "cid").withColumn("nb", nb)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    # inside a block every row is a side of its own
+    side = F.when(F.col("own") == F.col("other"), F.col("cid")).otherwise((F.col("own") == i).cast("long"))
+    return _compare(rows.select(F.xxhash64("node", i, j).alias("node"), "cid", "root", "n", F.col("node").alias("home"), side.alias("side"), "sketch", "nodes"), similarity)
+
+
+def verified_boxes(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a < b`` that connect, within each box, all sets that its verified pairs connect.
+
+    A set is sent once to each box, not once to each pair, and a pair that links found before in the box already connect is left out."""
+    members = (pairs.select("node", F.col("a").alias("cid")).union(pairs.select("node", F.explode("bs"))).distinct().join(sets, "cid")
+               .select(F.col("node").alias("box"), "cid", "toks"))
+
+    def run(p: pa.Table, m: pa.Table) -> pa.Table:
+        held = {c: np.frombuffer(x.as_buffer(), np.uint64) for c, x in zip(m.column("cid").to_pylist(), m.column("toks"))}
+        group, links = {c: c for c in held}, []
+
+        def root(c):
+            while group[c] != c:
+                group[c] = c = group[group[c]]
+            return c
+
+        for a, bs in zip(p.column("a").to_pylist(), p.column("bs").to_pylist()):
+            for b in bs:
+                x, y = root(a), root(b)
+                if x != y and _similar(held[a], held[b], similarity):
+                    group[x] = y
+                    links.append((min(a, b), max(a, b)))
+        return pa.table([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return pairs.groupBy("node").cogroup(members.groupBy("box")).applyInArrow(run, PAIR)
+
+
+def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links ``a < b`` between classes (``cid, doc, th, n, nodes, sketch``), and ``cid, root`` of the linked ones."""
+    def sets_of(members: DataFrame, name: str) -> DataFrame:
+        need = written(members.distinct().join(classes, "cid").select("cid", "doc", "th"), f"needed-{name}")
+        return written(build_sets(docs, doc_id, text, need), f"sets-{name}")
+
+    def check(pairs: DataFrame, name: str, boxed: DataFrame | None = None) -> DataFrame:
+        pairs = written(pairs.distinct(), f"pairs-{name}")
+        members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
+        if boxed is not None:
+            boxed = written(boxed, f"boxed-{name}")
+            members = members.union(boxed.select("a")).union(boxed.select(F.explode("bs")))
+        sets = sets_of(members, name)
+        with arrow_rows(docs.sparkSession, SETS):
+            good = verified(pairs, sets, similarity)
+            return written(good if boxed is None else good.union(verified_boxes(boxed, sets, similarity)), f"verified-{name}")
+
+    is_small, n_classes = F.col("m") <= SMALL, classes.count()
+
+    def few_left(rows: DataFrame) -> bool:
+        return (rows.filter(~is_small).agg(F.sum((F.col("m") - 1) / 2)).first()[0] or 0) <= WORK * n_classes
+
+    rows = _buckets(classes.select(F.explode("nodes").alias("node"), "cid", "n"), None, "buckets")
+    large = rows.filter(~is_small)
+    links = check(single(box_pairs(rows.filter(is_small), classes, similarity)).union(plausible(_pivot_pairs(large), classes, similarity)), "0")
+    roots = components(links)
     for level in range(LEVELS + 1):
         if large.isEmpty():
             break
-        # every set of a large bucket against the pivot
-        asked = large.filter("cid != pivot").select(*_ordered(F.col("cid"), F.col("pivot"))).distinct()
-        hit = written(verified(plausible(asked, classes, similarity), sets, similarity), f"pivots-{level}")
-        links.append(hit)
-        both = hit.select(F.col("a").alias("cid"), F.col("b").alias("pivot")).union(hit.select("b", "a")).withColumn("hit", F.lit(True))
-        tag = F.coalesce("tag", F.when(F.col("hit") | (F.col("cid") == F.col("pivot")), F.col("pivot")))
-        tagged = large.join(both, ["cid", "pivot"], "left").select("node", "cid", tag.alias("tag"))
-        if level == LEVELS:
-            # what is left of large buckets, exactly
-            left = tagged.join(_bucket_stats(tagged).select("node"), "node", "left_semi")
-            x, y = (left.select("node", F.col("cid").alias(f"c{i}"), F.col("tag").alias(f"t{i}")) for i in "xy")
-            rest = x.join(y, "node").filter("cx < cy").filter(_different(F.col("tx"), F.col("ty"))).select(F.col("cx").alias("a"), F.col("cy").alias("b"))
-            links.append(verified(plausible(rest.distinct(), classes, similarity), sets, similarity))
+        rows = _buckets(large.select("node", "cid", "n"), roots, "open")
+        if not few_left(rows):
+            rows = _buckets(_by_size(rows, similarity), roots, "bands")
+        large = rows.filter(~is_small)
+        last = few_left(rows) or level == LEVELS
+        boxed = box_pairs(rows.filter(is_small), classes, similarity)
+        if last:
+            new = check(links.limit(0), str(level + 1), boxed.union(_block_pairs(large, classes, similarity)))
+        else:
+            new = check(plausible(_pivot_pairs(large), classes, similarity), str(level + 1), boxed)
+        links = written(links.union(new).distinct(), f"links-{level + 1}")
+        roots = components(links)
+        if last:
             break
-        tagged = written(tagged, f"tagged-{level}")
-        # paths whose sets all carry one tag end here
-        open_ = tagged.groupBy("node").agg(F.count("*").alias("m"), F.count("tag").alias("k"), F.min("tag").alias("lo"), F.max("tag").alias("hi")).filter(
-            "k < m OR lo != hi").select("node")
-        rows = written(_children(tagged.join(open_, "node", "left_semi"), sets), f"level-{level + 1}")
-        rows = written(rows.join(_bucket_stats(rows), "node"), f"level-rows-{level + 1}")
-        pairs = _small_pairs(rows.filter(F.col("m") <= SMALL)).distinct()
-        links.append(verified(plausible(pairs, classes, similarity), sets, similarity))
-        large = rows.filter(F.col("m") > SMALL)
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return written(out.distinct(), "links")
+        open_ = _buckets(large.select("node", "cid", "n"), roots, "open")
+        sets = sets_of(open_.select("cid"), f"large-{level}")
+        with arrow_rows(docs.sparkSession, SETS):
+            children = written(_children(open_, sets), "children")
+        large = _buckets(children, roots, "child-buckets")
+        # buckets that have become small are compared in the next round, by size
+    return links, roots
 
 
 def components(links: DataFrame) -> DataFrame:
     """``cid, root`` of every class with a link: the smallest class it is connected with."""
-    both = written(links.select("a", "b").union(links.select("b", "a")), "edges")
+    both = links.select("a", "b").union(links.select("b", "a"))
     roots = written(both.groupBy(F.col("a").alias("cid")).agg(F.min(F.least("a", "b")).alias("root")), "roots")
     while True:
         near = both.join(roots.select(F.col("cid").alias("b"), F.col("root").alias("r")), "b").groupBy(F.col("a").alias("cid")).agg(F.min("r").alias("r"))
         step = roots.join(near, "cid").select("cid", F.least("root", "r").alias("new"), F.col("root").alias("old"))
-        jump = step.select(F.col("cid").alias("new"), F.col("new").alias("further"))
-        new = written(step.join(jump, "new").select("cid", F.least("new", "further").alias("root"), "old"), "roots")
-        if new.filter("root != old").isEmpty():
-            return new.select("cid", "root")
-        roots = new.select("cid", "root")
+        jump = roots.select(F.col("cid").alias("new"), F.col("root").alias("further"))
+        moved = Observation()
+        new = step.join(jump, "new").select("cid", F.least("new", "further").alias("root"), "old").observe(
+            moved, F.count(F.when(F.col("root") != F.col("old"), 1)).alias("n"))
+        roots = written(new.select("cid", "root", "old"), "roots").select("cid", "root")
+        if not moved.get["n"]:
+            return roots
 
 
 def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
@@ -365,8 +508,7 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = rows.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min(order).alias("least"), F.count("*").alias("copies"), F.any_value("nodes").alias("nodes"),
                                                                 F.any_value("sketch").alias("sketch"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n", "least", "least.doc", "least.th", "copies", "nodes", "sketch"), "classes")
-    links = find_links(docs, classes, doc_id, text, similarity)
-    root = components(links)
+    links, root = find_links(docs, classes, doc_id, text, similarity)
     both = links.select(F.col("a").alias("cid"), F.col("b").alias("o")).union(links.select("b", "a"))
     n_links = both.join(classes.select(F.col("cid").alias("o"), F.col("copies").alias("c")), "o").groupBy("cid").agg(F.sum("c").alias("linked"))
     grouped = classes.join(root, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

@@ -81,6 +81,8 @@ def test_tables(spark, sf_dir):
 def test_dense_groups_stay_whole(spark, monkeypatch):
     """Many more near copies than a bucket holds, and as many texts around one passage: groups as by hand, no other links."""
     monkeypatch.setattr(J, "SMALL", 24)
+    monkeypatch.setattr(J, "WORK", 5)
+    monkeypatch.setattr(J, "BLOCK", 12)
     rng = random.Random(9)
     base, passage = prose(rng, 150), prose(rng, 40)
     near = [" ".join(copy(rng, base, rng.randrange(1, 3))) for _ in range(150)]
@@ -95,6 +97,7 @@ def test_dense_groups_stay_whole(spark, monkeypatch):
 def test_remainder_is_exact(spark, monkeypatch):
     """With no level to split on, what is left of large buckets is still compared."""
     monkeypatch.setattr(J, "LEVELS", 0)
+    monkeypatch.setattr(J, "BLOCK", 2)
     monkeypatch.setattr(J, "SMALL", 2)
     rng = random.Random(2)
     docs = spark.createDataFrame([(i, " ".join(copy(rng, b, 1))) for i, b in enumerate([prose(rng, 90)] * 1 + [prose(rng, 80)] * 9 + [prose(rng, 70)] * 7)], "doc_id long, text string")
@@ -125,6 +128,21 @@ def test_sets_of_long_and_odd_texts(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, J.shingle_sets(texts)))
 
 
+def test_sketches_let_similar_sets_pass():
+    """Pairs at the threshold pass, pairs well below it mostly don't, at any size."""
+    rng = np.random.default_rng(2)
+    for n in (4, 20, 100, 600, 3000):
+        passed = {}
+        for similarity in (0.8, 0.6):
+            own = round(n * (1 - similarity) / 2)
+            pairs = [(np.concatenate([c, rng.integers(0, 1 << 63, own).astype(np.uint64)]), np.concatenate([c, rng.integers(0, 1 << 63, own).astype(np.uint64)]))
+                     for c in (rng.integers(0, 1 << 63, n - 2 * own).astype(np.uint64) for _ in range(300))]
+            sa, sb = (np.frombuffer(b"".join(J._sketch(p[i]) for p in pairs), np.uint64).reshape(300, -1) for i in (0, 1))
+            size = np.array([len(a) for a, _ in pairs])
+            passed[similarity] = J._alike(sa, sb, size, size, 0.8).mean()
+        assert passed[0.8] == 1 and (n < 100 or passed[0.6] < 0.05)
+
+
 def test_runs_meet_recall():
     """Share of pairs at the threshold that meet in a first-level bucket, and the bound on runs."""
     runs = J.runs_for(J.RECALL, J.SIMILARITY)
