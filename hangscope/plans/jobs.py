@@ -133,6 +133,7 @@ def etl_hang_profile(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: HangCon
     i = inputs_for(raw_pings, symbol_lines, cfg)
     path = _out_path(out_root, cfg)
     _write_tables(PL.profile_tables(i, cfg, cumulative=True), usage_hours_by_date(i.pings), cfg, path)
+    i.rejects.write.mode("overwrite").json(f"{path}/rejects")
     return path
 
 
@@ -169,6 +170,7 @@ def etl_incremental_write(raw_pings: DataFrame, symbol_lines: DataFrame, cfg: Ha
     i = inputs_for(raw_pings, symbol_lines, cfg)
     write_daily(PL.samples(i, cfg, cumulative=False), f"{path}/samples", cfg.start_date, cfg.end_date)
     write_daily(usage_hours_by_date(i.pings), f"{path}/usage", cfg.start_date, cfg.end_date)
+    i.rejects.write.mode("overwrite").json(f"{path}/rejects")
 
 
 def etl_incremental_finalize(spark: SparkSession, cfg: HangConfig, in_path: str, out_root: str) -> str:
