@@ -310,6 +310,9 @@ def _compare(src: DataFrame, similarity: float) -> DataFrame:
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(i)) + 1])
                 out.append([pa.array(node[i[cuts]]), pa.array(cid[i[cuts]]),
                             pa.ListArray.from_arrays(pa.array(np.append(cuts, len(i)).astype(np.int32)), pa.array(cid[j]))])
+                # partners get rows too, with no partners of their own, so that "a" names every set of a box
+                others = np.unique(np.stack([node[j], cid[j]], 1), axis=0)
+                out.append([pa.array(others[:, 0]), pa.array(others[:, 1]), pa.array([[]] * len(others), pa.list_(pa.int64()))])
             at = to
         return out, done
 
@@ -410,7 +413,7 @@ def verified_boxes(pairs: DataFrame, sets: DataFrame, similarity: float) -> Data
     """Links ``a < b`` that connect, within each box, all sets that its verified pairs connect.
 
     A set is sent once to each box, not once to each pair, and a pair that links found before in the box already connect is left out."""
-    members = (pairs.select("node", F.col("a").alias("cid")).union(pairs.select("node", F.explode("bs"))).distinct().join(sets, "cid")
+    members = (pairs.select("node", F.col("a").alias("cid")).distinct().join(sets, "cid")
                .select(F.col("node").alias("box"), "cid", "toks"))
 
     def run(p: pa.Table, m: pa.Table) -> pa.Table:
@@ -444,7 +447,7 @@ def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, simi
         members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
         if boxed is not None:
             boxed = written(boxed, f"boxed-{name}")
-            members = members.union(boxed.select("a")).union(boxed.select(F.explode("bs")))
+            members = members.union(boxed.select("a"))
         sets = sets_of(members, name)
         with arrow_rows(docs.sparkSession, SETS):
             good = verified(pairs, sets, similarity)
