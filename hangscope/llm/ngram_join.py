@@ -34,8 +34,11 @@ never meet.
 Result: a row per document with the id of its group (connected documents, the
 smallest id) and its number of links: documents with an equal set plus those
 of the sets it is linked with.  In buckets of more than ``SMALL`` sets only links that
-connect sets not yet known to be of one group are looked for; the others are
-contained in the group and not counted one by one.
+connect sets not yet known to be of one group are looked for; so the groups that
+such buckets touch, unless all their pairs are links already, are counted again
+at the end: all pairs of a group on their sets, block by block, and only a sum
+per set leaves a task.  That costs a group's pairs in comparisons and its size
+over ``COUNTED`` in sendings of each set.
 
 Edge cases: a text of fewer words than a shingle is one shingle of all its
 words; null, empty and wordless texts have no set, no links and are groups of
@@ -63,6 +66,8 @@ RECALL = 0.99
 FIRST, NEXT = 3.0, 1.25
 SMALL, LEVELS = 256, 3
 BLOCK = 2048           # sets of a large bucket compared at a time with as many others
+COUNTED = 512          # sets of a group whose partners are counted at a time with as many others
+SHINGLES = 1 << 20     # that such sets hold, about
 BITS = 1024            # of a sketch
 WORK = 3000            # pairs per set that may be left to the blocks
 PAIRS = 1 << 17        # sketch pairs compared at a time
@@ -436,19 +441,101 @@ def verified_boxes(pairs: DataFrame, sets: DataFrame, similarity: float) -> Data
     return pairs.groupBy("node").cogroup(members.groupBy("box")).applyInArrow(run, PAIR)
 
 
-def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Verified links ``a < b`` between classes (``cid, doc, th, n, nodes, sketch``), and ``cid, root`` of the linked ones."""
-    def sets_of(members: DataFrame, name: str) -> DataFrame:
-        need = written(members.distinct().join(classes, "cid").select("cid", "doc", "th"), f"needed-{name}")
-        return written(build_sets(docs, doc_id, text, need), f"sets-{name}")
+def _common(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """The number of shingles that each of ``xs`` has in common with each of ``ys``: products of 0/1 columns for frequent shingles, pairs for the others."""
+    kinds, at = np.unique(np.concatenate([*xs, *ys]), return_inverse=True)
+    cut = sum(map(len, xs))
+    cols = at[:cut], at[cut:]
+    rows = [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (xs, ys)]
+    held = [np.bincount(c, minlength=len(kinds)) for c in cols]
+    pairs = held[0] * held[1]
+    frequent = pairs * 64 >= len(xs) * len(ys)
+    out = np.zeros((len(xs), len(ys)), np.int64)
+    place = np.cumsum(frequent) - 1
+    some = [(r[frequent[c]], place[c[frequent[c]]]) for r, c in zip(rows, cols)]
+    for k in range(0, int(frequent.sum()), 4096):
+        one, two = (np.zeros((len(z), 4096), np.float32) for z in (xs, ys))
+        for m, (r, c) in zip((one, two), some):
+            now = (c >= k) & (c < k + 4096)
+            m[r[now], c[now] - k] = 1
+        out += (one @ two.T).astype(np.int64)
+    rare = ~frequent & (pairs > 0)
+    (rx, cx), (ry, cy) = ((r[rare[c]], c[rare[c]]) for r, c in zip(rows, cols))
+    ry = ry[np.argsort(cy, kind="stable")]
+    starts = np.cumsum(np.where(rare, held[1], 0)) - held[1]
+    n = held[1][cx]
+    ends = np.cumsum(n)
+    k = 0
+    while k < len(cx):
+        to = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + 8 * PAIRS, side="right")))
+        c = n[k:to]
+        j = np.repeat(starts[cx[k:to]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+        out += np.bincount(np.repeat(rx[k:to], c) * len(ys) + ry[j], minlength=out.size).reshape(out.shape)
+        k = to
+    return out
+
 
+def partner_counts(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``cid, linked``: how many documents the sets of its group that are similar to a set stand for (``cid, root, n, copies``).
+
+    Each pair of blocks of a group is a task's; pairs never leave it."""
+    stats = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / COUNTED), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("nb"))
+    own = F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int")
+    rows = members.join(stats, "root").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    rows = rows.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cid", "copies").join(sets, "cid")
+
+    def run(t: pa.Table) -> pa.Table:
+        toks = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("toks")]
+        own, cid, copies = (t.column(c).to_numpy() for c in ("own", "cid", "copies"))
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        x, y = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        linked = np.zeros(len(cid), np.int64)
+        if len(x) and len(y):
+            n = np.array([len(s) for s in toks])
+            common = _common([toks[k] for k in x], [toks[k] for k in y])
+            near = common >= similarity * (n[x][:, None] + n[y][None, :] - common) - 1e-9
+            if i == j:
+                np.fill_diagonal(near, False)
+            linked[x] = near @ copies[y]
+            if i != j:
+                linked[y] = copies[x] @ near
+        return pa.table([pa.array(cid), pa.array(linked)], names=["cid", "linked"])
+
+    schema = T.StructType([T.StructField("cid", T.LongType()), T.StructField("linked", T.LongType())])
+    return rows.groupBy("root", "i", "j").applyInArrow(run, schema).groupBy("cid").agg(F.sum("linked").alias("linked"))
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, members: DataFrame, name: str) -> DataFrame:
+    """``cid, toks`` of the ``members`` (``cid``), written."""
+    need = written(members.distinct().join(classes, "cid").select("cid", "doc", "th"), f"needed-{name}")
+    return written(build_sets(docs, doc_id, text, need), f"sets-{name}")
+
+
+def count_links(docs: DataFrame, classes: DataFrame, links: DataFrame, roots: DataFrame, dense: DataFrame, doc_id: str, text: str, similarity: float) -> DataFrame:
+    """``cid, linked`` of the linked classes: from ``links``, and over all pairs of the groups that hold one of ``dense`` (``cid``) and pairs without a link."""
+    touched = roots.join(dense, "cid", "left_semi").select("root").distinct()
+    had = links.join(roots, links["a"] == roots["cid"]).groupBy("root").agg(F.count("*").alias("had"))
+    whole = roots.groupBy("root").agg(F.count("*").alias("m")).join(had, "root").filter(F.col("had") * 2 == F.col("m") * (F.col("m") - 1))
+    again = roots.join(touched, "root", "left_semi").join(whole, "root", "left_anti")
+    again = written(again.join(classes.select("cid", "n", "copies"), "cid").select("cid", "root", "n", "copies"), "counted")
+    both = links.select(F.col("a").alias("cid"), F.col("b").alias("o")).union(links.select("b", "a")).join(again, "cid", "left_anti")
+    told = both.join(classes.select(F.col("cid").alias("o"), F.col("copies").alias("c")), "o").groupBy("cid").agg(F.sum("c").alias("linked"))
+    if again.isEmpty():
+        return told
+    sets = sets_of(docs, classes, doc_id, text, again.select("cid"), "counted")
+    return told.union(written(partner_counts(again, sets, similarity), "partner-counts"))
+
+
+def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified links ``a < b`` between classes (``cid, doc, th, n, nodes, sketch``) that connect all groups, ``cid, root`` of the linked ones,
+    and the ``cid`` of those in large buckets, where links within a group may lack."""
     def check(pairs: DataFrame, name: str, boxed: DataFrame | None = None) -> DataFrame:
         pairs = written(pairs.distinct(), f"pairs-{name}")
         members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
         if boxed is not None:
             boxed = written(boxed, f"boxed-{name}")
             members = members.union(boxed.select("a"))
-        sets = sets_of(members, name)
+        sets = sets_of(docs, classes, doc_id, text, members, name)
         with arrow_rows(docs.sparkSession, SETS):
             good = verified(pairs, sets, similarity)
             return written(good if boxed is None else good.union(verified_boxes(boxed, sets, similarity)), f"verified-{name}")
@@ -460,6 +547,7 @@ def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, simi
 
     rows = _buckets(classes.select(F.explode("nodes").alias("node"), "cid", "n"), None, "buckets")
     large = rows.filter(~is_small)
+    dense = large.select("cid").distinct()
     links = check(single(box_pairs(rows.filter(is_small), classes, similarity)).union(plausible(_pivot_pairs(large), classes, similarity)), "0")
     roots = components(links)
     for level in range(LEVELS + 1):
@@ -480,12 +568,12 @@ def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, simi
         if last:
             break
         open_ = _buckets(large.select("node", "cid", "n"), roots, "open")
-        sets = sets_of(open_.select("cid"), f"large-{level}")
+        sets = sets_of(docs, classes, doc_id, text, open_.select("cid"), f"large-{level}")
         with arrow_rows(docs.sparkSession, SETS):
             children = written(_children(open_, sets), "children")
         large = _buckets(children, roots, "child-buckets")
         # buckets that have become small are compared in the next round, by size
-    return links, roots
+    return links, roots, dense
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -504,30 +592,34 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """``doc, th, class_id, n_links, keep`` of each row; ``keep`` marks the rows of one (doc, th) per group."""
+def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL,
+                   counted: bool = True) -> DataFrame:
+    """``doc, th, class_id, n_links, keep`` of each row; ``keep`` marks the rows of one (doc, th) per group.  ``n_links`` is null unless ``counted``."""
     rows = written(read_sets(docs, doc_id, text, runs_for(recall, similarity)), "set-rows")
     order = F.struct(F.col("doc").isNull().alias("z"), "doc", "th")
     classes = rows.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min(order).alias("least"), F.count("*").alias("copies"), F.any_value("nodes").alias("nodes"),
                                                                 F.any_value("sketch").alias("sketch"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), "k1", "k2", "n", "least", "least.doc", "least.th", "copies", "nodes", "sketch"), "classes")
-    links, root = find_links(docs, classes, doc_id, text, similarity)
-    both = links.select(F.col("a").alias("cid"), F.col("b").alias("o")).union(links.select("b", "a"))
-    n_links = both.join(classes.select(F.col("cid").alias("o"), F.col("copies").alias("c")), "o").groupBy("cid").agg(F.sum("c").alias("linked"))
+    links, root, dense = find_links(docs, classes, doc_id, text, similarity)
     grouped = classes.join(root, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     named = grouped.groupBy("root").agg(F.min("least").alias("first"))
-    info = (grouped.join(named, "root").join(n_links, "cid", "left")
-            .select("k1", "k2", "n", F.col("first"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    info = grouped.join(named, "root")
+    if counted:
+        info = info.join(count_links(docs, classes, links, root, dense, doc_id, text, similarity), "cid", "left").withColumn(
+            "n_links", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1)
+    else:
+        info = info.withColumn("n_links", F.lit(None).cast("long"))
+    info = info.select("k1", "k2", "n", "first", "n_links")
     alone = F.struct(F.col("doc").isNull().alias("z"), "doc", "th")
     out = rows.select("doc", "th", "k1", "k2", "n").join(info, ["k1", "k2", "n"], "left")
     first = F.coalesce("first", alone)
-    return out.select("doc", "th", first["doc"].alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    return out.select("doc", "th", first["doc"].alias("class_id"), (F.coalesce("n_links", F.lit(0)) if counted else F.col("n_links")).cast("long").alias("n_links"),
                       (F.col("doc").eqNullSafe(first["doc"]) & F.col("th").eqNullSafe(first["th"])).alias("keep"))
 
 
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group."""
-    kept = jaccard_groups(docs, doc_id, text).filter("keep").select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct()
+    kept = jaccard_groups(docs, doc_id, text, counted=False).filter("keep").select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct()
     src = docs.withColumn("_t", F.xxhash64(F.col(f"`{text}`")))
     held = src.join(kept, src[f"`{doc_id}`"].eqNullSafe(kept["_doc"]) & (src["_t"] == kept["_th"]), "left_semi")
     return held.dropDuplicates([doc_id, "_t"]).drop("_t")

@@ -94,6 +94,26 @@ def test_dense_groups_stay_whole(spark, monkeypatch):
     assert all(f[2] <= h[2] and (f[2] > 0) == (h[2] > 0) for f, h in zip(found, hand))
 
 
+def test_dense_groups_count_every_link(spark, monkeypatch):
+    """As above, with copies of some: the links within a group that no bucket compares are counted too."""
+    monkeypatch.setattr(J, "SMALL", 24)
+    monkeypatch.setattr(J, "COUNTED", 40)
+    rng = random.Random(11)
+    base, passage = prose(rng, 150), prose(rng, 40)
+    near = [" ".join(copy(rng, base, rng.randrange(1, 5))) for _ in range(150)]
+    chain = [base[k:] + [f"c{k}x{i}" for i in range(k)] for k in range(0, 40, 2)]
+    shared = [" ".join(prose(rng, 40) + passage) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(near + near[:10] + [" ".join(c) for c in chain] + shared)), "doc_id long, text string")
+    assert got(docs) == by_hand(docs.collect())
+
+
+def test_common_counts_equal_brute_force():
+    rng = np.random.default_rng(5)
+    always, sometimes = rng.integers(0, 1 << 63, 30).astype(np.uint64), rng.integers(0, 1 << 63, 9000).astype(np.uint64)
+    xs, ys = ([np.unique(np.concatenate([always, rng.choice(sometimes, int(k))])) for k in rng.integers(0, 400, n)] for n in (90, 70))
+    assert (J._common(xs, ys) == [[len(np.intersect1d(x, y)) for y in ys] for x in xs]).all()
+
+
 def test_remainder_is_exact(spark, monkeypatch):
     """With no level to split on, what is left of large buckets is still compared."""
     monkeypatch.setattr(J, "LEVELS", 0)
