@@ -6,9 +6,15 @@ the others form that domain's lexicon, and a linear discriminant over lexicon
 scores and shape (length, repetition, characters per word) turns them into posteriors.  Rates r >= 0, one per
 document, are then fitted so that the expected tokens of each domain,
 sum of r_i * n_i * p_i, meet the targets in least squares (weighted by the
-inverse of the domains' Gram matrix); no rate exceeds ``MAX_RATE``.  The fit is projected gradient from
+inverse of the domains' Gram matrix); rates have no upper bound unless one is
+given.  The fit is projected gradient from
 r = 1 with step 1, its Lipschitz bound in the metric of the document lengths,
-so an attainable target is met with the least change of rates.
+so an attainable target is met with the least change of rates.  It goes on
+until the targets are met to ``CLOSE`` or a step moves the rates by at most
+``STILL`` (root mean square, bounded by the fall of the objective) and the moves
+no longer shrink by a share from step to step, as on the way to targets that
+can't be met; what is
+left to each target is a column of the result and, beyond ``CLOSE``, a warning.
 
 DataFrame functions only.  The texts are read twice: once for the labelled
 sample (at most ``SAMPLE`` rows, by hash), once for all features, which are
@@ -20,12 +26,13 @@ Edge cases: null, empty and wordless texts have no tokens and the rate 1; a
 label row without document, with a null flag or id is not learned from; a
 domain without labelled documents has posterior 0; with no labels at all,
 posteriors are equal; target weights need not add up to 1; targets
-at or beyond what posteriors allow are approached in least squares for at most ``STEPS`` steps; repeated rows have equal rates; other columns are ignored.
+at or beyond what posteriors allow are approached in least squares, by hundreds of steps and more; repeated rows have equal rates; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -40,9 +47,9 @@ SAMPLE = 20_000
 MIN_DOCS = 5           # labelled documents that must hold a lexicon word
 MIN_LOG_RATIO = 2.0
 FOLD = 20
-STEPS = 200
-MAX_RATE = 4.0         # most copies of a document
+MAX_RATE = math.inf    # most copies of a document
 CLOSE = 1e-6           # of the total: largest miss of a target that ends the fit
+STILL = 1e-3           # copies: root mean square move of the rates that ends it
 FEATURES = ["f_low", "f_toxic", "f_distinct", "f_chars", "f_words"]
 
 
@@ -139,14 +146,16 @@ def _dot(p: Column, v) -> Column:
     return sum(p[i] * F.lit(float(x)) for i, x in enumerate(v))
 
 
-def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int = STEPS, close: float = CLOSE,
+def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int | None = None, close: float = CLOSE,
               max_rate: float = MAX_RATE) -> DataFrame:
-    """``rate`` for each row of ``docs`` (``n_tokens, times, p``): nonnegative, and the domains' expected tokens in proportion ``targets``."""
+    """``rate`` for each row of ``docs`` (``n_tokens, times, p``): nonnegative, and the domains' expected tokens in proportion ``targets``.
+
+    ``miss``, the same in all rows, has the share of the total by which each of DOMAINS is off its target.  ``steps`` limits the fit."""
     k = len(DOMAINS)
     n, p = (F.col("n_tokens") * F.col("times")).cast("double"), F.col("p")
     sums = docs.agg(F.sum(n).alias("n"), *[F.sum(n * p[a] * p[b]).alias(f"{a}_{b}") for a in range(k) for b in range(k)]).first()
     if not sums["n"]:
-        return docs.withColumn("rate", F.lit(1.0))
+        return docs.withColumn("rate", F.lit(1.0)).withColumn("miss", F.array(*[F.lit(0.0)] * k))
     gram = np.array([[sums[f"{a}_{b}"] for b in range(k)] for a in range(k)]) / sums["n"]
     weight = np.linalg.pinv(gram, rcond=1e-9)
     aim = np.array([targets.get(d, 0.0) for d in DOMAINS])
@@ -160,21 +169,27 @@ def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int =
         steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
         return F.aggregate(steps, F.col("rate"), lambda r, g: F.least(F.lit(float(max_rate)), F.greatest(F.lit(0.0), r - sum(p[i] * g[i] for i in range(k)))))
 
-    last = None
-    for _ in range(steps):
+    last, falls, done = None, [], 0
+    while True:
         moved = rows.select(n.alias("n"), now().alias("r"), "p").agg(*[F.sum(F.col("n") * F.col("r") * F.col("p")[i]).alias(str(i)) for i in range(k)]).first()
         miss = np.array([moved[str(i)] for i in range(k)]) / sums["n"] - aim
-        if np.abs(miss).max() <= close or (last is not None and np.abs(miss - last).max() <= close * 1e-3):
+        left = miss @ weight @ miss    # a step of the length 1 lowers it by the squared move at least
+        falls = falls[-1:] + ([] if last is None else [last - left])
+        still = len(falls) == 2 and falls[1] <= STILL ** 2 and falls[1] > 0.98 * falls[0]
+        if np.abs(miss).max() <= close or done == steps or still or (falls and falls[-1] <= (close / 10) ** 2):
             break
-        last = miss
+        last, done = left, done + 1
         history.append(weight @ miss)
         if len(history) == FOLD:
             rows, history = written(rows.withColumn("rate", now()), "rates"), []
-    return written(rows.withColumn("rate", F.when(F.col("n_tokens") > 0, now()).otherwise(1.0)), "rates")
+    if np.abs(miss).max() > close:
+        warnings.warn(f"targets missed after {done} steps, by domain: {dict(zip(DOMAINS, miss.round(6).tolist()))}", stacklevel=2)
+    off = F.array(*[F.lit(float(x)) for x in miss])
+    return written(rows.withColumn("rate", F.when(F.col("n_tokens") > 0, now()).otherwise(1.0)).withColumn("miss", off), "rates")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
-    """``doc, th, n_tokens, times, p, rate`` of each distinct (id, text) of ``docs``; ``times`` is its number of rows."""
+    """``doc, th, n_tokens, times, p, rate, miss`` of each distinct (id, text) of ``docs``; ``times`` is its number of rows, ``miss`` what is left to the targets."""
     sample = labelled_sample(labels)
     feats = features(docs, learn_lexicon(docs, sample))
     known = written(posteriors(feats, fit_discriminant(feats, sample)).select("doc", "th", "n_tokens", "times", "p"), "posteriors")

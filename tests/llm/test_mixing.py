@@ -34,6 +34,26 @@ def test_rates_equal_brute_force(spark, targets):
         assert np.allclose(totals(r), aim, atol=1e-5)
 
 
+def test_targets_beyond_four_copies_are_met(spark):
+    rng = np.random.default_rng(2)
+    n, p = rng.integers(1, 500, 300).astype(float), rng.dirichlet([0.6, 0.3, 0.2], 300)
+    aim = [0.2, 0.2, 0.6]
+    r = fitted(spark, n, p, dict(zip(M.DOMAINS, aim)))
+    assert r.min() >= 0 and r.max() > 4 and np.allclose((n * r) @ p / n.sum(), aim, atol=1e-5)
+
+
+def test_miss_is_told(spark):
+    """No mix of two kinds of documents is all toxic; the least squares are reached and the rest of each target is returned."""
+    n, p = np.array([10.0, 30.0, 20.0]), np.array([[0.5, 0.3, 0.2], [0.2, 0.2, 0.6], [0.5, 0.3, 0.2]])
+    df = spark.createDataFrame([(i, i, int(a), 1, b.tolist()) for i, (a, b) in enumerate(zip(n, p))], "doc long, th long, n_tokens long, times int, p array<double>")
+    with pytest.warns(UserWarning, match="targets missed"):
+        rows = sorted(M.fit_rates(df, {"toxic": 1.0}).collect(), key=lambda r: r.doc)
+    r, miss = np.array([x.rate for x in rows]), np.array(rows[0].miss)
+    assert all(x.miss == rows[0].miss for x in rows) and np.allclose((n * r) @ p / n.sum() - [0, 0, 1], miss, atol=1e-9) and abs(miss).max() > 0.01
+    slope = p @ np.linalg.pinv((p * n[:, None]).T @ p / n.sum(), rcond=1e-9) @ miss
+    assert np.abs(slope[r > 0]).max() < 1e-2 and slope[r == 0].min(initial=0) > -1e-2
+
+
 def test_tables_meet_targets_and_classify(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
