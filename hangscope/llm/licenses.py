@@ -46,7 +46,8 @@ class Rule:
 
 # label, keyword, pattern of the name in words
 NAMES = [
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e (?:version |v)?3(?: 0)?|agpl ?v?3(?: 0)?"),
+    ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e (?:version |v)?3(?: 0)?"),
+    ("agpl-3.0", "agpl", r"agpl ?v?3(?: 0)?"),
     ("agpl-1.0", "affero", r"affero general public licen[sc]e (?:version |v)?1(?: 0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e|affero gpl"),
     ("gpl-3.0", "general public", r"(?:gnu )?general public licen[sc]e(?: gpl)? (?:version |v)?3(?: 0)?"),

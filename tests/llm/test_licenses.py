@@ -73,3 +73,26 @@ def test_detections():
     assert kept("SPDX-License-Identifier: Apache-2.0") == {"apache-2.0"}
     assert kept("Permission is hereby granted, free of charge, to any person obtaining a copy") == {"mit"}
     assert kept("nothing to see") == set()
+
+
+def alternatives(pattern):
+    """The alternatives of a pattern outside of groups."""
+    out, depth = [""], 0
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def test_keywords_reach_every_alternative():
+    names = {r.name.removeprefix("name-"): r for r in L.RULES if r.name.startswith("name-")}
+    for r in L.RULES:
+        if r.name.startswith("notice-"):    # a name within a template
+            r = names[r.name.removeprefix("notice-")]
+        assert all(r.keyword in a for a in alternatives(r.pattern)), r
+    s = L.Scanner(L.RULES, L.BASE)
+    for text in ("AGPLv3", "licensed under AGPL-3.0", "released under the terms of the AGPL v3", "GNU Affero General Public License version 3"):
+        assert {d["label"] for d in s.scan(text)[1] if d["kept"]} == {"agpl-3.0"}
