@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, language_id, mixing, ngram_join, url_filter, warc
+from . import ann, byte_bpe, decontaminate, language_id, mixing, ngram_join, spelling, url_filter, vector_codes, warc
 from .common import table
 from .licenses import license_columns, scan_licenses
 from .token_counts import count_tokens
@@ -72,6 +72,20 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op2_license_scan": op2_license_scan,
@@ -83,5 +97,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_nearest": op10_nearest,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }
-ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op6_warc": warc.ORACLE, "op11_spelling_variants": spelling.ORACLE,
+                          "op13_vector_codes": vector_codes.ORACLE}
