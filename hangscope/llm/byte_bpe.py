@@ -13,8 +13,10 @@ that is gone, the left neighbour) and the path above each, and two links to
 live neighbours: O(n log n) for a piece of n bytes, so a run of a million
 letters is no special case.
 
-Whole texts: pieces are taken from the pattern in blocks, and the digests of
-ids and of decoded bytes are fed block by block, so what a task holds beside
+Whole texts: a long text is cut into pieces window by window.  What the pattern
+finds near a window's end may depend on what follows, so those pieces are left
+to the next window; a window that holds no other piece is doubled.  Digests of
+ids and of decoded bytes are fed window by window, so what a task holds beside
 the text does not grow with it.  Tokens of short pieces are kept per worker, up
 to ``CACHE_BYTES`` of them, then forgotten all at once.
 
@@ -28,7 +30,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,8 @@ from pyspark.sql import types as T
 
 from .common import map_arrow
 
-PIECES = 1 << 16            # of a text encoded at a time
+WINDOW = 1 << 13            # characters of a long text cut into pieces at a time
+AHEAD = 16                  # characters after a piece that the pattern may look at
 CACHE_BYTES = 1 << 26       # of pieces and their ids, per worker
 CACHED_PIECE = 64           # longest piece kept, in characters
 ENTRY_BYTES = 200           # of a kept piece beside its text and ids
@@ -124,10 +126,23 @@ class Codec(dict):
         return packed
 
     def blocks(self, text: str | None):
-        """The ids of a text, as bytes, in blocks of ``PIECES`` pieces."""
-        pieces = (m[0] for m in self.pattern.finditer(text)) if text and len(text) > PIECES else iter(self.pattern.findall(text or ""))
-        while some := list(islice(pieces, PIECES)):
-            yield b"".join(map(self.__getitem__, some))
+        """The ids of a text, as bytes, a window at a time."""
+        for pieces in self.cut(text or ""):
+            yield b"".join(map(self.__getitem__, pieces))
+
+    def cut(self, text: str):
+        """Lists of the pieces of a text.  Must not be a pattern that looks back."""
+        at, size = 0, WINDOW
+        while len(text) - at > size:
+            settled, end = [], 0
+            for m in self.pattern.finditer(text[at:at + size]):
+                if m.end() > size - AHEAD:
+                    break
+                settled.append(m[0])
+                end = m.end()
+            yield settled
+            at, size = (at + end, WINDOW) if settled else (at, 2 * size)
+        yield self.pattern.findall(text[at:] if at else text)
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(b"".join(self.blocks(text)), "<u4").tolist()
