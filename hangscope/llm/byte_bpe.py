@@ -17,12 +17,14 @@ Whole texts: a long text is cut into pieces window by window.  What the pattern
 finds near a window's end may depend on what follows, so those pieces are left
 to the next window; a window that holds no other piece is doubled.  Digests of
 ids and of decoded bytes are fed window by window, so what a task holds beside
-the text does not grow with it.  Tokens of short pieces are kept per worker, up
-to ``CACHE_BYTES`` of them, then forgotten all at once.
+the text does not grow with it.  Tokens of short pieces are kept per worker, in
+two rounds of ``CACHE_BYTES``: when a round is full the one before it is
+forgotten, but for the pieces that were met again.
 
 Edge cases: null text counts as empty (no tokens, digests of nothing);
-repeated rows stay repeated; other columns pass through untouched, whatever
-their names, if they are asked for; an empty table gives an empty result.  A
+repeated rows stay repeated; other columns pass through untouched if they are
+asked for (not those named like an added one); an empty table gives an empty
+result.  A
 rank file that lacks a single byte raises when a text needs that byte.
 """
 
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,7 @@ from .common import map_arrow
 
 WINDOW = 1 << 13            # characters of a long text cut into pieces at a time
 AHEAD = 16                  # characters after a piece that the pattern may look at
-CACHE_BYTES = 1 << 26       # of pieces and their ids, per worker
+CACHE_BYTES = 1 << 27       # of pieces and their ids, per worker, and as much again of older ones
 CACHED_PIECE = 64           # longest piece kept, in characters
 ENTRY_BYTES = 200           # of a kept piece beside its text and ids
 _NONE = 1 << 62
@@ -58,43 +61,49 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[bytes]:
     """The parts of ``piece`` after all merges."""
     n = len(piece)
-    width = 1 << max(n - 1, 0).bit_length()
+    if n < 2:
+        return [piece] if n else []
+    width = 1 << (n - 2).bit_length()  # the last position never has a right neighbour
     low = width.bit_length()
+    place, rank_of = (1 << low) - 1, ranks.get
     end = list(range(1, n + 1))        # of the part that starts at a position
     left = list(range(-1, n - 1))      # where the live part before it starts
-
-    def pair(i: int) -> int:
-        """Leaf of the part at ``i``: rank of it and its right neighbour, and the place."""
-        j = end[i]
-        if j == n or end[j] - i > longest:
-            return _NONE
-        rank = ranks.get(piece[i:end[j]])
-        return _NONE if rank is None else rank << low | i
-
-    tree = [_NONE] * width + [pair(i) for i in range(n)] + [_NONE] * (width - n)
+    tree = [_NONE] * (2 * width)       # leaf of a part: rank of it and its right neighbour, and the place
+    for i in range(n - 1):
+        rank = rank_of(piece[i:i + 2])
+        if rank is not None:
+            tree[width + i] = rank << low | i
     for k in range(width - 1, 0, -1):
-        tree[k] = min(tree[2 * k], tree[2 * k + 1])
-
-    def put(i: int, value: int) -> None:
-        k = i + width
-        tree[k] = value
-        while k > 1:
-            k >>= 1
-            least = min(tree[2 * k], tree[2 * k + 1])
-            if tree[k] == least:
-                break
-            tree[k] = least
-
-    while n and tree[1] != _NONE:
-        i = tree[1] & (1 << low) - 1
+        a, b = tree[2 * k], tree[2 * k + 1]
+        tree[k] = a if a < b else b
+    while tree[1] != _NONE:
+        i = tree[1] & place
         gone = end[i]
-        end[i] = end[gone]
-        if end[i] < n:
-            left[end[i]] = i
-        put(gone, _NONE)
-        put(i, pair(i))
-        if left[i] >= 0:
-            put(left[i], pair(left[i]))
+        stop = end[i] = end[gone]
+        tree[width + i] = _NONE
+        if stop < n:
+            tree[width + gone] = _NONE
+            left[stop] = i
+            if end[stop] - i <= longest and (rank := rank_of(piece[i:end[stop]])) is not None:
+                tree[width + i] = rank << low | i
+        before = left[i]
+        if before < 0:
+            before = i
+        else:
+            known = rank_of(piece[before:stop]) if stop - before <= longest else None
+            tree[width + before] = _NONE if known is None else known << low | before
+        # the paths above the three leaves, each common node once
+        x, y, z = width + before, width + i, width + (gone if stop < n else i)
+        while x > 1:
+            x, y, z = x >> 1, y >> 1, z >> 1
+            a, b = tree[2 * x], tree[2 * x + 1]
+            tree[x] = a if a < b else b
+            if y != x:
+                a, b = tree[2 * y], tree[2 * y + 1]
+                tree[y] = a if a < b else b
+            if z != y:
+                a, b = tree[2 * z], tree[2 * z + 1]
+                tree[z] = a if a < b else b
     out, i = [], 0
     while i < n:
         out.append(piece[i:end[i]])
@@ -110,21 +119,25 @@ class Codec(dict):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {i: t for t, i in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        self.held = 0
+        self.held, self.older = 0, {}
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode("utf-8")
-        whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else [self.ranks[t] for t in merge(data, self.ranks, self.longest)]
-        packed = np.array(ids, "<u4").tobytes()
+        packed = self.older.get(piece) or self._packed(piece)
         if len(piece) <= CACHED_PIECE:
-            self.held += ENTRY_BYTES + len(data) + len(packed)
+            self.held += ENTRY_BYTES + 5 * len(piece)
             if self.held > CACHE_BYTES:
+                # pieces of the last round that are met again are taken over
+                self.older, self.held = dict(self), 0
                 self.clear()
-                self.held = 0
             self[piece] = packed
         return packed
 
+    def _packed(self, piece: str) -> bytes:
+        data = piece.encode("utf-8")
+        whole = self.ranks.get(data)
+        ids = [whole] if whole is not None else [self.ranks[t] for t in merge(data, self.ranks, self.longest)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def blocks(self, text: str | None):
         """The ids of a text, as bytes, a window at a time."""
         for pieces in self.cut(text or ""):
@@ -160,6 +173,7 @@ def open_codec(path: str, pattern: str) -> Codec:
 
 def _with_codec(docs: DataFrame, ranks: str, pattern: str, column: str, keep: list[str], added: list[T.StructField], row) -> DataFrame:
     """``keep`` columns of ``docs`` and, as ``added``, what ``row(codec, value of column)`` gives."""
+    keep = [c for c in keep if c not in [f.name for f in added]]
     kept = [docs.schema[c] for c in keep]
 
     def run(batches):
