@@ -59,11 +59,11 @@ class HangConfig:
     hang_profile_in_filename: str = "hang_profile_128_16000"
     hang_profile_out_filename: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    run_date: str = field(default_factory=lambda: days_ago(0))   # in file names with append_date
+    failfast: bool = False               # a symbol line that can't be parsed fails the job
     # width (as a power of two) of the address ranges the as-of symbol join
     # is partitioned by; bounds the rows any single task sorts
     symbol_bucket_bits: int = 16
-    # sub-buckets per thread when dense profile indexes are assigned
-    index_sub_buckets: int = 16
 
     def with_(self, **kw) -> "HangConfig":
         return replace(self, **kw)

@@ -26,9 +26,9 @@ def category_root(category):
 
 
 def bucket_counts_raw(hangs: DataFrame) -> DataFrame:
-    """Per raw stack: hang counts by (thread, build date, M4 bucket)."""
-    return (hangs.select("sid", "thread", "build_date", duration_bucket(F.col("duration")).alias("bucket"))
-                 .groupBy("sid", "thread", "build_date", "bucket").agg(F.count(F.lit(1)).alias("n")))
+    """Per raw stack: hang counts by (thread, build date, M4 bucket), with the stack itself (written, it also gives the distinct stacks)."""
+    return (hangs.select("sid", "stack", "thread", "build_date", duration_bucket(F.col("duration")).alias("bucket"))
+                 .groupBy("sid", "stack", "thread", "build_date", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
 def _pivot(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def _pivot(df: DataFrame) -> DataFrame:
 
 
 def labelled_counts(raw_counts: DataFrame, stack_dict: DataFrame) -> DataFrame:
-    return raw_counts.join(stack_dict.select("sid", "component", category_root(F.col("category")).alias("category")),
+    return raw_counts.drop("stack").join(stack_dict.select("sid", "component", category_root(F.col("category")).alias("category")),
                            "sid")
 
 

@@ -4,10 +4,10 @@ The original kept interning tables in driver memory and assigned indexes in
 insertion order.  Here each table is a long DataFrame keyed by thread with a
 dense index assigned in sorted order (only referential integrity matters):
 
-* ``dense_index`` splits each thread into hash sub-buckets, numbers rows
-  inside a sub-bucket with ``row_number`` and adds the sub-bucket's offset
-  (a running sum over at most ``n_sub`` counts per thread), so no single task
-  numbers a whole hot thread;
+* ``dense_index`` deals the sorted rows to tasks by range, numbers them inside
+  each task and adds the offset of the task's range (a running sum over a row
+  per thread and range), so the tasks grow with the rows and a hot thread
+  spreads over as many as it needs;
 * stack-table rows are ordered by depth first, so a prefix always has a
   smaller index than its children and the root is index 0.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from hangscope.config import ROOT_FRAME, HangConfig
 from hangscope.functions.rules import CATEGORY_RULES_1, CATEGORY_RULES_2, first_rule
-from hangscope.operators.stacktree import prefix_ids
+from hangscope.operators.stacktree import Pruned, prefix_ids
 from hangscope.session import materialize
 
 def root_id() -> Column:
@@ -34,21 +34,24 @@ def process_type(thread: Column) -> Column:
     return F.when(thread.isin("Gecko_Child", "Gecko_Child_ForcePaint"), F.lit("tab")).otherwise(F.lit("default"))
 
 
-def dense_index(df: DataFrame, part: list[str], order: list[str], n_sub: int = 16, group: str | None = None,
-                name: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, part: list[str], order: list[str], group: str | None = None, name: str = "idx") -> DataFrame:
     """Add ``name`` = 0..n-1 within each ``part`` group, ordered by
-    (``group``, sub-bucket, ``order``).  Rows must be distinct on part+order."""
-    sub = F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(n_sub)).cast("int")
-    g = [F.col(group)] if group else []
-    d = df.withColumn("_sub", sub)
-    keys = part + ([group] if group else []) + ["_sub"]
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    d = d.withColumn("_rn", rn)
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*part).orderBy(*(g + [F.col("_sub")])).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return d.join(offsets, keys).withColumn(name, (F.col("_off") + F.col("_rn")).cast("long")).drop(
-        "_sub", "_rn", "_off")
+    (``group``, ``order``).  Rows must be distinct on part+order.
+
+    Rows are range-partitioned on all keys and written in that order.  The id
+    that a row gets when it is written holds its range and its place in the
+    range, so its index is its place, less that of the first row of its part
+    in the range, plus the part's rows in earlier ranges.  How many ranges
+    there are is left to adaptive execution, which sizes them by bytes."""
+    keys = part + ([group] if group else []) + order
+    dealt = df.repartitionByRange(*[F.col(c).asc() for c in keys]).sortWithinPartitions(*keys)
+    placed = materialize(dealt.withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_range", F.shiftright("_at", 33))
+    ranges = placed.groupBy(*part, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    return placed.join(offsets, part + ["_range"]).withColumn(name, F.col("_off") + F.col("_at") - F.col("_first")).drop(
+        "_range", "_at", "_first", "_off")
 
 
 def stack_category(stack: Column) -> Column:
@@ -61,21 +64,23 @@ def stack_category(stack: Column) -> Column:
     return F.coalesce(last_hit(CATEGORY_RULES_1), last_hit(CATEGORY_RULES_2))
 
 
-def _nodes(pruned_rows: DataFrame) -> DataFrame:
+def _nodes(pruned: Pruned) -> DataFrame:
     """Distinct prefix nodes of the pruned stacks, per thread (T6 rows)."""
-    st = pruned_rows.select("thread", "pssid", "pruned").distinct().withColumn("ids", prefix_ids(F.col("pruned")))
-    z = st.select("thread", "ids", F.posexplode(F.arrays_zip("pruned", "ids")).alias("depth", "z"))
+    threads = pruned.rows.select("thread", "pssid").distinct()
+    st = pruned.stacks.select("pssid", F.arrays_zip("pruned", prefix_ids(F.col("pruned")).alias("ids")).alias("z"))
+    z = st.select("pssid", F.col("z.ids").alias("ids"), F.posexplode("z").alias("depth", "f"))
     parent = F.when(F.col("depth") == 0, root_id()).otherwise(F.element_at("ids", F.col("depth")))
-    nodes = z.select("thread", "depth", F.col("z.pruned.func").alias("func"), F.col("z.pruned.lib").alias("lib"),
-                     F.col("z.ids").alias("node"), parent.alias("parent")).dropDuplicates(["thread", "node"])
-    roots = pruned_rows.select("thread").distinct().select(
+    places = z.select("pssid", "depth", F.col("f.pruned.func").alias("func"), F.col("f.pruned.lib").alias("lib"),
+                      F.col("f.ids").alias("node"), parent.alias("parent"))
+    nodes = threads.join(places, "pssid").drop("pssid").distinct()
+    roots = pruned.rows.select("thread").distinct().select(
         "thread", F.lit(-1).alias("depth"), F.lit(ROOT_FRAME).alias("func"), F.lit(None).cast("string").alias("lib"),
         root_id().alias("node"), F.lit(None).cast("struct<h1:bigint,h2:bigint>").alias("parent"))
     return nodes.unionByName(roots)
 
 
 class ProfileTables:
-    """T3-T8 of pruned rate rows and their sample table by date (after P13).
+    """T3-T8 of pruned rate rows (written) and their sample table by date (after P13).
 
     Sections are computed when first asked for, so a caller that needs one
     pays for that one; what several sections read is materialized once.
@@ -84,28 +89,33 @@ class ProfileTables:
     * libs: thread, idx, name, debugName, debugPath, offset, path, arch
     * funcs: thread, idx, func, lib, name_idx, lib_idx
     * stacks: thread, idx, node, depth, prefix_idx, func_idx, func, lib, parent
-    * samples: thread, idx, pssid, pruned, stack_idx, runnable, runnable_idx,
+    * samples: thread, idx, pssid, stack_idx, runnable, runnable_idx,
       userInteracting, platform, platform_idx, category, category_idx
     * dates: thread, date, sample_idx, sample_ms, sample_count
     """
 
-    def __init__(self, pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig):
-        self._rows, self._by_date, self._n_sub = pruned_rows, samples, cfg.index_sub_buckets
+    def __init__(self, pruned: Pruned, samples: DataFrame):
+        self._pruned, self._by_date = pruned, samples
+
+    def with_stacks(self, rows: DataFrame) -> DataFrame:
+        """Rows that have a ``pssid`` with that pruned stack (``pruned``)."""
+        return rows.join(self._pruned.stacks, "pssid")
 
     @cached_property
     def _nodes(self) -> DataFrame:
-        return materialize(_nodes(self._rows))
+        return materialize(_nodes(self._pruned))
 
     @cached_property
     def _sample_index(self) -> DataFrame:
-        keys = self._by_date.select("thread", "pssid", "pruned", "runnable", "pending_input", "platform").distinct()
-        return materialize(dense_index(keys, ["thread"], ["pssid", "runnable", "pending_input", "platform"], self._n_sub)
-                           .withColumn("category", stack_category(F.col("pruned"))))
+        keys = self._by_date.select("thread", "pssid", "runnable", "pending_input", "platform").distinct()
+        told = self._pruned.stacks.select("pssid", stack_category(F.col("pruned")).alias("category"),
+                                          F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)).alias("leaf"))
+        return materialize(dense_index(keys, ["thread"], ["pssid", "runnable", "pending_input", "platform"]).join(told, "pssid"))
 
     @cached_property
     def libs(self) -> DataFrame:
         libs = dense_index(self._nodes.where(F.col("lib").isNotNull()).select("thread", "lib").distinct(),
-                           ["thread"], ["lib"], self._n_sub)
+                           ["thread"], ["lib"])
         return materialize(libs).select(
             "thread", "idx", F.regexp_replace("lib", r"\.pdb$", "").alias("name"), F.col("lib").alias("debugName"),
             F.col("lib").alias("debugPath"), F.lit(0).alias("offset"), F.lit("").alias("path"), F.lit("").alias("arch"))
@@ -118,20 +128,20 @@ class ProfileTables:
                  .unionByName(keys.select("thread", F.col("platform").alias("string")))
                  .unionByName(keys.where(F.col("category").isNotNull()).select("thread", F.col("category").alias("string")))
                  .distinct())
-        return materialize(dense_index(texts, ["thread"], ["string"], self._n_sub)).select("thread", "idx", "string")
+        return materialize(dense_index(texts, ["thread"], ["string"])).select("thread", "idx", "string")
 
     def _string_idx(self, column: str, idx: str) -> DataFrame:
         return self.strings.select("thread", F.col("string").alias(column), F.col("idx").alias(idx))
 
     @cached_property
     def funcs(self) -> DataFrame:
-        funcs = dense_index(self._nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"], self._n_sub)
+        funcs = dense_index(self._nodes.select("thread", "func", "lib").distinct(), ["thread"], ["func", "lib"])
         libs = self.libs.select("thread", F.col("debugName").alias("lib"), F.col("idx").alias("lib_idx"))
         return materialize(funcs.join(self._string_idx("func", "name_idx"), ["thread", "func"]).join(libs, ["thread", "lib"], "left"))
 
     @cached_property
     def _stack_index(self) -> DataFrame:
-        return materialize(dense_index(self._nodes, ["thread"], ["node"], self._n_sub, group="depth"))
+        return materialize(dense_index(self._nodes, ["thread"], ["node"], group="depth"))
 
     @cached_property
     def stacks(self) -> DataFrame:
@@ -147,12 +157,11 @@ class ProfileTables:
     @cached_property
     def samples(self) -> DataFrame:
         leaf = self._stack_index.select("thread", F.col("node").alias("leaf"), F.col("idx").alias("stack_idx"))
-        return (self._sample_index.withColumn("leaf", F.try_element_at(prefix_ids(F.col("pruned")), F.lit(-1)))
-                .join(leaf, ["thread", "leaf"])
+        return (self._sample_index.join(leaf, ["thread", "leaf"])
                 .join(self._string_idx("runnable", "runnable_idx"), ["thread", "runnable"])
                 .join(self._string_idx("platform", "platform_idx"), ["thread", "platform"])
                 .join(self._string_idx("category", "category_idx"), ["thread", "category"], "left")
-                .select("thread", "idx", "pssid", "pruned", "stack_idx", "runnable", "runnable_idx",
+                .select("thread", "idx", "pssid", "stack_idx", "runnable", "runnable_idx",
                         F.col("pending_input").alias("userInteracting"), "platform", "platform_idx",
                         "category", "category_idx"))
 
@@ -163,15 +172,15 @@ class ProfileTables:
                 .select("thread", F.col("build_date").alias("date"), "sample_idx", "sample_ms", "sample_count"))
 
 
-def build_tables(pruned_rows: DataFrame, samples: DataFrame, cfg: HangConfig) -> ProfileTables:
+def build_tables(pruned: Pruned, samples: DataFrame) -> ProfileTables:
     """T3-T8 from pruned rate rows (all of them: the stack table) and the
     sample table by date (after P13)."""
-    return ProfileTables(pruned_rows, samples, cfg)
+    return ProfileTables(pruned, samples)
 
 
-def reconstruct_paths(stacks: DataFrame) -> DataFrame:
+def reconstruct_paths(stacks: DataFrame, keys: list[str] = ["thread"]) -> DataFrame:
     """Stack index -> list of (func, lib) from the root, by following
-    prefix indexes.  Pointer jumping: each round prepends the path of the
+    prefix indexes (within ``keys``).  Pointer jumping: each round prepends the path of the
     current ancestor and jumps to the ancestor's ancestor, so depth d takes
     about log2(d) rounds (9 for 299 frames); each round is checkpointed so the
     plan does not grow.  Reads only the stack table, so it works on tables read
@@ -179,7 +188,7 @@ def reconstruct_paths(stacks: DataFrame) -> DataFrame:
     a loop is an error."""
     done = F.col("anc").isNull() | (F.col("anc") == 0)
     cur = materialize(stacks.select(
-        "thread", "idx",
+        *keys, "idx",
         F.when(F.col("idx") == 0, F.array().cast("array<struct<func:string,lib:string>>"))
          .otherwise(F.array(F.struct(F.col("func"), F.col("lib")))).alias("path"),
         F.col("prefix_idx").alias("anc")))
@@ -189,12 +198,12 @@ def reconstruct_paths(stacks: DataFrame) -> DataFrame:
         rounds += 1
         if rounds > most:
             raise ValueError("stack table: prefixes form a loop")
-        a = cur.select("thread", F.col("idx").alias("anc"), F.col("path").alias("apath"), F.col("anc").alias("aanc"))
-        cur = materialize(cur.join(a, ["thread", "anc"], "left").select(
-            "thread", "idx",
+        a = cur.select(*keys, F.col("idx").alias("anc"), F.col("path").alias("apath"), F.col("anc").alias("aanc"))
+        cur = materialize(cur.join(a, [*keys, "anc"], "left").select(
+            *keys, "idx",
             F.when(done, F.col("path")).otherwise(F.concat("apath", "path")).alias("path"),
             F.when(done, F.col("anc")).otherwise(F.col("aanc")).alias("anc")))
-    return cur.select("thread", "idx", "path")
+    return cur.select(*keys, "idx", "path")
 
 
 def _sorted(col_struct: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from hangscope.config import HangConfig
 from hangscope.functions.frames import build_date
 from hangscope.operators.hangs import rate_hangs
-from hangscope.operators.symbolicate import distinct_stacks, symbolicate_stacks
 
 KEYS = ["runnable", "thread", "build_date", "pending_input", "platform"]
 MS_PER_HOUR = 3600000.0
@@ -43,18 +42,19 @@ def per_hour(total, usage_h):
 
 def hang_sums_raw(hangs: DataFrame, cfg: HangConfig) -> DataFrame:
     """A4 on raw stacks: Σ duration and count per (stack, runnable, thread,
-    build date, pending input, platform) after P9/P10.  Partial aggregation
-    happens before the shuffle, so repeated stacks collapse map-side."""
+    build date, pending input, platform) after P9/P10, with the stack itself.
+    Partial aggregation happens before the shuffle, so repeated stacks collapse
+    map-side; written, the result serves the sums and the distinct stacks
+    (``distinct_stacks``) with one scan and one decoding of the hangs."""
     return (rate_hangs(hangs, cfg)
-            .groupBy("sid", *KEYS)
+            .groupBy("sid", "stack", *KEYS)
             .agg(F.sum("duration").alias("hang_ms"), F.count(F.lit(1)).alias("hang_count")))
 
 
 def hang_sums(raw_sums: DataFrame, stack_dict: DataFrame) -> DataFrame:
-    """A4 on symbolic stacks: raw-stack sums re-added per symbolic stack."""
-    j = raw_sums.join(stack_dict.select("sid", "ssid"), "sid")
-    sums = j.groupBy("ssid", *KEYS).agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"))
-    return sums.join(stack_dict.select("ssid", "sym_stack").dropDuplicates(["ssid"]), "ssid")
+    """A4 on symbolic stacks (by id): raw-stack sums re-added per symbolic stack."""
+    j = raw_sums.select("sid", *KEYS, "hang_ms", "hang_count").join(stack_dict.select("sid", "ssid"), "sid")
+    return j.groupBy("ssid", *KEYS).agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"))
 
 
 def hang_rates_from(sums: DataFrame, usage: DataFrame) -> DataFrame:
@@ -62,16 +62,3 @@ def hang_rates_from(sums: DataFrame, usage: DataFrame) -> DataFrame:
     return (sums.join(usage.select("build_date", "usage_ms", "usage_h"), "build_date")
                 .withColumn("ms_per_hour", per_hour(F.col("hang_ms"), F.col("usage_h")))
                 .withColumn("count_per_hour", per_hour(F.col("hang_count"), F.col("usage_h"))))
-
-
-def hang_rates(pings: DataFrame, hangs: DataFrame, symbols: DataFrame, cfg: HangConfig,
-               stack_dict: DataFrame | None = None) -> DataFrame:
-    """Valid pings + their hangs -> hang rates per symbolic stack.
-
-    Columns: ssid, sym_stack, runnable, thread, build_date, pending_input,
-    platform, hang_ms, hang_count, usage_ms, usage_h, ms_per_hour,
-    count_per_hour.
-    """
-    if stack_dict is None:
-        stack_dict = symbolicate_stacks(distinct_stacks(rate_hangs(hangs, cfg)), symbols, cfg)
-    return hang_rates_from(hang_sums(hang_sums_raw(hangs, cfg), stack_dict), usage_hours_by_date(pings))

@@ -5,24 +5,62 @@ through it.  Pruning walks each stack from the root and keeps a frame while
 ``total(node) / total(parent) > threshold`` (strictly); the first frame that
 fails becomes ``(other)`` in that frame's lib and the rest is cut.
 
-Relational form: prefix ids come from one ``aggregate`` over the stack (a
-rolling 128-bit hash per prefix), node totals are a ``groupBy`` over exploded
-prefixes of *distinct* stacks, and the cut point is a ``min(pos)`` over a
-window bounded by the stack depth.  No group is larger than one stack.
+Relational form.  Rows name their stack by its content id; the frame arrays are
+kept once per distinct stack.  The distinct stacks are exploded once into a
+prefix table (``stack_nodes``: a row per stack and position with the node's and
+its parent's 128-bit rolling hashes), and everything else is equi-joins and
+hash aggregates on fixed-width keys:
+
+* node totals: stack weights joined with the prefix table, summed per node;
+* a node fails if its total is too small a share of its parent's, a join of
+  the totals with themselves;
+* a stack's cut is the first position whose node fails: the prefix table joined
+  with the failing nodes, minimum per stack.
+
+Cumulative totals (T2) are running sums over build dates per node.  They can be
+kept in a table (``NodeState``), so that a new day needs its own rows and the
+totals up to the day before, not the days before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass, replace
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hangscope.config import OTHER_FRAME, HangConfig
 from hangscope.functions.frames import sample_keep, stack_id, stack_text
+from hangscope.session import materialize
 
 _NODE = "struct<h1:bigint,h2:bigint>"
+STATE = "thread string, n1 long, n2 long, v double"
+DAY = ["thread", "build_date"]
+NODE = ["n1", "n2"]
+
+
+@dataclass(frozen=True)
+class Pruned:
+    """Rate rows with the id of their pruned stack, and the stacks.
+
+    * rows: the columns of the rate rows without their stack, and ``pssid``
+    * stacks: pssid, pruned - each pruned stack once
+    * sources: ssid, sym_stack - each stack before pruning once
+    """
 
+    rows: DataFrame
+    stacks: DataFrame
+    sources: DataFrame
 
-def prefix_ids(stack):
+    def written(self) -> Pruned:
+        return replace(self, rows=materialize(self.rows))
+
+    def joined(self) -> DataFrame:
+        """The rows with their stacks before and after pruning."""
+        return self.rows.join(self.stacks, "pssid").join(self.sources, "ssid")
+
+
+def prefix_ids(stack: Column) -> Column:
     """Array of node ids, one per prefix of ``stack`` (rolling hashes)."""
     init = F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"),
                     F.array().cast(f"array<{_NODE}>").alias("ids"))
@@ -41,104 +79,172 @@ def positive_ms(rates: DataFrame) -> DataFrame:
     return rates.where(F.col("ms_per_hour") > 0)
 
 
-def _stack_weights(rates: DataFrame) -> DataFrame:
-    """Per (thread, build date, symbolic stack): hang ms and usage hours.
-    Grouped by the stack's content id; the array itself (equal for equal ids)
-    rides along instead of being hashed and compared as a key."""
-    return (rates.groupBy("thread", "build_date", "ssid")
-                 .agg(F.any_value("sym_stack").alias("sym_stack"), F.sum("hang_ms").alias("ms"),
-                      F.max("usage_h").alias("usage_h")))
+def one_stack_each(rows: DataFrame, key: str, stack: str) -> DataFrame:
+    """``key, stack`` once per ``key`` of a table that was written with row numbers (``rid``): the row with the smallest one, so that no array
+    takes part in an aggregation."""
+    first = rows.groupBy(key).agg(F.min("rid").alias("rid"))
+    return rows.select("rid", key, stack).join(first.select("rid"), "rid", "left_semi").drop("rid")
+
+
+def stack_weights(rates: DataFrame) -> DataFrame:
+    """Per (thread, build date, symbolic stack): hang ms and usage hours."""
+    return rates.groupBy(*DAY, "ssid").agg(F.sum("hang_ms").alias("ms"), F.max("usage_h").alias("usage_h"))
 
 
-def _exploded_nodes(weights: DataFrame) -> DataFrame:
-    return weights.select("thread", "build_date", "ssid", "ms", "usage_h",
-                          F.posexplode(prefix_ids(F.col("sym_stack"))).alias("pos", "node"))
+def stack_nodes(stacks: DataFrame) -> DataFrame:
+    """``ssid, pos, n1, n2, p1, p2`` of distinct stacks (``ssid, sym_stack``): a row per prefix with its node and that node's parent (0, 0 is the
+    root)."""
+    root = F.struct(F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"))
+    ids = stacks.select("ssid", prefix_ids(F.col("sym_stack")).alias("ids"))
+    pairs = F.arrays_zip(F.col("ids").alias("n"), F.concat(F.array(root), F.col("ids")).alias("p"))
+    rows = ids.select("ssid", F.posexplode(F.slice(pairs, F.lit(1), F.size("ids"))).alias("pos", "z"))
+    return rows.select("ssid", "pos", F.col("z.n.h1").alias("n1"), F.col("z.n.h2").alias("n2"),
+                       F.col("z.p.h1").alias("p1"), F.col("z.p.h2").alias("p2"))
 
 
-def stack_node_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
+def day_nodes(weights: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Per (thread, build date, node): its parent, depth and hang ms, and the date's usage hours."""
+    return (weights.join(nodes, "ssid").groupBy(*DAY, *NODE)
+            .agg(F.min("p1").alias("p1"), F.min("p2").alias("p2"), F.min("pos").alias("depth"),
+                 F.sum("ms").alias("node_ms"), F.max("usage_h").alias("usage_h")))
+
+
+def day_roots(weights: DataFrame) -> DataFrame:
+    return weights.groupBy(*DAY).agg(F.sum("ms").alias("root_ms"), F.max("usage_h").alias("usage_h"))
+
+
+def stack_node_totals(rates: DataFrame) -> DataFrame:
     """A10: per (thread, build date, node): inclusive hang ms (``node_ms``),
     node depth, and the thread's total for that date (``root_ms``)."""
-    w = _stack_weights(positive_ms(rates)) if w is None else w
-    nodes = (_exploded_nodes(w).groupBy("thread", "build_date", "node")
-             .agg(F.sum("ms").alias("node_ms"), F.max("pos").alias("depth")))
-    roots = w.groupBy("thread", "build_date").agg(F.sum("ms").alias("root_ms"))
-    return nodes.join(roots, ["thread", "build_date"])
+    r = positive_ms(rates)
+    w = stack_weights(r)
+    nodes = day_nodes(w, stack_nodes(r.select("ssid", "sym_stack").dropDuplicates(["ssid"])))
+    out = nodes.join(day_roots(w).drop("usage_h"), DAY)
+    return out.select(*DAY, F.struct(F.col("n1").alias("h1"), F.col("n2").alias("h2")).alias("node"), "depth", "node_ms", "root_ms")
+
+
+# ---- totals that decide: thread, build_date, n1, n2, p1, p2, v; the root is node (0, 0) ----
+
+def _with_root(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("bigint")
+    return nodes.unionByName(roots.select(*DAY, zero.alias("n1"), zero.alias("n2"), F.lit(None).cast("bigint").alias("p1"),
+                                          F.lit(None).cast("bigint").alias("p2"), *[c for c in nodes.columns if c not in (*DAY, *NODE, "p1", "p2")]))
+
+
+def daily_totals(weights: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Node totals of each build date alone (integer ms)."""
+    return _with_root(day_nodes(weights, nodes).select(*DAY, *NODE, "p1", "p2", F.col("node_ms").alias("v")),
+                      day_roots(weights).withColumnRenamed("root_ms", "v"))
+
+
+def day_increments(weights: DataFrame, nodes: DataFrame) -> DataFrame:
+    """What each build date adds to the cumulative totals: ms per hour of usage, per node and for the root."""
+    inc = (F.col("node_ms") / F.col("usage_h")).alias("inc")
+    return _with_root(day_nodes(weights, nodes).select(*DAY, *NODE, "p1", "p2", inc),
+                      day_roots(weights).withColumnRenamed("root_ms", "node_ms").select(*DAY, inc))
+
+
+def cumulative_totals(increments: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """T2 totals: increments summed over every build date up to and including
+    each date (the original's single processor fed day by day), on top of the
+    totals of earlier dates (``state``: thread, n1, n2, v)."""
+    run = Window.partitionBy("thread", *NODE).orderBy("build_date").rowsBetween(Window.unboundedPreceding, 0)
+    t = increments.select(*DAY, *NODE, "p1", "p2", F.sum("inc").over(run).alias("v"))
+    if state is None:
+        return t
+    before = state.select("thread", *NODE, F.col("v").alias("before"))
+    return t.join(before, ["thread", *NODE], "left").withColumn("v", F.col("v") + F.coalesce("before", F.lit(0.0))).drop("before")
 
 
-def _cuts(w: DataFrame, totals: DataFrame, value: str, root: str, threshold: float) -> DataFrame:
-    """First failing position per (thread, build date, stack); null = keep all."""
-    ex = _exploded_nodes(w).join(totals, ["thread", "build_date", "node"])
-    win = Window.partitionBy("thread", "build_date", "ssid").orderBy("pos")
-    parent = F.coalesce(F.lag(value).over(win), F.col(root))
-    ratio = F.try_divide(F.col(value).cast("double"), parent.cast("double"))
-    x = ex.withColumn("fail", ~F.coalesce(ratio > F.lit(threshold), F.lit(False)))
-    return x.groupBy("thread", "build_date", "ssid").agg(F.min(F.when(F.col("fail"), F.col("pos"))).alias("cut"))
+def next_state(increments: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The cumulative totals after the dates of ``increments``: ``thread, n1, n2, v``."""
+    added = increments.select("thread", *NODE, F.col("inc").alias("v"))
+    every = added if state is None else state.select("thread", *NODE, "v").unionByName(added)
+    return every.groupBy("thread", *NODE).agg(F.sum("v").alias("v"))
 
 
-def pruned_stack(stack, cut):
+def stack_cuts(weights: DataFrame, nodes: DataFrame, totals: DataFrame, threshold: float) -> DataFrame:
+    """``thread, build_date, ssid, cut`` of the stacks that are cut: the first position whose node's share of its parent isn't above the threshold."""
+    parents = totals.select(*DAY, F.col("n1").alias("p1"), F.col("n2").alias("p2"), F.col("v").cast("double").alias("pv"))
+    ratio = F.try_divide(F.col("v").cast("double"), F.col("pv"))
+    failing = (totals.where(F.col("p1").isNotNull()).join(parents, DAY + ["p1", "p2"])
+               .where(~F.coalesce(ratio > F.lit(threshold), F.lit(False))).select(*DAY, *NODE))
+    places = weights.select(*DAY, "ssid").join(nodes.select("ssid", "pos", *NODE), "ssid")
+    return places.join(failing, DAY + NODE).groupBy(*DAY, "ssid").agg(F.min("pos").alias("cut"))
+
+
+def pruned_stack(stack: Column, cut: Column) -> Column:
     """Keep frames before ``cut``; the frame at ``cut`` becomes ``(other)`` in
     its own lib; later frames are dropped."""
     other = F.struct(F.lit(OTHER_FRAME).alias("func"), stack[cut]["lib"].alias("lib"))
     return F.when(cut.isNull(), stack).otherwise(F.concat(F.slice(stack, F.lit(1), cut), F.array(other)))
 
 
-def daily_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
-    """Node totals of each build date alone (integer ms)."""
-    t = stack_node_totals(rates, w)
-    return t.select("thread", "build_date", "node", F.col("node_ms").alias("v"), F.col("root_ms").alias("root"))
-
-
-def cumulative_totals(rates: DataFrame, w: DataFrame | None = None) -> DataFrame:
-    """T2 totals: per hour of usage, summed over every build date up to and
-    including each date (the original's single processor fed day by day).
-    ``w``: the stack weights of ``rates`` when the caller already has them."""
-    w = _stack_weights(positive_ms(rates)) if w is None else w
-    day_nodes = (_exploded_nodes(w).groupBy("thread", "build_date", "node")
-                 .agg(F.sum("ms").alias("node_ms"), F.max("usage_h").alias("usage_h")))
-    run_n = Window.partitionBy("thread", "node").orderBy("build_date").rowsBetween(Window.unboundedPreceding, 0)
-    nodes = day_nodes.select("thread", "build_date", "node",
-                             F.sum(F.col("node_ms") / F.col("usage_h")).over(run_n).alias("v"))
-    day_roots = w.groupBy("thread", "build_date").agg((F.sum("ms") / F.max("usage_h")).alias("root_rate"))
-    run_r = Window.partitionBy("thread").orderBy("build_date").rowsBetween(Window.unboundedPreceding, 0)
-    roots = day_roots.select("thread", "build_date", F.sum("root_rate").over(run_r).alias("root"))
-    return nodes.join(roots, ["thread", "build_date"])
-
-
-def prune(rates: DataFrame, cfg: HangConfig, cumulative: bool = False) -> DataFrame:
-    """T1 (daily totals) or T2 (cumulative totals): rates rows with their
-    stack replaced by the pruned stack (``pruned``, ``pssid``)."""
-    r = positive_ms(rates)
-    # read by the node totals, the root totals and the cut search, which reuse its exchange
-    w = _stack_weights(r)
-    totals = cumulative_totals(r, w) if cumulative else daily_totals(r, w)
-    cuts = _cuts(w, totals, "v", "root", cfg.stack_acceptance_threshold)
-    j = r.join(cuts, ["thread", "build_date", "ssid"])
-    p = pruned_stack(F.col("sym_stack"), F.col("cut"))
-    return j.withColumn("pruned", p).withColumn("pssid", stack_id(F.col("pruned")))
+def _replaced(r: DataFrame, stacks: DataFrame, cuts: DataFrame) -> Pruned:
+    """Rows with their stacks cut; each (stack, cut) is worked out once."""
+    keyed = r.join(cuts, DAY + ["ssid"], "left").withColumn("cut", F.coalesce("cut", F.lit(-1)))
+    p = pruned_stack(F.col("sym_stack"), F.when(F.col("cut") >= 0, F.col("cut")))
+    kinds = materialize(keyed.select("ssid", "cut").distinct().join(stacks, "ssid").select("ssid", "cut", p.alias("pruned"))
+                        .withColumn("pssid", stack_id(F.col("pruned"))).withColumn("rid", F.monotonically_increasing_id()))
+    rows = keyed.join(kinds.select("ssid", "cut", "pssid"), ["ssid", "cut"]).drop("cut")
+    return Pruned(rows, one_stack_each(kinds, "pssid", "pruned"), stacks)
+
 
+def _inputs(rates: DataFrame, stacks: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Written rate rows without arrays, the distinct stacks, their prefix table and the stack weights."""
+    if stacks is None:
+        stacks = materialize(rates.select("ssid", "sym_stack").dropDuplicates(["ssid"]))
+    r = materialize(positive_ms(rates).drop("sym_stack"))
+    return r, stacks, materialize(stack_nodes(stacks)), materialize(stack_weights(r))
 
-def post_sample(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
+
+def prune(rates: DataFrame, cfg: HangConfig, cumulative: bool = False, stacks: DataFrame | None = None) -> Pruned:
+    """T1 (daily totals) or T2 (cumulative totals): rate rows with the id of
+    their pruned stack.  ``stacks`` (``ssid, sym_stack``, one row per id,
+    written) when the rows don't carry their ``sym_stack``."""
+    r, stacks, nodes, w = _inputs(rates, stacks)
+    totals = cumulative_totals(day_increments(w, nodes)) if cumulative else daily_totals(w, nodes)
+    return _replaced(r, stacks, stack_cuts(w, nodes, materialize(totals), cfg.stack_acceptance_threshold))
+
+
+def prune_step(rates: DataFrame, cfg: HangConfig, state: DataFrame | None = None, stacks: DataFrame | None = None) -> tuple[Pruned, DataFrame]:
+    """T2 for some dates after those that ``state`` holds the totals of: their pruned rows, and the totals to keep for the next ones.
+    Reads the rows of the new dates and a row per node of the state."""
+    r, stacks, nodes, w = _inputs(rates, stacks)
+    inc = materialize(day_increments(w, nodes))
+    totals = cumulative_totals(inc, state)
+    return _replaced(r, stacks, stack_cuts(w, nodes, materialize(totals), cfg.stack_acceptance_threshold)), next_state(inc, state)
+
+
+def post_sample(pruned: Pruned, cfg: HangConfig) -> Pruned:
     """A deterministic sample of pruned rows, for finalize only; totals
     for pruning are taken before it, and rows sampled out add no stack nodes."""
-    key = F.concat_ws("|", "thread", "build_date", stack_text(F.col("sym_stack")), "runnable",
-                      F.col("pending_input").cast("string"), "platform")
-    return pruned if cfg.post_sample_size >= 1.0 else pruned.where(sample_keep(key, cfg.post_sample_size))
+    if cfg.post_sample_size >= 1.0:
+        return pruned
+    texts = pruned.sources.select("ssid", stack_text(F.col("sym_stack")).alias("source_text"))
+    key = F.concat_ws("|", "thread", "build_date", "source_text", "runnable", F.col("pending_input").cast("string"), "platform")
+    return replace(pruned, rows=pruned.rows.join(texts, "ssid").where(sample_keep(key, cfg.post_sample_size)).drop("source_text"))
 
 
-def sample_table_by_date(pruned: DataFrame, cfg: HangConfig) -> DataFrame:
-    """A11 (+P13): per (thread, build date, pruned stack, runnable,
+def minimal_samples(rows: DataFrame) -> DataFrame:
+    """Without Gecko_Child rows that have no pending input."""
+    return rows.where(~((F.col("thread") == "Gecko_Child") & ~F.col("pending_input")))
+
+
+def sample_sums(pruned: Pruned, cfg: HangConfig) -> DataFrame:
+    """A11 (+P13): per (thread, build date, pruned stack id, runnable,
     pending input, platform): summed hang ms / count, then per usage hour.
 
     With ``use_minimal_sample_table`` Gecko_Child samples without pending
-    input are dropped (their stack nodes stay in the stack table).  With
-    ``post_sample_size`` < 1 a deterministic sample of rows is kept (totals
-    for pruning were taken before it).
-    """
-    p = pruned
-    if cfg.use_minimal_sample_table:
-        p = p.where(~((F.col("thread") == "Gecko_Child") & ~F.col("pending_input")))
-    g = (p.groupBy("thread", "build_date", "pssid", "pruned", "runnable", "pending_input", "platform")
+    input are dropped (their stack nodes stay in the stack table)."""
+    p = minimal_samples(pruned.rows) if cfg.use_minimal_sample_table else pruned.rows
+    g = (p.groupBy("thread", "build_date", "pssid", "runnable", "pending_input", "platform")
           .agg(F.sum("hang_ms").alias("hang_ms"), F.sum("hang_count").alias("hang_count"),
                F.max("usage_h").alias("usage_h")))
     return (g.withColumn("sample_ms", F.try_divide(F.col("hang_ms"), F.col("usage_h")))
              .withColumn("sample_count", F.try_divide(F.col("hang_count"), F.col("usage_h"))))
+
+
+def sample_table_by_date(pruned: Pruned, cfg: HangConfig) -> DataFrame:
+    """:func:`sample_sums` with the pruned stacks themselves (``pruned``)."""
+    return sample_sums(pruned, cfg).join(pruned.stacks, "pssid")

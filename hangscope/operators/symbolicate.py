@@ -47,6 +47,30 @@ def offsets_by_module(frames: DataFrame) -> DataFrame:
                                      F.min(v).alias("min_offset"), F.max(v).alias("max_offset"))
 
 
+def offset_sets(frames: DataFrame) -> DataFrame:
+    """A2: the offsets at which each module was hit, as bitmaps:
+    ``debug_name, breakpad_id, bucket, offsets`` with a bit per address in
+    buckets of 32,768.  Exact, and no row grows with a module: a hot module has
+    more buckets, not a longer list.  Offsets that aren't hex are in no set."""
+    v = hex_to_bigint(F.col("offset"))
+    native = frames.where(~F.col("pseudo") & F.col("debug_name").isNotNull() & v.isNotNull()).select(*MOD, v.alias("v"))
+    return native.groupBy(*MOD, F.bitmap_bucket_number("v").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("offsets"))
+
+
+def decode_offset_sets(sets: DataFrame) -> DataFrame:
+    """``debug_name, breakpad_id, value`` for each offset of :func:`offset_sets`."""
+    text = sets.select(*MOD, "bucket", F.hex("offsets").alias("hex"))
+    filled = F.filter(F.sequence(F.lit(0), (F.length("hex") / 2 - 1).cast("int")), lambda i: F.substr(F.col("hex"), 2 * i + 1, F.lit(2)) != "00")
+    bytes_ = text.select(*MOD, "bucket", "hex", F.explode(filled).alias("i"))
+    byte = F.conv(F.substr(F.col("hex"), 2 * F.col("i") + 1, F.lit(2)), 16, 10).cast("int")
+    bits = bytes_.select(*MOD, "bucket", "i", byte.alias("byte"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit")).where(
+        F.expr("byte >> bit & 1") == 1)
+    place = F.col("i") * 8 + F.col("bit")
+    # bucket 0 holds offset 0; bucket k holds the 32,768 offsets from (k - 1) * 32,768 + 1 on
+    value = F.when(F.col("bucket") == 0, place.cast("long")).otherwise((F.col("bucket") - 1) * 32768 + 1 + place)
+    return bits.select(*MOD, value.alias("value"))
+
+
 def symbol_asof(frames: DataFrame, symbols: DataFrame, bits: int = 16) -> DataFrame:
     """For each (module, hex offset), the symbol at the greatest address
     <= offset in that module's table; null when there is none, the offset is
@@ -117,7 +141,8 @@ def frame_dictionary(frames: DataFrame, symbols: DataFrame, cfg: HangConfig) ->
 
 
 def distinct_stacks(df: DataFrame) -> DataFrame:
-    """Distinct (sid, stack) pairs (hash aggregation; the array is a key)."""
+    """Distinct (sid, stack) pairs.  The array is a key of the hash
+    aggregation: as a value it would force a sort-based one."""
     return df.select("sid", "stack").distinct()
 
 

@@ -310,3 +310,73 @@ from rh join pruned p on p.ping_id=rh.ping_id and p.thread=rh.thread
 where rh.build_date between '19950101' and '19961231' group by 1,2,3,4,5,6""", {**_PRUNE, **_prune_sql("nt", "rt")})
 ORACLE["module_key"] = with_views("""select debug_name, breakpad_id, debug_name||'\\'||coalesce(breakpad_id, 'None') module_key
  from module""")
+
+# ---- written and read again ----
+_REREAD = with_views("""select stack, thread, psamp.build_date, runnable, pending_input, platform,
+ sum(duration)/max(u.usage_h) sample_ms, count(*)/max(u.usage_h) sample_count
+ from psamp join u on u.build_date=psamp.build_date group by 1,2,3,4,5,6""", _PROF)
+ORACLE["reingest_documents"] = ORACLE["reingest_chunks"] = ORACLE["reingest_split"] = _REREAD
+ORACLE["prune_stacks_stepwise"] = ORACLE["prune_stacks_cumulative"]
+ORACLE["finalize_written"] = with_views("""select case when cut is null then stack when cut = 1 then '(other)@'||lib
+   else replace(array_to_string(list_slice(frames, 1, cut - 1), '>'), '<unsymbolicated@', '<unsymbolicated>@')||'>(other)@'||lib end stack,
+  thread, build_date, runnable, pending_input, platform, sum(sample_ms) sample_ms, sum(sample_count) sample_count
+ from (select s.*, c.cut, regexp_extract(frames[c.cut], '@([^@]*)$', 1) lib from split s
+       left join cuts c on c.profile=s.profile and c.thread=s.thread and c.stack=s.stack) x
+ group by 1,2,3,4,5,6""", {**_PRUNE, **_prune_sql("nt", "rt"),
+    "daily": _SAMPLES,
+    "split": """select *, case when build_date <= '19951231' then 'first' else 'second' end profile, string_split(replace(stack, '<unsymbolicated>', '<unsymbolicated'), '>') frames from daily""",
+    "pfx": """select profile, thread, stack, sample_ms, pos, array_to_string(list_slice(frames, 1, pos), '>') node,
+  case when pos = 1 then '' else array_to_string(list_slice(frames, 1, pos - 1), '>') end parent
+  from (select *, unnest(range(1, len(frames) + 1)) pos from split) x""",
+    "ptot": """select profile, thread, node, sum(sample_ms) v from pfx group by 1,2,3
+  union all select profile, thread, '', sum(sample_ms) from split group by 1,2""",
+    "cuts": """select p.profile, p.thread, p.stack, min(p.pos) cut from pfx p
+  join ptot n on n.profile=p.profile and n.thread=p.thread and n.node=p.node
+  join ptot q on q.profile=p.profile and q.thread=p.thread and q.node=p.parent
+  where not (n.v / q.v > 0.01) group by 1,2,3"""})
+ORACLE["symbol_store"] = with_views("""select debug_name, breakpad_id, address, symbol from sym
+ where (debug_name, breakpad_id) in (select m.debug_name, m.breakpad_id from frame f join module m on m.module_index=f.module_index
+   where f.module_index < 5 and f.ping_id in (select ping_id from vping))""")
+ORACLE["symbol_store_asof"] = ORACLE["symbol_asof_join"]
+ORACLE["offset_sets"] = with_views(f"""select distinct debug_name, breakpad_id, ('0x'||"offset")::bigint "value"
+ from ({_DF}) d where not pseudo and debug_name is not null""")
+_MODULES = """select distinct p_name||case when p_partkey%2=0 then '.pdb' else '.so' end debug_name,
+ case when p_partkey%10<>9 then p_brand||'*'||cast(p_partkey as varchar) end breakpad_id from part"""
+_quoted = lambda c: f"replace(url_encode({c}), '%20', '+')"
+ORACLE["symbol_path"] = f"""select debug_name, breakpad_id, case when breakpad_id is not null then {_quoted('debug_name')}||'/'||{_quoted('breakpad_id')}
+ ||'/'||{_quoted("regexp_replace(debug_name, '[.]pdb$', '')||'.sym'")} end "path" from ({_MODULES}) m"""
+ORACLE["module_key"] = f"""select debug_name, breakpad_id, debug_name||'\\'||coalesce(breakpad_id, 'None') module_key from ({_MODULES}) m"""
+ORACLE["json_pings"] = with_views("""select p.ping_id, os_name, os_version, arch, substr(build_id,1,8) build_date, since_ms, 10 n_modules,
+ duration, thread, runnable, cast(pending_input as int)+cast(cpu_high as int)+cast(paint as int) n_annotations,
+ coalesce(n, 0) n_frames, coalesce(frames, '') frames
+ from ping p join hang h on h.ping_id=p.ping_id
+ left join (select f.ping_id, count(*) n, string_agg(coalesce(label, cast(module_index as varchar)||':'||"offset"), ',' order by f.pos) frames
+   from frame f join (select l_orderkey, row_number() over (partition by l_orderkey
+     order by l_linenumber,l_partkey,l_suppkey,l_extendedprice,l_quantity)-1 pos, l_quantity from lineitem) l
+     on l.l_orderkey=f.ping_id and l.pos=f.pos
+   where label is not null or l_quantity <= 45 group by 1) x on x.ping_id=p.ping_id
+ where p.ping_id%11<>0 and p.ping_id%13<>0 and p.ping_id%17<>0 and p.ping_id%19<>0 and os_name is not null
+   and substr(build_id,1,8) between '19930101' and '19971231'""")
+ORACLE["json_ping_rejects"] = with_views("""select ping_id, case when ping_id%17=0 then 'not JSON' when os_name is null then 'os name is not text'
+ when ping_id%11=0 then 'build id is not text' else 'time since last ping is not an integer' end reason
+ from ping where ping_id%17=0 or os_name is null or ping_id%11=0 or ping_id%13=0 or ping_id%19=0""")
+ORACLE["job_counters"] = with_views("""select 'pings' counted, 'rows' metric, count(*) "value" from ping
+ union all select 'pings', 'rejected', count(*) from ping where os_name is null
+ union all select 'symbol_lines', 'rejected', count(*) from sym where (address/16)::bigint % 3 = 1
+ union all select 'rates', 'rows', count(*) from keys
+ union all select 'rates', 'without_usage_hours', count(*) from keys where build_date >= '19980101'""", {
+    # a symbol whose FUNC line is bad keeps its PUBLIC line, if it has one
+    "sym3": "select * from sym where (address/16)::bigint % 3 <> 1 or address % 64 = 0",
+    "fs3": """select f.ping_id, f.pos,
+ case when f.label is not null then f.label when x.symbol is not null then x.symbol else '<unsymbolicated>' end func,
+ case when f.label is not null then '' else coalesce(m.debug_name,'unknown') end lib
+from frame f left join module m on m.module_index=f.module_index
+left join (select d.debug_name, d.o, max_by(s.symbol, s.address) symbol
+           from (select distinct m.debug_name, m.breakpad_id, f."offset" o, ('0x'||f."offset")::bigint v
+                 from frame f join module m on m.module_index=f.module_index) d
+           join sym3 s on s.debug_name=d.debug_name and s.breakpad_id=d.breakpad_id and s.address<=d.v
+           group by 1,2) x on x.debug_name=m.debug_name and x.o=f."offset\"""",
+    "st3": """select ping_id, string_agg(func||'@'||lib, '>' order by pos) stack from fs3 group by 1""",
+    "keys": """select distinct st3.stack, runnable, thread, build_date, pending_input, platform from h2 join st3 on st3.ping_id=h2.ping_id
+  where duration>=128 and duration<16000 and not cpu_high"""})
+ORACLE["tracked_stats_store"] = ORACLE["merge_histograms"]

@@ -85,8 +85,7 @@ def q_truncate(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("symbol_path")
 def q_symbol_path(spark: SparkSession, sf: str) -> DataFrame:
-    mods = _pings(spark, sf).select(F.explode("modules").alias("m")).select("m.*").distinct()
-    return mods.select("debug_name", "breakpad_id",
+    return derived.part_modules(spark, sf).distinct().select("debug_name", "breakpad_id",
                        symbol_path(F.col("debug_name"), F.col("breakpad_id")).alias("path"))
 
 

@@ -79,15 +79,15 @@ def q_sample_table(spark: SparkSession, sf: str) -> DataFrame:
 @query("sample_category")
 def q_sample_category(spark: SparkSession, sf: str) -> DataFrame:
     t = _tables(spark, sf)
-    return t.samples.select("thread", stack_text(F.col("pruned")).alias("stack"),
-                            stack_category(F.col("pruned")).alias("category")).distinct()
+    return t.with_stacks(t.samples).select("thread", stack_text(F.col("pruned")).alias("stack"),
+                                           stack_category(F.col("pruned")).alias("category")).distinct()
 
 
 def _sample_keys(t):
     """Sample rows with their own key columns (stack text from the sample's
     pruned stack); index integrity is checked by ``sample_table``."""
-    return t.samples.select("thread", F.col("idx").alias("sample_idx"), stack_text(F.col("pruned")).alias("stack"),
-                            "runnable", "userInteracting", "platform")
+    return t.with_stacks(t.samples).select("thread", F.col("idx").alias("sample_idx"), stack_text(F.col("pruned")).alias("stack"),
+                                           "runnable", "userInteracting", "platform")
 
 
 @query("dates_table")
@@ -127,10 +127,11 @@ def q_finalize(spark: SparkSession, sf: str) -> DataFrame:
     """Incremental write (daily pruned samples, one partition per build date)
     then finalize: read back, re-prune per day, add up."""
     from hangscope.plans.jobs import finalize_daily
-    from hangscope.sources.profiles import scratch_path, write_daily
+    from hangscope.sources.profiles import scratch_path
+    from hangscope.sources.snapshots import write_days
     i = derived_inputs(spark, sf, DEFAULT)
     path = scratch_path(spark, "daily")
-    write_daily(PL.samples(i, DEFAULT, cumulative=False), path)
+    write_days(PL.samples(i, DEFAULT, cumulative=False), path)
     s = finalize_daily(spark, path, DEFAULT)
     return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
                     "pending_input", "platform", "sample_ms", "sample_count")
@@ -139,10 +140,11 @@ def q_finalize(spark: SparkSession, sf: str) -> DataFrame:
 @query("post_sample")
 def q_post_sample(spark: SparkSession, sf: str) -> DataFrame:
     from hangscope.plans.jobs import finalize_daily
-    from hangscope.sources.profiles import scratch_path, write_daily
+    from hangscope.sources.profiles import scratch_path
+    from hangscope.sources.snapshots import write_days
     i = derived_inputs(spark, sf, DEFAULT)
     path = scratch_path(spark, "daily")
-    write_daily(PL.samples(i, DEFAULT, cumulative=False), path)
+    write_days(PL.samples(i, DEFAULT, cumulative=False), path)
     s = finalize_daily(spark, path, DEFAULT.with_(post_sample_size=0.5))
     return s.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
                     "pending_input", "platform", "sample_ms", "sample_count")
@@ -247,10 +249,11 @@ def q_hist_add(spark: SparkSession, sf: str) -> DataFrame:
 def q_read_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Daily increments written by build date, read back for a window
     (only the window's partitions are listed and read)."""
-    from hangscope.sources.profiles import read_daily, scratch_path, write_daily
+    from hangscope.sources.profiles import scratch_path
+    from hangscope.sources.snapshots import read_days, write_days
     path = scratch_path(spark, "daily")
-    write_daily(PL.samples(derived_inputs(spark, sf, DEFAULT), DEFAULT, cumulative=False), path)
-    d = read_daily(spark, path, "19950101", "19961231")
+    write_days(PL.samples(derived_inputs(spark, sf, DEFAULT), DEFAULT, cumulative=False), path)
+    d = read_days(spark, path, "19950101", "19961231")
     return d.select(stack_text(F.col("pruned")).alias("stack"), "thread", "build_date", "runnable",
                     "pending_input", "platform", "hang_ms", "hang_count")
 
@@ -259,7 +262,5 @@ def q_read_profile(spark: SparkSession, sf: str) -> DataFrame:
 def q_module_key(spark: SparkSession, sf: str) -> DataFrame:
     """M9: the text key ``name\\id`` of a module (``None`` for a missing id);
     joins use the two columns, this is the printable form only."""
-    from hangscope.sources.pings import hang_pings
-    mods = hang_pings(derived.raw_pings(spark, sf), DEFAULT).select(F.explode("modules").alias("m")).select("m.*").distinct()
-    return mods.select("debug_name", "breakpad_id",
+    return derived.part_modules(spark, sf).distinct().select("debug_name", "breakpad_id",
                        F.concat(F.col("debug_name"), F.lit("\\"), F.coalesce(F.col("breakpad_id"), F.lit("None"))).alias("module_key"))

@@ -68,9 +68,15 @@ def materialize(df):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_materialized(spark: SparkSession) -> None:
-    """Delete the tables that :func:`materialize` wrote, once no result needs them."""
+def materialized_mark(spark: SparkSession) -> int:
+    """How many tables :func:`materialize` has written so far."""
+    return len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+
+
+def clear_materialized(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that :func:`materialize` wrote (from the mark ``since`` on), once no result needs them."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    paths = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    while len(paths) > since:
+        p = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         p.getFileSystem(conf).delete(p, True)

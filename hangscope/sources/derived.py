@@ -146,6 +146,51 @@ def symbol_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (k * 16).alias("address"), sym.alias("symbol")))
 
 
+def part_modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Modules named after parts: names with blanks, ids with a ``#``, every tenth without an id."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.col("p_name"), F.when(k % 2 == 0, F.lit(".pdb")).otherwise(F.lit(".so"))).alias("debug_name"),
+        F.when(k % 10 != 9, F.concat(F.col("p_brand"), F.lit("*"), k.cast("string"))).alias("breakpad_id"))
+
+
+def _json_frame(li: Column) -> Column:
+    """JSON text of one line item's frame; frames of line items with quantity above 45 are lists of three (malformed)."""
+    f = _frame_of(li)
+    return (F.when(f["kind"] == "label", F.concat(F.lit('"'), f["label"], F.lit('"')))
+             .otherwise(F.concat(F.lit("["), f["module_index"].cast("string"), F.lit(',"'), f["offset"], F.lit('"'),
+                                 F.when(li["l_quantity"] > 45, ",0").otherwise(""), F.lit("]"))))
+
+
+def json_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pings as JSON lines (``ping_id, doc_type, channel, value``), one per order.
+
+    Every 11th has its build id as a number, every 13th a usage time that is no
+    integer, every 17th is cut short; those of every 19th lack the payload."""
+    li = table(spark, sf_dir, "lineitem")
+    items = F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")))
+    stacks = (li.groupBy(F.col("l_orderkey").alias("ping_id")).agg(items.alias("items"))
+                .select("ping_id", F.concat(F.lit("["), F.concat_ws(",", F.transform("items", _json_frame)), F.lit("]")).alias("stack")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    p = hang_columns(ping_columns(spark, sf_dir)).repartition(n, "ping_id").join(stacks, "ping_id", "left")
+    k = F.col("ping_id")
+    text = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
+    modules = ",".join(f'["lib{r}{".pdb" if r % 2 == 0 else ".so"}",{"null" if r == 9 else chr(34) + f"ID{r}" + chr(34)}]' for r in range(10))
+    notes = F.concat_ws(",", F.when(F.col("pending_input"), F.lit('"PendingInput":"true"')), F.when(F.col("cpu_high"), F.lit('"ExternalCPUHigh":true')),
+                        F.when(F.col("paint"), F.lit('"PaintWhileInterruptingJS":1')))
+    hang = F.concat(F.lit('{"stack":'), F.coalesce(F.col("stack"), F.lit("[]")), F.lit(',"duration":'), F.col("duration").cast("string"),
+                    F.lit(',"thread":'), text(F.col("thread")), F.lit(',"runnableName":'), text(F.col("runnable")),
+                    F.lit(',"process":"default","annotations":{'), notes, F.lit("}}"))
+    payload = F.concat(F.lit('{"timeSinceLastPing":'), F.col("since_ms").cast("string"), F.when(k % 13 == 0, ".5").otherwise(""),
+                       F.lit(f',"modules":[{modules}],"hangs":['), hang, F.lit("]}"))
+    build = F.when(k % 11 == 0, F.col("build_id")).otherwise(text(F.col("build_id")))
+    line = F.concat(F.lit('{"meta":{"docType":"bhr"},"environment":{"system":{"os":{"name":'), text(F.col("os_name")), F.lit(',"version":'), text(F.col("os_version")),
+                    F.lit('}}},"application":{"architecture":'), text(F.col("arch")), F.lit(',"buildId":'), build, F.lit("}"),
+                    F.when(k % 19 == 0, F.lit("")).otherwise(F.concat(F.lit(',"payload":'), payload)), F.lit("}"))
+    return p.select("ping_id", F.when(F.substring("build_id", 1, 8) <= DOC_TYPE_CUTOVER, "OTHER").otherwise("bhr").alias("doc_type"),
+                    F.lit("nightly").alias("channel"), F.when(k % 17 == 0, F.substring(line, 1, 100)).otherwise(line).alias("value"))
+
+
 def symbol_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``symbol_line`` view: Breakpad text lines (FUNC for every symbol,
     some with the ``m`` flag, and a PUBLIC line that shadows every 4th)."""

@@ -8,12 +8,13 @@ Parquet scan.  Nested schema pruning keeps the scan to the paths projected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hangscope.config import DOC_TYPE_CUTOVER, HangConfig
 from hangscope.functions.frames import sample_keep
-from hangscope.schemas import RAW_FRAME
+from hangscope.schemas import PING, RAW_FRAME
 
 
 def next_day(yyyymmdd: str) -> str:
@@ -57,24 +58,33 @@ def scan_hang_pings(raw: DataFrame, cfg: HangConfig) -> DataFrame:
     return out
 
 
+def at_path(pings: DataFrame, path: str) -> Column:
+    """The column at a nested path, or nulls of the type of ``schemas.PING`` where the store's schema lacks it."""
+    held, wanted = pings.schema, PING
+    there = True
+    for name in path.split("."):
+        there = there and isinstance(held, T.StructType) and name in held.names
+        held, wanted = held[name].dataType if there else None, wanted[name].dataType
+    return F.col(path) if there else F.lit(None).cast(wanted)
+
+
 def project_properties(pings: DataFrame, cfg: HangConfig) -> DataFrame:
     """The nested paths the job reads, as flat columns.
 
-    With ``exclude_modules`` the module list is not read and every native
-    frame decodes to "no module".
+    A path that the store lacks is null in every ping; if P1 needs it, the day
+    is empty.  With ``exclude_modules`` the module list is not read and every
+    native frame decodes to "no module".
     """
-    modules = (F.array().cast("array<struct<debug_name:string,breakpad_id:string>>") if cfg.exclude_modules
-               else F.coalesce(F.col("payload.modules"),
-                               F.array().cast("array<struct<debug_name:string,breakpad_id:string>>")))
+    none = F.array().cast("array<struct<debug_name:string,breakpad_id:string>>")
     return pings.select(
         F.col("ping_id"),
-        F.col("environment.system.os.name").alias("os_name"),
-        F.col("environment.system.os.version").alias("os_version"),
-        F.col("application.architecture").alias("arch"),
-        F.col("application.buildId").alias("build_id"),
-        F.col("payload.timeSinceLastPing").alias("since_ms"),
-        modules.alias("modules"),
-        F.col("payload.hangs").alias("hangs"),
+        at_path(pings, "environment.system.os.name").alias("os_name"),
+        at_path(pings, "environment.system.os.version").alias("os_version"),
+        at_path(pings, "application.architecture").alias("arch"),
+        at_path(pings, "application.buildId").alias("build_id"),
+        at_path(pings, "payload.timeSinceLastPing").alias("since_ms"),
+        (none if cfg.exclude_modules else F.coalesce(at_path(pings, "payload.modules"), none)).alias("modules"),
+        at_path(pings, "payload.hangs").alias("hangs"),
     )
 
 

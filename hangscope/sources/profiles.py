@@ -3,8 +3,7 @@
 Outputs are directories Spark writes in parallel; the original's local file
 plus object-store upload becomes a path (any Hadoop filesystem).
 
-* daily increments: long tables partitioned by ``build_date`` and written
-  with dynamic partition overwrite, so rewriting a day replaces only it;
+* daily increments: long tables by build date (``sources.snapshots``);
 * profiles: chunks of each section (``write_chunks``, the default), or one
   gzip JSON document per thread (``write_profile``);
 * split profiles: each section as its own table partitioned by ``thread``
@@ -14,12 +13,10 @@ plus object-store upload becomes a path (any Hadoop filesystem).
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hangscope.config import HangConfig
 from hangscope.session import ensure_checkpoint_dir
@@ -30,62 +27,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hangscope-out/{name}-{uuid.uuid4().hex}"
 
 
-def output_name(name: str, cfg: HangConfig, date_suffix: str | None = None) -> str:
-    """File naming of the original: ``name[-YYYYMMDD]`` (``append_date``)."""
-    return f"{name}-{date_suffix}" if cfg.append_date and date_suffix else name
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return fs.exists(p)
-
-
-def write_daily(df: DataFrame, path: str, start: str | None = None, end: str | None = None) -> None:
-    """S12 (increments): overwrite the build dates present in ``df``, each as
-    few files (rows are dealt by date and a salt first); with a window, remove
-    earlier partitions of its dates that ``df`` has no rows for.  The schema is
-    kept beside the partitions, so a store without rows can be read."""
-    spark = df.sparkSession
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns if c != "build_date"]), F.lit(8))
-    (df.repartition("build_date", salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("build_date").parquet(path))
-    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_schema")
-    if start is None and end is None:
-        return
-    root, fs = _hadoop_path(spark, path)
-    days = {f.getPath().getName().removeprefix("build_date="): f.getPath() for f in fs.listStatus(root)
-            if f.getPath().getName().startswith("build_date=")}
-    inside = {d for d in days if (start is None or d >= start) and (end is None or d <= end)}
-    if inside:
-        written = {r[0] for r in df.select("build_date").distinct().collect()}   # a row per date of the window
-        for d in inside - written:
-            fs.delete(days[d], True)
-
-
-def read_daily(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """S11 (increments): read back a build-date range (partition pruning).
-    Build dates stay text (partition discovery would type them as numbers)."""
-    reader = spark.read
-    if path_exists(spark, f"{path}/_schema"):
-        kept = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/_schema").first()[0]))
-        reader = reader.schema(T.StructType([f for f in kept.fields if f.name != "build_date"] + [kept["build_date"]]))
-    df = reader.parquet(path).withColumn("build_date", F.col("build_date").cast("string"))
-    if start is not None:
-        df = df.where(F.col("build_date") >= start)
-    if end is not None:
-        df = df.where(F.col("build_date") <= end)
-    return df
+def output_name(name: str, cfg: HangConfig) -> str:
+    """File naming of the original: ``name[-YYYYMMDD]``, the date being the run's (``append_date``)."""
+    return f"{name}-{cfg.run_date}" if cfg.append_date else name
 
 
 def write_profile(packed: DataFrame, usage_json: DataFrame, path: str, run_id: str) -> None:
     """One gzip JSON document per thread, with the usage hours and the
-    run id (the original's second copy under the run uuid is the ``uuid``
-    column here)."""
+    run id."""
     packed.write.mode("overwrite").option("compression", "gzip").json(f"{path}/threads")
     usage_json.withColumn("uuid", F.lit(run_id)).write.mode("overwrite").option("compression", "gzip").json(
         f"{path}/meta")
@@ -102,9 +51,22 @@ def write_chunks(chunks: DataFrame, usage_json: DataFrame, path: str, run_id: st
     usage_json.withColumn("uuid", F.lit(run_id)).write.mode("overwrite").option("compression", "gzip").json(f"{path}/meta")
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """The chunks written by :func:`write_chunks`."""
-    return spark.read.schema("thread string, date string, chunk long, rows long, entries string, section string").json(f"{path}/chunks")
+def read_chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The chunks written by :func:`write_chunks` at a path, or at several; ``profile_of`` is the path's last name."""
+    paths = [path] if isinstance(path, str) else path
+    # paths are read as plain folders: each has its own partition folders
+    df = (spark.read.schema("thread string, date string, chunk long, rows long, entries string")
+          .option("recursiveFileLookup", True).json([f"{p.rstrip('/')}/chunks" for p in paths]))
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return df.select("*", F.regexp_extract(file, "/section=([^/]+)/", 1).alias("section"),
+                     F.regexp_extract(file, "/([^/]+)/chunks/", 1).alias("profile_of"))
+
+
+def read_usage(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``build_date, usage_h`` of the meta documents at a path or several."""
+    paths = [path] if isinstance(path, str) else path
+    meta = spark.read.schema("usageHoursByDate string").json([f"{p.rstrip('/')}/meta" for p in paths])
+    return meta.select(F.explode(F.from_json("usageHoursByDate", "map<string,double>")).alias("build_date", "usage_h"))
 
 
 def write_split(tables, path: str, minimal: bool = False) -> DataFrame:
@@ -121,6 +83,17 @@ def write_split(tables, path: str, minimal: bool = False) -> DataFrame:
     return manifest
 
 
+def read_split(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The sections written by :func:`write_split`, as ``operators.reingest`` decodes other forms."""
+    from hangscope.operators.reingest import FIELDS
+    out = {}
+    for section, fields in FIELDS.items():
+        dated = "date string, " if section == "dates" else ""
+        rows = spark.read.schema(f"{dated}idx long, {fields}, thread string").parquet(f"{path}/{section}")
+        out[section] = rows.withColumn("profile", F.lit(""))
+    return out
+
+
 def write_split_main(manifest: DataFrame, usage_json: DataFrame, path: str, run_id: str) -> None:
     """The main file of a split profile: usage hours, run id and the split
     mark in ``main/meta``, and a row per thread in ``main/splitFiles`` with its

@@ -16,13 +16,14 @@ from hangscope.functions.frames import LONG_MAX, hex_to_bigint, truncate_symbol
 _TRAILING_BLANKS = r"[ \t\n\r\x0b\x0c]+$"
 
 
-def parse_symbol_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_symbol_lines(lines: DataFrame, failfast: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(debug_name, breakpad_id, line_no, line)`` -> (symbols, rejects).
 
     ``PUBLIC [m] addr param name...`` and ``FUNC [m] addr size param name...``
     are kept; other lines are ignored.  The name is the rest of the line cut to
     200 characters.  A line with too few fields or an address that is not hex
-    goes to ``rejects`` with its reason instead of failing the job.
+    goes to ``rejects`` with its reason; with ``failfast`` it fails the job that
+    reads the symbols instead.
     """
     is_public, is_func = F.col("line").startswith("PUBLIC "), F.col("line").startswith("FUNC ")
     # one pattern per kind; an optional "m " second field shifts the others.
@@ -45,7 +46,8 @@ def parse_symbol_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
                            F.when(F.col("ok"), F.col("name")).alias("name"),
                            F.when(F.col("ok"), hex_to_bigint(F.col("addr_text"))).alias("address"))
     ok = F.col("name").isNotNull() & F.col("address").isNotNull() & (F.col("address") != LONG_MAX)
-    symbols = parsed.where(ok).select("debug_name", "breakpad_id", "kind", "address",
+    bad = F.raise_error(F.concat(F.lit("symbol line can't be parsed: "), F.col("line"))).cast("boolean")
+    symbols = parsed.where(F.when(ok, F.lit(True)).otherwise(bad) if failfast else ok).select("debug_name", "breakpad_id", "kind", "address",
                                       truncate_symbol(F.col("name")).alias("symbol"), "line_no")
     rejects = parsed.where(~ok).select(
         "debug_name", "breakpad_id", "line_no", "line",

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 from hangscope.config import DEFAULT
 from hangscope.sources import derived
 
@@ -79,7 +79,7 @@ def test_tracked_stats_merge_into_store(spark):
     from hangscope.operators.histograms import merge_histograms
     from hangscope.plans import pipelines as PL
     from hangscope.plans.jobs import derived_inputs, etl_tracked_stats
-    from hangscope.sources.profiles import read_daily
+    from hangscope.sources.snapshots import read_days
     pings, lines = _src(spark)
     store = _out(spark) + "/tracked"
     w1 = DEFAULT.with_(start_date="19950101", end_date="19960601")
@@ -89,7 +89,7 @@ def test_tracked_stats_merge_into_store(spark):
     h1 = PL.histogram_rates(derived_inputs(spark, SF_SMALL, w1), w1)
     h2 = PL.histogram_rates(derived_inputs(spark, SF_SMALL, w2), w2)
     want = merge_histograms(h1, h2)
-    got = read_daily(spark, store).select(*want.columns)
+    got = read_days(spark, store).select(*want.columns)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(got) == rows(want)
     # earlier-only dates kept (1995), overlap replaced by the new window

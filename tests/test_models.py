@@ -67,7 +67,7 @@ def test_dense_index_is_dense(spark):
     from hangscope.operators.profile import dense_index
     df = spark.createDataFrame([(t, f"k{i}") for t in ("a", "b") for i in range(37 if t == "a" else 5)],
                                "thread string, key string")
-    got = dense_index(df, ["thread"], ["key"], n_sub=4).collect()
+    got = dense_index(df, ["thread"], ["key"]).collect()
     for t, n in (("a", 37), ("b", 5)):
         assert sorted(r.idx for r in got if r.thread == t) == list(range(n))
 

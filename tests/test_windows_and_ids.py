@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tests.conftest import SF_SMALL
 from hangscope.config import DEFAULT, HangConfig
 from hangscope.functions.frames import sample_keep, stack_id
 from hangscope.sources import derived
@@ -107,7 +107,7 @@ def test_symbol_files_with_odd_names(spark):
 def test_increments_keep_usage_and_drop_stale_days(spark):
     from hangscope.operators.rates import usage_hours_by_date
     from hangscope.plans.jobs import etl_incremental_finalize, etl_incremental_write, inputs_for
-    from hangscope.sources.profiles import read_daily
+    from hangscope.sources.snapshots import read_days
     import json
     pings, lines = derived.raw_pings(spark, SF_SMALL), derived.symbol_lines(spark, SF_SMALL)
     cfg = DEFAULT.with_(start_date="19950101", end_date="19960101")
@@ -117,7 +117,7 @@ def test_increments_keep_usage_and_drop_stale_days(spark):
     etl_incremental_write(pings, lines, cfg, store)
     few = cfg.with_(hang_lower_bound=14500)
     etl_incremental_write(pings, lines, few, store)
-    days = {r[0] for r in read_daily(spark, f"{store}/samples").select("build_date").distinct().collect()}
+    days = {r[0] for r in read_days(spark, f"{store}/samples").select("build_date").distinct().collect()}
     assert 0 < len(days) < 12
     path = etl_incremental_finalize(spark, few, store, _out(spark))
     hours = json.loads(spark.read.json(f"{path}/meta").first().usageHoursByDate)
@@ -126,11 +126,11 @@ def test_increments_keep_usage_and_drop_stale_days(spark):
 
 
 def test_increments_without_rows_can_be_finalized(spark):
-    from hangscope.sources.profiles import read_daily, write_daily
+    from hangscope.sources.snapshots import read_days, write_days
     store = _out(spark) + "/none"
     df = spark.createDataFrame([("19950101", 1, "x")], "build_date string, n int, s string")
-    write_daily(df.where("false"), store, "19950101", "19950102")
-    back = read_daily(spark, store)
+    write_days(df.where("false"), store, "19950101", "19950102")
+    back = read_days(spark, store)
     assert back.count() == 0 and sorted(back.columns) == ["build_date", "n", "s"]
 
 
