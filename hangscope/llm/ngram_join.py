@@ -12,7 +12,13 @@ recall for a pair that only meets in buckets that must be split to the last
 level.  A pair that shares shingles found in at most ``SMALL`` sets is missed
 with a probability below 1e-6.
 
-Dense buckets.  In a bucket that is too large, every set is first compared with
+Dense buckets.  Of a set's picks at most the share ``1 - similarity`` misses a
+given similar set, in expectation and independently of each other.  So a set
+with so many picks in small buckets that all of them missing a partner has a
+probability below ``MISS`` has met its partners there, whatever its other picks
+are: a passage or line that many documents share doesn't send them on.  Only
+sets that lie mostly in large buckets go on (a pair needs one of its sets to
+be done).  In a bucket that is too large, each of those is first compared with
 one set of it, the pivot: the one that shares the most, over all large buckets,
 with others, which in a group of near copies is the text they stem from.  Then
 the sets' groups are worked out from all links so far; sets of one group are
@@ -70,6 +76,8 @@ COUNTED = 512          # sets of a group whose partners are counted at a time wi
 SHINGLES = 1 << 20     # that such sets hold, about
 BITS = 1024            # of a sketch
 WORK = 3000            # pairs per set that may be left to the blocks
+MISS = 1e-4            # probability that a set which leaves large buckets misses a partner
+PICKS = 128            # counts of picks that are looked up
 PAIRS = 1 << 17        # sketch pairs compared at a time
 PIECE = 1 << 18        # bytes hashed at a time
 TEXTS = 1000           # texts worked on at a time
@@ -191,6 +199,20 @@ def runs_for(recall: float, similarity: float, first: float = FIRST, nxt: float
     return max(1, math.ceil(math.log(1 - recall) / math.log(miss)))
 
 
+def picks_to_be_done(picks: int, similarity: float, miss: float) -> int:
+    """How many of its ``picks`` a set must have in small buckets, so that all of those miss a similar set with a probability of ``miss`` at most.
+
+    Each pick is shared by the other set with a probability of at least the
+    similarity: the larger set's picks are all picked by the smaller one if
+    that holds the shingle, and the smaller one's at the ratio of their sizes."""
+    tail = 0.0
+    for t in range(picks, 0, -1):
+        tail += math.comb(picks, t) * (1 - similarity) ** t * similarity ** (picks - t)
+        if tail > miss:
+            return t + 1
+    return 1
+
+
 def _sketch(s: np.ndarray) -> bytes:
     """For each of BITS bins whether an odd number of the hashes falls into it."""
     return np.packbits(np.bincount((mix(s ^ _U(0x5BF03635)) % _U(BITS)).astype(np.int64), minlength=BITS) & 1 == 1).tobytes()
@@ -382,18 +404,30 @@ def _children(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _buckets(rows: DataFrame, roots: DataFrame | None, name: str) -> DataFrame:
     """``node, cid, n, root, m`` of the buckets that hold sets of different groups, written."""
-    if roots is not None:
-        rows = rows.join(roots, "cid", "left")
-    rows = rows.select("node", "cid", "n", (F.coalesce("root", "cid") if roots is not None else F.col("cid")).alias("root"))
+    if roots is not None:       # a set meets its group once, not once per bucket
+        by_set = rows.groupBy("cid", "n").agg(F.collect_list("node").alias("nodes")).join(roots, "cid", "left")
+        rows = by_set.select(F.explode("nodes").alias("node"), "cid", "n", F.coalesce("root", "cid").alias("root"))
+    else:
+        rows = rows.select("node", "cid", "n", F.col("cid").alias("root"))
     stats = rows.groupBy("node").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
     return written(rows.join(stats.select("node", "m"), "node"), name)
 
 
 def _pivot_pairs(large: DataFrame) -> DataFrame:
     """Each set of a large bucket with the bucket's pivot."""
-    shared = large.groupBy("cid").agg((F.sum("m") + F.pmod(F.xxhash64("cid"), F.lit(1024)) / 2048).alias("shared"))
-    pivots = large.join(shared, "cid").groupBy("node").agg(F.max_by("cid", "shared").alias("pivot"))
-    return large.join(pivots, "node").filter("cid != pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
+    by_set = large.groupBy("cid").agg((F.sum("m") + F.pmod(F.xxhash64("cid"), F.lit(1024)) / 2048).alias("shared"), F.collect_list("node").alias("nodes"))
+    rows = by_set.select(F.explode("nodes").alias("node"), "cid", "shared")
+    pivots = rows.groupBy("node").agg(F.max_by("cid", "shared").alias("pivot"))
+    return rows.join(pivots, "node").filter("cid != pivot").select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct()
+
+
+def _undone(large: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """``cid`` of the sets whose picks in small buckets don't suffice to have met their partners there."""
+    need = F.array(*[F.lit(picks_to_be_done(k, similarity, MISS)) for k in range(PICKS)])
+    held = large.groupBy("cid").agg(F.count("*").alias("large")).join(classes.select("cid", F.size("nodes").alias("picks")), "cid")
+    # a set of more picks than are looked up needs the same share at most
+    enough = F.when(F.col("picks") < PICKS, F.get(need, F.col("picks"))).otherwise(F.ceil(F.col("picks") * (picks_to_be_done(PICKS - 1, similarity, MISS) / (PICKS - 1))))
+    return held.filter(F.col("picks") - F.col("large") < enough).select("cid")
 
 
 def _by_size(rows: DataFrame, similarity: float) -> DataFrame:
@@ -528,7 +562,7 @@ def count_links(docs: DataFrame, classes: DataFrame, links: DataFrame, roots: Da
 
 def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Verified links ``a < b`` between classes (``cid, doc, th, n, nodes, sketch``) that connect all groups, ``cid, root`` of the linked ones,
-    and the ``cid`` of those in large buckets, where links within a group may lack."""
+    and the ``cid`` of those that went on into large buckets, where links within a group may lack."""
     def check(pairs: DataFrame, name: str, boxed: DataFrame | None = None) -> DataFrame:
         pairs = written(pairs.distinct(), f"pairs-{name}")
         members = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
@@ -546,15 +580,17 @@ def find_links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, simi
         return (rows.filter(~is_small).agg(F.sum((F.col("m") - 1) / 2)).first()[0] or 0) <= WORK * n_classes
 
     rows = _buckets(classes.select(F.explode("nodes").alias("node"), "cid", "n"), None, "buckets")
+    small, large = rows.filter(is_small), rows.filter(~is_small)
+    dense = written(_undone(large, classes, similarity), "undone")
+    rows = _buckets(large.join(dense, "cid", "left_semi"), None, "undone-buckets")
     large = rows.filter(~is_small)
-    dense = large.select("cid").distinct()
-    links = check(single(box_pairs(rows.filter(is_small), classes, similarity)).union(plausible(_pivot_pairs(large), classes, similarity)), "0")
+    links = check(single(box_pairs(small.unionByName(rows.filter(is_small)), classes, similarity)).union(plausible(_pivot_pairs(large), classes, similarity)), "0")
     roots = components(links)
     for level in range(LEVELS + 1):
         if large.isEmpty():
             break
         rows = _buckets(large.select("node", "cid", "n"), roots, "open")
-        if not few_left(rows):
+        if not few_left(rows) and level == 0:       # the bands of deeper buckets are those of their parents
             rows = _buckets(_by_size(rows, similarity), roots, "bands")
         large = rows.filter(~is_small)
         last = few_left(rows) or level == LEVELS
