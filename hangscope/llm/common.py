@@ -63,6 +63,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(df: DataFrame, count: int) -> list[str]:
+    """Column names that ``df`` doesn't have (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    return [n for n in (f"own_{i}" for i in range(count + len(taken))) if n not in taken][:count]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, everything else untouched.  ``lower`` does the same on pure ASCII text and is faster."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))

@@ -6,27 +6,30 @@ the others form that domain's lexicon, and a linear discriminant over lexicon
 scores and shape (length, repetition, characters per word) turns them into posteriors.  Rates r >= 0, one per
 document, are then fitted so that the expected tokens of each domain,
 sum of r_i * n_i * p_i, meet the targets in least squares (weighted by the
-inverse of the domains' Gram matrix); rates have no upper bound unless one is
-given.  The fit is projected gradient from
-r = 1 with step 1, its Lipschitz bound in the metric of the document lengths,
-so an attainable target is met with the least change of rates.  It goes on
-until the targets are met to ``CLOSE`` or a step moves the rates by at most
-``STILL`` (root mean square, bounded by the fall of the objective) and the moves
-no longer shrink by a share from step to step, as on the way to targets that
-can't be met; what is
-left to each target is a column of the result and, beyond ``CLOSE``, a warning.
+inverse of the domains' Gram matrix); rates have no upper bound.
+
+The fit is projected gradient in its lazy form: the gradients are summed, and
+the projection onto nonnegative rates is applied to the sum.  As the gradient
+of a rate is its document's posteriors times one vector, the sum is a vector of
+as many numbers as there are domains, ``y``, and a rate is max(0, 1 - p . y):
+an attainable target is met with the least change of rates.  Each step takes
+the metric of the documents whose rate is above zero, and is shortened until the
+(convex) dual falls; so targets at the edge of what the posteriors allow take
+some tens of steps too.  ``SMOOTH``, the weight of the rates' change beside
+the miss, lets targets beyond that end in least squares.  The fit ends when the
+gradient of the dual is below a tenth of ``CLOSE``; what is left to each target is a
+column of the result and, beyond ``CLOSE``, a warning.
 
 DataFrame functions only.  The texts are read twice: once for the labelled
 sample (at most ``SAMPLE`` rows, by hash), once for all features, which are
-then a narrow table.  A gradient step is one aggregate of as many sums as
-there are domains; the driver holds their history, never rates.  Rates are
-written out every ``FOLD`` steps, so expressions stay bounded.
+then a narrow table.  A step is one aggregate of a few sums per pair of
+domains; the driver holds ``y``, never rates.
 
 Edge cases: null, empty and wordless texts have no tokens and the rate 1; a
 label row without document, with a null flag or id is not learned from; a
 domain without labelled documents has posterior 0; with no labels at all,
 posteriors are equal; target weights need not add up to 1; targets
-at or beyond what posteriors allow are approached in least squares, by hundreds of steps and more; repeated rows have equal rates; other columns are ignored.
+beyond what posteriors allow are met in least squares; repeated rows have equal rates; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words, written
+from .common import own_names, words, written
 from .decontaminate import sized
 
 DOMAINS = ["high", "low", "toxic"]
@@ -46,10 +49,8 @@ TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
 SAMPLE = 20_000
 MIN_DOCS = 5           # labelled documents that must hold a lexicon word
 MIN_LOG_RATIO = 2.0
-FOLD = 20
-MAX_RATE = math.inf    # most copies of a document
-CLOSE = 1e-6           # of the total: largest miss of a target that ends the fit
-STILL = 1e-3           # copies: root mean square move of the rates that ends it
+CLOSE = 1e-6           # of the total: largest miss of a target that isn't told
+SMOOTH = 1e-11         # weight of the rates' change beside the miss
 FEATURES = ["f_low", "f_toxic", "f_distinct", "f_chars", "f_words"]
 
 
@@ -142,50 +143,71 @@ def posteriors(feats: DataFrame, scores: dict[str, list[float]]) -> DataFrame:
     return feats.withColumn("p", F.array(*[(e[d] / total) if d in e else F.lit(0.0) for d in DOMAINS]))
 
 
-def _dot(p: Column, v) -> Column:
-    return sum(p[i] * F.lit(float(x)) for i, x in enumerate(v))
+def find_multipliers(look, aim: np.ndarray, steps: int | None = None, close: float = CLOSE) -> tuple[np.ndarray, np.ndarray, int]:
+    """``y`` of the rates max(0, 1 - p . y), the miss that they leave, and how often ``look`` was called (``steps`` at most).
+
+    ``look(y)`` gives, over all documents with the weight of their tokens, half
+    the mean squared rate, the domains' shares, and the Gram matrix of those
+    with a rate above zero."""
+    y = np.zeros(len(aim))
+    looks, metric = 0, None
+
+    def at(y):
+        nonlocal looks, metric
+        looks += 1
+        half, shares, gram = look(y)
+        metric = gram if metric is None else metric     # of all documents, at y = 0
+        drift = SMOOTH * (metric @ y)
+        return half + aim @ y + y @ drift / 2, shares - aim - drift, gram, shares - aim
+
+    value, slope, gram, miss = at(y)
+    # what no document has posteriors for can't be changed
+    reach = np.linalg.pinv(metric, rcond=1e-9) @ metric
+    while np.abs(reach @ slope).max() > close / 10 and looks != steps:
+        slope = reach @ slope
+        move, step = np.linalg.lstsq(gram + SMOOTH * metric, slope, rcond=None)[0], 1.0
+        if slope @ move <= 1e-15:
+            break
+        while looks != steps:
+            found = at(y + step * move)
+            if found[0] <= value - 1e-4 * step * (slope @ move) or step < 1e-8:
+                break
+            step /= 4
+        if found[0] >= value:
+            break
+        y = y + step * move
+        value, slope, gram, miss = found
+    return y, miss, looks
 
 
-def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int | None = None, close: float = CLOSE,
-              max_rate: float = MAX_RATE) -> DataFrame:
+def fit_rates(docs: DataFrame, targets: dict[str, float] = TARGETS, steps: int | None = None, close: float = CLOSE) -> DataFrame:
     """``rate`` for each row of ``docs`` (``n_tokens, times, p``): nonnegative, and the domains' expected tokens in proportion ``targets``.
 
     ``miss``, the same in all rows, has the share of the total by which each of DOMAINS is off its target.  ``steps`` limits the fit."""
     k = len(DOMAINS)
     n, p = (F.col("n_tokens") * F.col("times")).cast("double"), F.col("p")
-    sums = docs.agg(F.sum(n).alias("n"), *[F.sum(n * p[a] * p[b]).alias(f"{a}_{b}") for a in range(k) for b in range(k)]).first()
-    if not sums["n"]:
+    total = docs.agg(F.sum(n).alias("n")).first()["n"]
+    if not total:
         return docs.withColumn("rate", F.lit(1.0)).withColumn("miss", F.array(*[F.lit(0.0)] * k))
-    gram = np.array([[sums[f"{a}_{b}"] for b in range(k)] for a in range(k)]) / sums["n"]
-    weight = np.linalg.pinv(gram, rcond=1e-9)
     aim = np.array([targets.get(d, 0.0) for d in DOMAINS])
     aim = aim / max(aim.sum(), 1e-300)
-    rows, history = docs.withColumn("rate", F.lit(1.0)), []
-
-    def now() -> Column:
-        """The rate after the steps since it was last written."""
-        if not history:
-            return F.col("rate")
-        steps = F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history])
-        return F.aggregate(steps, F.col("rate"), lambda r, g: F.least(F.lit(float(max_rate)), F.greatest(F.lit(0.0), r - sum(p[i] * g[i] for i in range(k)))))
-
-    last, falls, done = None, [], 0
-    while True:
-        moved = rows.select(n.alias("n"), now().alias("r"), "p").agg(*[F.sum(F.col("n") * F.col("r") * F.col("p")[i]).alias(str(i)) for i in range(k)]).first()
-        miss = np.array([moved[str(i)] for i in range(k)]) / sums["n"] - aim
-        left = miss @ weight @ miss    # a step of the length 1 lowers it by the squared move at least
-        falls = falls[-1:] + ([] if last is None else [last - left])
-        still = len(falls) == 2 and falls[1] <= STILL ** 2 and falls[1] > 0.98 * falls[0]
-        if np.abs(miss).max() <= close or done == steps or still or (falls and falls[-1] <= (close / 10) ** 2):
-            break
-        last, done = left, done + 1
-        history.append(weight @ miss)
-        if len(history) == FOLD:
-            rows, history = written(rows.withColumn("rate", now()), "rates"), []
+
+    def rate(y) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) - sum(p[i] * F.lit(float(v)) for i, v in enumerate(y)))
+
+    def look(y):
+        held = docs.select(n.alias("n"), rate(y).alias("r"), "p")
+        live = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
+        got = held.agg(F.sum(F.col("n") * F.col("r") * F.col("r")).alias("half"), *[F.sum(F.col("n") * F.col("r") * p[a]).alias(f"s{a}") for a in range(k)],
+                       *[F.sum(live * p[a] * p[b]).alias(f"g{a}{b}") for a in range(k) for b in range(a, k)]).first()
+        gram = np.array([[got[f"g{min(a, b)}{max(a, b)}"] for b in range(k)] for a in range(k)])
+        return got["half"] / total / 2, np.array([got[f"s{a}"] for a in range(k)]) / total, gram / total
+
+    y, miss, looks = find_multipliers(look, aim, steps, close)
     if np.abs(miss).max() > close:
-        warnings.warn(f"targets missed after {done} steps, by domain: {dict(zip(DOMAINS, miss.round(6).tolist()))}", stacklevel=2)
+        warnings.warn(f"targets missed after {looks} steps, by domain: {dict(zip(DOMAINS, miss.round(6).tolist()))}", stacklevel=2)
     off = F.array(*[F.lit(float(x)) for x in miss])
-    return written(rows.withColumn("rate", F.when(F.col("n_tokens") > 0, now()).otherwise(1.0)).withColumn("miss", off), "rates")
+    return written(docs.withColumn("rate", F.when(F.col("n_tokens") > 0, rate(y)).otherwise(1.0)).withColumn("miss", off), "rates")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> DataFrame:
@@ -198,10 +220,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
 
 def apply_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """``docs`` with each row repeated floor(rate) times, and once more with the probability of the rest (by hash of id and text)."""
-    r = rates.select(F.col("doc").alias("__doc"), F.col("th").alias("__th"), "rate")
-    src = docs.withColumn("__t", F.xxhash64("text"))
-    u = F.pmod(F.xxhash64(F.lit("mix"), "__doc", "__th"), F.lit(1 << 30)) / float(1 << 30)
-    copies = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
-    r = r.select("__doc", "__th", copies.alias("__copies")).filter("__copies > 0")
-    out = src.join(r, src["doc_id"].eqNullSafe(r["__doc"]) & (src["__t"] == r["__th"]))
-    return out.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    doc, th, copies = own_names(docs, 3)
+    u = F.pmod(F.xxhash64(F.lit("mix"), "doc", "th"), F.lit(1 << 30)) / float(1 << 30)
+    times = (F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
+    r = rates.select(F.col("doc").alias(doc), F.col("th").alias(th), times.alias(copies)).filter(F.col(copies) > 0)
+    out = docs.join(r, docs["doc_id"].eqNullSafe(r[doc]) & (F.xxhash64(docs["text"]) == r[th]))
+    kept = out.select(*[docs[f"`{c}`"] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies))
+    return kept.drop(copies)

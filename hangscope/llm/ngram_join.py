@@ -64,7 +64,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_BYTES, arrow_rows, map_arrow, written
+from .common import WORD_BYTES, arrow_rows, map_arrow, own_names, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -655,7 +655,8 @@ def jaccard_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group."""
-    kept = jaccard_groups(docs, doc_id, text, counted=False).filter("keep").select(F.col("doc").alias("_doc"), F.col("th").alias("_th")).distinct()
-    src = docs.withColumn("_t", F.xxhash64(F.col(f"`{text}`")))
-    held = src.join(kept, src[f"`{doc_id}`"].eqNullSafe(kept["_doc"]) & (src["_t"] == kept["_th"]), "left_semi")
-    return held.dropDuplicates([doc_id, "_t"]).drop("_t")
+    doc, th, own = own_names(docs, 3)
+    kept = jaccard_groups(docs, doc_id, text, counted=False).filter("keep").select(F.col("doc").alias(doc), F.col("th").alias(th)).distinct()
+    src = docs.withColumn(own, F.xxhash64(F.col(f"`{text}`")))
+    held = src.join(kept, src[f"`{doc_id}`"].eqNullSafe(kept[doc]) & (src[own] == kept[th]), "left_semi")
+    return held.dropDuplicates([doc_id, own]).drop(own)

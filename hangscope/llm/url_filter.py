@@ -4,18 +4,20 @@ Rules name a host (and all its subdomains) and a path start; the longest that
 fits decides.  The urls that rules accept and reject train two smoothed
 variable-order Markov models over characters (Witten-Bell interpolation, up to
 ``ORDER`` characters).  Every other url gets the difference of its two
-log-likelihoods per character; it is accepted at or above a threshold, the
-middle between the mean scores of accepted and rejected urls of a held-out
-fifth that did not train the models.
+log-likelihoods per character, over the whole url with its scheme, query and
+fragment; it is accepted at or above a threshold.  That is calibrated on a
+held-out fifth of the ruled urls, which did not train the models: of ``BINS``
+cuts over the range of their scores the one with the least sum of the shares of
+accepted urls below it and rejected ones above (the middle one of equals).
 
-DataFrame functions only.  Urls are pre-aggregated to distinct (host, path)
+DataFrame functions only.  Urls are pre-aggregated to distinct ones
 with their counts; all rows count in training.  Characters fall into a fixed
 alphabet of ``SYMBOLS``, so the models together have at most
 SYMBOLS^1 + ... + SYMBOLS^ORDER rows whatever the corpus; they are broadcast
 only if counted at ``BROADCAST_ROWS`` or less, and joined by shuffle beyond.
 
-Edge cases: a null url, or one without ``://``, has an empty host and path and
-no rule; two rules of one length: the first in the list; when training lacks
+Edge cases: a null url (judged like an empty one), or one without ``://``, has
+an empty host and path and no rule; two rules of one length: the first in the list; when training lacks
 accepted or rejected urls, nothing can be told and the verdict is allow; a
 symbol that training never saw says nothing; repeated rows get equal verdicts;
 other columns are ignored.  An empty table gives an empty result.
@@ -23,6 +25,8 @@ other columns are ignored.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +34,9 @@ from .common import lower_ascii, written
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 ORDER = 4
-SYMBOLS = 37                  # a-z, 0 for any digit, . / - _ % ~, ^ $ for the ends, * for the rest
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_%~:?#=&+"      # 0 stands for any digit, * for all other characters
+SYMBOLS = len(ALPHABET) + 2   # that are predicted: the alphabet, * and the end mark $; ^ marks the start
+BINS = 512
 BROADCAST_ROWS = 300_000
 HELD_OUT = 5
 
@@ -52,10 +58,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def normal(host: Column, path: Column) -> Column:
+def normal(url: Column) -> Column:
     """The url in the models' alphabet, with its ends marked."""
-    s = F.regexp_replace(F.lower(F.concat(host, path)), r"[0-9]", "0")
-    return F.concat(F.lit("^" * (ORDER - 1)), F.regexp_replace(s, r"[^a-z0./\-_%~]", "*"), F.lit("$"))
+    text = F.regexp_replace(F.lower(F.coalesce(url, F.lit(""))), r"[0-9]", "0")
+    return F.concat(F.lit("^" * (ORDER - 1)), F.regexp_replace(text, f"[^{re.escape(ALPHABET)}]", "*"), F.lit("$"))
 
 
 def _spots(urls: DataFrame) -> DataFrame:
@@ -119,26 +125,36 @@ def score(urls: DataFrame, model: DataFrame) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> float | None:
-    """The middle between the mean scores of held-out accepted and rejected urls (``verdict, n, score``); None if either lacks."""
-    mean = lambda v: (F.sum(F.when(F.col("verdict") == v, F.col("n") * F.col("score"))) / F.sum(F.when(F.col("verdict") == v, F.col("n")))).alias(v)
-    row = scored.agg(mean("allow"), mean("block")).first()
-    return None if row["allow"] is None or row["block"] is None else round((row["allow"] + row["block"]) / 2, 9)
+    """The cut that separates held-out accepted and rejected urls (``verdict, n, score``) best; None if either lacks."""
+    of = lambda v: F.sum(F.when(F.col("verdict") == v, F.col("n"))).alias(v)
+    row = scored.agg(of("allow"), of("block"), F.min("score").alias("lo"), F.max("score").alias("hi")).first()
+    if row["allow"] is None or row["block"] is None:
+        return None
+    width = (row["hi"] - row["lo"]) / BINS
+    bins = scored.groupBy((F.floor((F.col("score") - row["lo"]) / width) if width else F.lit(0)).alias("bin")).agg(of("allow"), of("block")).collect()
+    counts = {r["bin"]: (r["allow"] or 0, r["block"] or 0) for r in bins}     # BINS + 1 rows at most
+    below, above, errors = 0, row["block"], []
+    for cut in range(BINS + 1):
+        errors.append(below / row["allow"] + above / row["block"])
+        allowed, blocked = counts.get(cut, (0, 0))
+        below, above = below + allowed, above - blocked
+    best = [cut for cut, e in enumerate(errors) if e <= min(errors) + 1e-12]
+    return round(row["lo"] + best[len(best) // 2] * width, 9)
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", rules=RULES) -> DataFrame:
     """``id, host, path, rule, verdict, score`` of each row; score is null where a rule decides."""
-    host, path = host_and_path(F.col(f"`{url}`"))
-    rows = pages.select(F.col(f"`{id_col}`").alias("id"), host.alias("host"), path.alias("path"))
-    keys = rows.groupBy("host", "path").agg(F.count("*").alias("n"))
-    name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    keys = written(keys.select("host", "path", "n", name.alias("rule"), verdict.alias("verdict"), normal(F.col("host"), F.col("path")).alias("s")), "urls")
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{url}`"), F.lit("")).alias("url"))
+    host, path = host_and_path(F.col("url"))
+    name, verdict = rule_of(host, path, rules)
+    keys = rows.groupBy("url").agg(F.count("*").alias("n"))
+    keys = written(keys.select("url", "n", verdict.alias("verdict"), normal(F.col("url")).alias("s")), "urls")
     held = F.crc32("s") % HELD_OUT == 0
     told = keys.filter("verdict IS NOT NULL").select("s", "verdict", "n", held.alias("held"))
     model = train(told.filter("NOT held"))
     scores = written(score(keys.filter(F.col("verdict").isNull() | held), model), "url-scores")
     limit = threshold(told.filter("held").join(scores, "s"))
     by_score = F.lit("allow") if limit is None else F.when(F.col("score") < limit, "block").otherwise("allow")
-    unruled = keys.filter("verdict IS NULL").join(scores, "s").select("host", "path", "score", by_score.alias("v"))
-    out = rows.join(unruled, ["host", "path"], "left")
-    name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return out.select("id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.col("v")).alias("verdict"), "score")
+    unruled = keys.filter("verdict IS NULL").join(scores, "s").select("url", "score", by_score.alias("v"))
+    out = rows.join(unruled, "url", "left")
+    return out.select("id", host.alias("host"), path.alias("path"), name.alias("rule"), F.coalesce(verdict, F.col("v")).alias("verdict"), "score")

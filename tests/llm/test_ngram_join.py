@@ -133,6 +133,25 @@ def test_one_of_each_group(corpus):
     assert sum(r.doc_id is None for r in kept.collect()) == 1
 
 
+def test_clashing_columns_stay(corpus):
+    clash = corpus.withColumnsRenamed({"node": "_t", "cid": "own_0"})
+    kept = J.one_of_each_group(clash)
+    assert kept.columns == clash.columns and {(r["_t"], r["own_0"]) for r in kept.collect()} == {("x", 0)}
+
+
+def test_done_sets_miss_no_partner():
+    """The share of picks that a similar set of any smaller size shares, and the tail that a set leaves large buckets by."""
+    assert [J.picks_to_be_done(k, 0.8, 1e-4) for k in (0, 1, 4, 18)] == [1, 2, 5, 12]
+    rng = np.random.default_rng(3)
+    seeds = [J._seed(r) for r in range(200)]
+    for common, a, b in ((800, 200, 0), (800, 100, 100), (80, 0, 20)):
+        c, x, y = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (common, a, b))
+        one, two = np.sort(np.concatenate([c, x])), np.sort(np.concatenate([c, y]))
+        picks = [(set(J._picks(one, s, J.FIRST).tolist()), set(J._picks(two, s, J.FIRST).tolist())) for s in seeds]
+        for i in (0, 1):
+            assert sum(len(p[0] & p[1]) for p in picks) > 0.75 * sum(len(p[i]) for p in picks)
+
+
 def test_empty(corpus):
     assert got(corpus.filter("false")) == []
 

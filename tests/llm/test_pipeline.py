@@ -8,6 +8,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from hangscope.llm import mixing
 from hangscope.llm.common import table, written
@@ -17,7 +19,8 @@ from test_ngram_join import by_hand as groups_by_hand
 
 @pytest.fixture(scope="module")
 def steps(spark, sf_dir):
-    docs, out = table(spark, sf_dir, "documents"), []
+    # every stage once, on part of the smallest table; the queries themselves read whole tables
+    docs, out = written(table(spark, sf_dir, "documents").limit(120), "test-docs"), []
     for name, stage in P.STAGES:
         got = written(stage(spark, docs, sf_dir), f"test-{name}")
         out.append((docs, got))
@@ -60,7 +63,7 @@ def test_mixing_stage_repeats_rows_by_rate(spark, sf_dir, steps):
     assert all(np.floor(rates[d]) <= copies[d] <= np.ceil(rates[d]) for d in rates)
 
 
-def test_token_stage_and_run(spark, sf_dir, steps):
+def test_token_stage(spark, sf_dir, steps):
     before, after = (x.collect() for x in steps[4])
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want, start = [], 0
@@ -68,9 +71,32 @@ def test_token_stage_and_run(spark, sf_dir, steps):
         ids = tok.encode(r.text or "", add_special_tokens=False).ids + [P.END_ID]
         want.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
-    rows = lambda rs: sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in rs)
-    assert rows(after) == sorted(want)
-    assert rows(P.run(spark, sf_dir).collect()) == sorted(want)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in after) == sorted(want)
+
+
+def test_clashing_columns_pass_through(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").limit(40).withColumns({"Score": F.col("doc_id") * 2, "lang_pred": F.lit("user's"), "own_0": F.lit("o"), "__t": F.lit(5)})
+    for stage in (P.language_stage, P.decontaminate_stage):
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns
+        assert all((r["Score"], r["lang_pred"], r["own_0"], r["__t"]) == (r.doc_id * 2, "user's", "o", 5) for r in got.collect())
+
+
+def test_run_applies_the_stages_in_order(spark, sf_dir, monkeypatch):
+    """``run`` on the whole table, with plain stages: each works on all that its predecessor kept."""
+    seen = []
+
+    def stage(k):
+        def apply(spark, docs, sf):
+            seen.append((k, docs.count(), sf))
+            return docs.filter(F.col("doc_id") % k != 0)
+        return apply
+
+    monkeypatch.setattr(P, "STAGES", [(f"s{k}", stage(k)) for k in (2, 3, 5)])
+    ids = [r.doc_id for r in table(spark, sf_dir, "documents").collect()]
+    got = P.run(spark, sf_dir)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(i for i in ids if i % 2 and i % 3 and i % 5)
+    assert seen == [(2, len(ids), sf_dir), (3, sum(i % 2 != 0 for i in ids), sf_dir), (5, sum(i % 2 != 0 and i % 3 != 0 for i in ids), sf_dir)]
 
 
 def test_empty_documents(spark, sf_dir):

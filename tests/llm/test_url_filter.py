@@ -24,9 +24,9 @@ def rule(host, path):
     return max(fits)[2:] if fits else (None, None)
 
 
-def normal(host, path):
-    s = "".join("0" if c in "0123456789" else c for c in (host + path).lower())
-    return "^" * (U.ORDER - 1) + "".join(c if c in "abcdefghijklmnopqrstuvwxyz0./-_%~" else "*" for c in s) + "$"
+def normal(url):
+    s = "".join("0" if c in "0123456789" else c for c in (url or "").lower())
+    return "^" * (U.ORDER - 1) + "".join(c if c in "abcdefghijklmnopqrstuvwxyz0./-_%~:?#=&+" else "*" for c in s) + "$"
 
 
 def crc(s):
@@ -37,8 +37,9 @@ def crc(s):
 
 def by_hand(urls):
     """(host, path, rule, verdict) of each url by plain recursion over counts."""
+    urls = list(urls)
     rows = [(*split(u),) for u in urls]
-    told = [(normal(h, p), rule(h, p)[1]) for h, p in rows]
+    told = [(normal(u), rule(h, p)[1]) for u, (h, p) in zip(urls, rows)]
     grams, follow = {v: Counter() for v in ("allow", "block")}, {}
     for s, v in told:
         if v and crc(s) % U.HELD_OUT:
@@ -68,8 +69,14 @@ def by_hand(urls):
         return 1.0 if not f else len(f) / (sum(f.values()) + len(f))
 
     held = [(score(s), v) for s, v in told if v and crc(s) % U.HELD_OUT == 0]
-    means = [[x for x, v in held if v == kind] for kind in ("allow", "block")]
-    limit = sum(sum(m) / len(m) for m in means) / 2 if all(means) else None
+    good, bad = ([round(x, 9) for x, v in held if v == kind] for kind in ("allow", "block"))
+    limit = None
+    if good and bad:
+        lo, hi = min(good + bad), max(good + bad)
+        at = lambda x: math.floor((x - lo) / ((hi - lo) / U.BINS)) if hi > lo else 0
+        error = [sum(at(x) < cut for x in good) / len(good) + sum(at(x) >= cut for x in bad) / len(bad) for cut in range(U.BINS + 1)]
+        best = [cut for cut, e in enumerate(error) if e <= min(error) + 1e-12]
+        limit = lo + best[len(best) // 2] * ((hi - lo) / U.BINS)
     out = []
     for (h, p), (s, v) in zip(rows, told):
         out.append((h, p, rule(h, p)[0], v or ("allow" if limit is None or round(score(s), 9) >= round(limit, 9) else "block")))
@@ -99,6 +106,15 @@ def test_edges(spark):
         assert r.rule is None or r.verdict == rule(*split(u))[1]
 
 
+def test_what_follows_the_path_counts(spark):
+    """Two urls that differ only after ``?``, and two without a scheme, are judged apart."""
+    told = [f"http://h{i}.net/p?spam=cheap&pills={i}" for i in range(40)] + [f"http://h{i}.org/fr/p?lang=fr&page={i}" for i in range(40)]
+    asked = ["http://h.com/p?spam=cheap&pills=7", "http://h.com/p?lang=fr&page=7", "spam=cheap&pills=7", "lang=fr&page=7"]
+    pages = spark.createDataFrame(list(enumerate(told + asked)), "page_id long, url string")
+    verdict = {r.id: r.verdict for r in U.judge(pages).collect()}
+    assert [verdict[80 + i] for i in range(4)] == ["block", "allow", "block", "allow"]
+
+
 def test_nothing_told_and_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://b.net/x")], "page_id long, url string")
     assert {r.id: r.verdict for r in U.judge(pages).collect()} == {1: "allow", 2: "block"}
