@@ -18,16 +18,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hangscope.llm import decontaminate, language_id, mixing, ngram_join, token_store
-from hangscope.llm.common import table, written
+from hangscope.llm.common import own_names, table, written
 from hangscope.llm.queries import END_ID, tokenizer_path
 
 MIN_LANGUAGE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labelled = language_id.identify(docs, language_id.train(docs), keep_text=True)
+    model = language_id.train(docs)
+    # columns that are named like a result stand aside meanwhile
+    aside = dict(zip([c for c in docs.columns if c.lower() in ("lang_pred", "score")], own_names(docs, 2)))
+    labelled = language_id.identify(docs.withColumnsRenamed(aside), model, keep_text=True)
     known = labelled.filter((F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_LANGUAGE))
-    return known.select(*docs.columns)
+    return known.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
