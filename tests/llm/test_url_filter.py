@@ -111,8 +111,18 @@ def test_what_follows_the_path_counts(spark):
     told = [f"http://h{i}.net/p?spam=cheap&pills={i}" for i in range(40)] + [f"http://h{i}.org/fr/p?lang=fr&page={i}" for i in range(40)]
     asked = ["http://h.com/p?spam=cheap&pills=7", "http://h.com/p?lang=fr&page=7", "spam=cheap&pills=7", "lang=fr&page=7"]
     pages = spark.createDataFrame(list(enumerate(told + asked)), "page_id long, url string")
-    verdict = {r.id: r.verdict for r in U.judge(pages).collect()}
-    assert [verdict[80 + i] for i in range(4)] == ["block", "allow", "block", "allow"]
+    score = {r.id: r.score for r in U.judge(pages).collect()}
+    assert score[80] < score[81] and score[82] < score[83]
+
+
+def test_cut_separates_held_out_urls(spark):
+    """The middle of the cuts with the fewest errors, not the middle of the means."""
+    rows = [("block", 1, x) for x in (-1.0, -0.9, -0.8, 0.1)] + [("allow", 9, x) for x in (0.3, 0.35, 3.0)]
+    cut = U.threshold(spark.createDataFrame(rows, "verdict string, n long, score double"))
+    assert 0.1 < cut < 0.3
+    overlap = spark.createDataFrame(rows + [("block", 1, 0.5)], "verdict string, n long, score double")
+    assert 0.1 < U.threshold(overlap) < 0.3 and U.threshold(overlap.filter("verdict = 'allow'")) is None
+    assert U.threshold(spark.createDataFrame([("block", 1, 2.0), ("allow", 1, 2.0)], "verdict string, n long, score double")) == 2.0
 
 
 def test_nothing_told_and_empty(spark):
