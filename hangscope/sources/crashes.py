@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hangscope.config import CRASH_RUNNABLE, CRASH_USAGE_MS, HangConfig
-from hangscope.functions.frames import hex_to_decimal, sample_keep
+from hangscope.functions.frames import hex_to_decimal, once, sample_keep
 from hangscope.schemas import RAW_FRAME
 from hangscope.sources.pings import next_day
 
@@ -48,13 +48,11 @@ def rebase_frame(frame: Column, modules: Column) -> Column:
 
     Null when the ip or the module index is missing; no subtraction when the
     index is outside the module list or the module has no base address."""
-    ip = hex_to_decimal(frame["ip"])
-    mod = F.get(modules, frame["module_index"])
-    base = hex_to_decimal(mod["base_addr"])
-    off = F.when(mod.isNotNull() & base.isNotNull(), ip - base).otherwise(ip)
+    base = hex_to_decimal(F.get(modules, frame["module_index"])["base_addr"])
+    off = once(hex_to_decimal(frame["ip"]), lambda ip: F.coalesce(ip - base, ip))
     ok = frame["ip"].isNotNull() & frame["module_index"].isNotNull()
     return F.when(ok, F.struct(F.lit("native").alias("kind"), F.lit(None).cast("string").alias("label"),
-                               frame["module_index"].alias("module_index"), python_hex(off).alias("offset")))
+                               frame["module_index"].alias("module_index"), once(off, python_hex).alias("offset")))
 
 
 def crash_to_hang(crash: DataFrame) -> DataFrame:
