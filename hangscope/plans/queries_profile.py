@@ -111,13 +111,17 @@ def q_pack(spark: SparkSession, sf: str) -> DataFrame:
     i = derived_inputs(spark, sf, DEFAULT)
     t = PL.profile_tables(i, DEFAULT)
     doc = pack_profile(t, usage_hours_by_date(i.pings), DEFAULT.run_id)
+    n = lambda path: F.json_array_length(F.get_json_object("profile", path)).cast("long")
     j = lambda path: F.get_json_object("profile", path).cast("long")
-    return doc.select("name", F.get_json_object("profile", "$.processType").alias("process_type"),
-                      F.json_array_length(F.get_json_object("profile", "$.libs")).cast("long").alias("n_libs"),
-                      j("$.funcTable.length").alias("n_funcs"), j("$.stackTable.length").alias("n_stacks"),
-                      j("$.sampleTable.length").alias("n_samples"),
-                      F.json_array_length(F.get_json_object("profile", "$.stringArray")).cast("long").alias("n_strings"),
-                      F.json_array_length(F.get_json_object("profile", "$.dates")).cast("long").alias("n_dates"))
+    pieces = materialize(doc.select(
+        "name", F.get_json_object("profile", "$.processType").alias("process_type"), n("$.libs").alias("n_libs"), j("$.funcTable.length").alias("n_funcs"),
+        j("$.stackTable.length").alias("n_stacks"), j("$.sampleTable.length").alias("n_samples"), n("$.stringArray").alias("n_strings"),
+        F.from_json("profile", "dates array<struct<date:string>>")["dates"]["date"].alias("dates")))
+    counts = ["n_libs", "n_funcs", "n_stacks", "n_samples", "n_strings"]
+    sums = pieces.groupBy("name", "process_type").agg(*[F.sum(c).alias(c) for c in counts])
+    # a date that several pieces have is one date of the thread
+    dates = pieces.select("name", F.explode("dates").alias("date")).groupBy("name").agg(F.count_distinct("date").alias("n_dates"))
+    return sums.join(dates, "name", "left").select("name", "process_type", *counts, "n_dates")
 
 
 # ---- sinks, increments, merges (S11-S13, A9, A12, J6, P14) ----
@@ -162,8 +166,9 @@ def q_write_profile(spark: SparkSession, sf: str) -> DataFrame:
     write_profile(pack_profile(t, usage, DEFAULT.run_id), usage_hours_json(usage), path, DEFAULT.run_id)
     doc = read_profile(spark, path)
     j = lambda p: F.get_json_object("profile", p).cast("long")
-    return doc.select("name", j("$.funcTable.length").alias("n_funcs"), j("$.stackTable.length").alias("n_stacks"),
-                      j("$.sampleTable.length").alias("n_samples"))
+    pieces = doc.select("name", j("$.funcTable.length").alias("n_funcs"), j("$.stackTable.length").alias("n_stacks"),
+                        j("$.sampleTable.length").alias("n_samples"))
+    return pieces.groupBy("name").agg(*[F.sum(c).alias(c) for c in ("n_funcs", "n_stacks", "n_samples")])
 
 
 @query("write_split")
