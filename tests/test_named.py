@@ -40,3 +40,38 @@ def test_samples_meet_their_names_before_their_stacks(spark):
     assert len(named) == 2
     for j in named:
         assert "path#" not in j.output().toString() and "sym_stack#" not in j.output().toString()
+
+
+def test_rows_by_id_are_the_rows(spark):
+    sections = _decoded(spark)
+    rows, stacks = reingest.profile_rows_by_id(sections)
+    assert "sym_stack" not in rows.columns
+    assert stacks.count() == stacks.select("ssid").distinct().count()
+    whole = reingest.profile_rows(sections)
+    assert sorted(map(str, rows.join(stacks, "ssid").select(whole.columns).collect())) == sorted(map(str, whole.collect())) != []
+    a, b = (reingest.repruned(*x).joined() for x in ((rows, CFG, stacks), (whole, CFG)))
+    assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(map(str, b.select(sorted(a.columns)).collect())) != []
+
+
+def test_samples_look_up_only_the_strings_that_they_name(spark):
+    t = _tables(spark)
+    used = {(r.thread, r.string) for r in t._sample_strings.collect()}
+    want = {(r.thread, v) for r in t.samples.collect() for v in (r.runnable, r.platform, r.category) if v is not None}
+    assert used >= want and not any(s.startswith("f") for _, s in used)
+    at = {(r.thread, r.idx): r.string for r in t.strings.collect()}
+    assert all(at[r.thread, r.runnable_idx] == r.runnable and at[r.thread, r.platform_idx] == r.platform for r in t.samples.collect())
+
+
+def test_prefix_ids_carry_the_node_in_the_array_only(spark):
+    df = spark.createDataFrame([([{"func": "a", "lib": None}, {"func": None, "lib": "b"}, {"func": "a", "lib": "b"}],), ([],), (None,)], f"s {STACK}")
+
+    def by_hand(n):
+        h1, h2 = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+        for k in range(n):
+            h1, h2 = ST._next_id({"h1": h1, "h2": h2}, F.get("s", F.lit(k)))
+        return F.struct(h1.alias("h1"), h2.alias("h2"))
+
+    out = df.select(ST.prefix_ids(F.col("s")).alias("ids"), *[by_hand(n).alias(f"n{n}") for n in (1, 2, 3)]).collect()
+    assert [tuple(x) for x in out[0].ids] == [tuple(out[0][f"n{n}"]) for n in (1, 2, 3)] and out[1].ids == [] and out[2].ids is None
+    # no struct beside it
+    assert ", ids, " not in df.select(ST.prefix_ids(F.col("s")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
